@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["funds"]
+MODULES = ["funds", "basic"]
 
 
 def registry():
