@@ -42,11 +42,10 @@ def burst_ratio(current: Column, past_sum: Column, past_count: Column) -> Column
     past_count counts the periods that contribute (absent term = 0.0 counts,
     a stored weight <= 0 does not).  Undefined mean and current != 0 -> 3.0;
     current = 0 -> 0; past mean 0 -> 3.0; else current / mean."""
-    mean = past_sum / past_count
     return (F.when((past_count == 0) & (current != 0), F.lit(BURST_UNDEFINED))
              .when(current == 0, F.lit(0.0))
-             .when(mean == 0, F.lit(BURST_UNDEFINED))
-             .otherwise(current / mean))
+             .when(past_sum == 0, F.lit(BURST_UNDEFINED))
+             .otherwise(current.cast("double") * past_count / past_sum))
 
 
 def log_count(x: Column) -> Column:

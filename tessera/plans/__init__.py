@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["funds", "basic"]
+MODULES = ["funds", "basic", "text"]
 
 
 def registry():

@@ -20,7 +20,7 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -35,6 +35,21 @@ def _norm(v):
     return v
 
 
+def _kind(series):
+    """Coarse value kind as a hashing checker would see it."""
+    k = series.dtype.kind
+    if k in "iu" or str(series.dtype).startswith(("Int", "UInt")):
+        return "int"
+    if k == "f":
+        return "float"
+    if k == "M":
+        return "datetime"
+    if k == "b" or str(series.dtype) == "boolean":
+        return "bool"
+    vals = series.dropna()
+    return type(vals.iloc[0]).__name__ if len(vals) else "empty"
+
+
 def rows(pdf: pd.DataFrame):
     cols = sorted(pdf.columns)
     out = []
@@ -53,6 +68,10 @@ def compare(spark_df, con, sql: str):
         problems.append(f"columns differ: spark={sc} oracle={dc}")
     if len(sr) != len(dr):
         problems.append(f"row counts differ: spark={len(sr)} oracle={len(dr)}")
+    kinds = {c: (_kind(s[c]), _kind(d[c])) for c in sc if c in d.columns}
+    bad = {c: k for c, k in kinds.items() if k[0] != k[1] and len(s) and len(d)}
+    if bad:
+        problems.append(f"column kinds differ: {bad}")
     if not problems and sr != dr:
         diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
         problems.append(f"values differ, e.g. {diff}")
