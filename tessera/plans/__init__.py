@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["funds", "basic", "text"]
+MODULES = ["funds", "basic", "text", "search"]
 
 
 def registry():
