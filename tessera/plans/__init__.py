@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["funds", "basic", "text", "search"]
+MODULES = ["funds", "basic", "text", "search", "report"]
 
 
 def registry():
