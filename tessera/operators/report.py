@@ -47,10 +47,10 @@ def parse_institution_counts(lines: DataFrame, keep: str = "first") -> DataFrame
     rows = lines.select("seq", parts.alias("p")).where(F.size("p") >= 4)
     rows = rows.select(
         "seq",
-        F.element_at("p", 1).try_cast("bigint").alias("institutionid"),
-        F.element_at("p", 2).alias("shortname"), F.element_at("p", 3).alias("fullname"),
-        F.element_at("p", 4).try_cast("bigint").alias("news_count"),
-        F.when(F.size("p") >= 5, F.element_at("p", 5)).try_cast("bigint").alias("news_count_neg"))
+        F.get(F.col("p"), 0).try_cast("bigint").alias("institutionid"),
+        F.get(F.col("p"), 1).alias("shortname"), F.get(F.col("p"), 2).alias("fullname"),
+        F.get(F.col("p"), 3).try_cast("bigint").alias("news_count"),
+        F.when(F.size("p") >= 5, F.get(F.col("p"), 4)).try_cast("bigint").alias("news_count_neg"))
     need = "news_count_neg" if keep == "first" else "news_count"
     rows = rows.where(F.col("institutionid").isNotNull() & F.col(need).isNotNull())
     pick = F.min_by if keep == "first" else F.max_by
