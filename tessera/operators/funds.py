@@ -6,12 +6,12 @@ Plan shape (one job for every fund, window and indicator):
   nav (code, date, per_nav, wan_per_nav)          -- one row per fund and day
     INNER JOIN fund list (code, category, method)  -- J1 / P22, small side
     WHERE date <= as_of AND values not NULL        -- P1, pushed to the scan
-    JOIN broadcast(windows) ON date >= from_date   -- J3, windows are config (bounded)
+    x explode(windows) WHERE date >= from_date     -- J3, windows are config (bounded)
     WINDOW PARTITION BY (category, code, w_id) ORDER BY date
            lag -> returns (W1) or running sum(ln(1+r)) -> prices (A8)
            running max excluding first row -> drawdown (W2)
     GROUP BY (category, code, w_id)                -- A9..A13 inputs
-    RIGHT JOIN fund list x windows                 -- A24: blanks when no series
+    RIGHT JOIN fund list x windows (explode)       -- A24: blanks when no series
 
 Window partitions hold one row per day of one fund, so their size is bounded by
 the calendar (a few thousand rows), never by the data volume: the daily NAV is
@@ -34,18 +34,20 @@ def lookback_label(unit: str, count) -> str:
     return f"{unit}_{'all' if count is None else count}"
 
 
-def windows_frame(spark: SparkSession, lookbacks, as_of: str) -> DataFrame:
-    """J3 build side: one row per configured look-back (unit, count).
-
-    The table is configuration (a handful of rows), so broadcasting it is
-    bounded by construction."""
+def windows_array(lookbacks, as_of: str):
+    """J3 build side: the configured look-backs as an array of structs
+    (w_id, interval, lag, lookback, from_date, to_date).  It is configuration
+    (a handful of entries), expanded per row with `explode`, so no join."""
     lbs = validate_lookbacks(lookbacks)
-    rows = [(i, u, None if c is None else int(c), lookback_label(u, c)) for i, (u, c) in enumerate(lbs)]
-    w = spark.createDataFrame(rows, "w_id int, interval string, lag int, lookback string")
     as_of_c = F.to_date(F.lit(as_of))
-    return (w.withColumn("to_date", as_of_c)
-             .withColumn("from_date", lag_date(as_of_c, F.col("interval"), F.col("lag")))
-             .withColumn("lag", F.coalesce(F.col("lag").cast("string"), F.lit("all"))))
+    items = []
+    for i, (u, c) in enumerate(lbs):
+        frm = lag_date(as_of_c, F.lit(u), F.lit(c).cast("int"))
+        items.append(F.struct(F.lit(i).alias("w_id"), F.lit(u).alias("interval"),
+                              F.lit("all" if c is None else str(c)).alias("lag"),
+                              F.lit(lookback_label(u, c)).alias("lookback"),
+                              frm.alias("from_date"), as_of_c.alias("to_date")))
+    return F.array(*items)
 
 
 def method_column(category, methods: dict) -> F.Column:
@@ -86,9 +88,10 @@ def series(nav: DataFrame, funds: DataFrame, windows: DataFrame) -> DataFrame:
     s = (nav.join(funds, "code")
          .where(F.col("per_nav").isNotNull()
                 & (F.col("wan_per_nav").isNotNull() | (F.col("method") == PER_NAV))))
-    s = s.join(F.broadcast(windows),
-               (s["date"] <= windows["to_date"])
-               & (windows["from_date"].isNull() | (s["date"] >= windows["from_date"])))
+    s = (s.select("*", F.explode(windows).alias("_w")).select("*", "_w.w_id", "_w.from_date", "_w.to_date")
+          .drop("_w")
+          .where((F.col("date") <= F.col("to_date"))
+                 & (F.col("from_date").isNull() | (F.col("date") >= F.col("from_date")))))
     w = Window.partitionBy("category", "code", "w_id").orderBy("date")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     income_ret = F.col("wan_per_nav") / 10000.0 / F.col("per_nav")
@@ -126,13 +129,13 @@ def fund_indicators(nav: DataFrame, fund_category: DataFrame, *, categories, met
     for price-only funds)."""
     spark = nav.sparkSession
     names = list(indicators or ALL_INDICATORS)
-    wins = windows_frame(spark, lookbacks, as_of)
+    wins = windows_array(lookbacks, as_of)
     fl = fund_list(nav, fund_category, categories, methods, as_of, funds)
     stats = series_stats(series(nav.where(F.col("date") <= F.to_date(F.lit(as_of))), fl, wins))
     scored = stats.select("category", "code", "w_id", F.col("n").alias("n_days"),
                           *indicator_columns(names))
-    grid = fl.select("category", "code").crossJoin(
-        F.broadcast(wins.select("w_id", "interval", "lag", "lookback")))
+    grid = fl.select("category", "code", F.explode(wins).alias("_w")).select(
+        "category", "code", "_w.w_id", "_w.interval", "_w.lag", "_w.lookback")
     return (grid.join(scored, ["category", "code", "w_id"], "left")
                 .select("category", "code", "interval", "lag", "lookback",
                         F.coalesce("n_days", F.lit(0)).cast("bigint").alias("n_days"), *names))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["funds", "basic", "text", "search", "report", "changes"]
+MODULES = ["funds", "basic", "text", "search", "report", "changes", "pages"]
 
 
 def registry():
