@@ -17,11 +17,15 @@ NAME_STOP_WORDS = ["有限公司", "公司", "有限责任"]
 COMPANY_MARKERS = ["公司", "研究院"]
 
 
-def tokens(text: Column, lower: bool = True) -> Column:
-    """Lower-cased tokens split on non letters/digits, empties dropped.
+def tokens(text: Column, lower: bool = True, stop_words=None) -> Column:
+    """Lower-cased tokens split on non letters/digits, empties dropped,
+    optional analyser stop list (never indexed, never queried).
 
     Runs inside whole-stage codegen (no Python); whole texts are split."""
     t = F.lower(text) if lower else text
+    if stop_words:
+        stops = list(stop_words)
+        return F.filter(F.split(t, TOKEN_SPLIT), lambda x: (x != F.lit("")) & ~x.isin(*stops))
     return F.filter(F.split(t, TOKEN_SPLIT), lambda x: x != F.lit(""))
 
 

@@ -1,9 +1,9 @@
 """Term vectors and corpus statistics.
 
 `doc_terms` is the shared forward index: one row per (document, term) with the
-term frequency and the document length.  Documents are hash-partitioned by id
-*before* tokenising, so the (doc, term) aggregate and every later per-document
-window run without another shuffle; a document's rows never leave its task.
+term frequency and the document length.  When the documents arrive hash
+partitioned by id (the corpus is deduplicated on it), the (doc, term) aggregate
+and every later per-document window run without another shuffle.
 Whole texts are tokenised (no prefixes); the tokenizer runs in the JVM.
 """
 
@@ -17,13 +17,16 @@ from tessera.functions.text import tokens
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content",
-              keep=(), field: str | None = None, lower: bool = True) -> DataFrame:
+              keep=(), field: str | None = None, lower: bool = True, stop_words=None) -> DataFrame:
     """X6 (+A2 length): (doc_id, term, tf, doc_len, *keep).  Documents without
     any token have no rows (the reference drops docs without a vector)."""
     keep = list(keep)
-    d = (docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("_text"))
-             .repartition("doc_id")
-             .select("doc_id", *keep, tokens(F.col("_text"), lower).alias("toks"))
+    # No explicit repartition: a corpus deduplicated on doc_id is already hash
+    # partitioned by it, which satisfies the (doc_id, ...) aggregate below and
+    # every later per-document window; other inputs shuffle (doc, term) pairs
+    # after the map-side partial aggregate.
+    d = (docs.select(F.col(id_col).alias("doc_id"), *keep,
+                     tokens(F.col(text_col), lower, stop_words).alias("toks"))
              .withColumn("doc_len", F.size("toks")))
     out = (d.select("doc_id", "doc_len", *keep, F.explode("toks").alias("term"))
             .groupBy("doc_id", "doc_len", *keep, "term")

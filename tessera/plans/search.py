@@ -2,8 +2,9 @@
 
 Bindings (besides the corpus of `plans.text`):
   users              events.user_id (P12: not NULL, uid < 9800 for the vocabulary)
-  keywords           tokens of benchmark.text of the items a user purchased
-                     (events.props k = benchmark.item_id)
+  keywords           per purchased item (events.props k = benchmark.item_id) the
+                     item's longest token (ties: alphabetical), stop words excluded
+  analyser           the search index drops the stop words below (X4 stop list)
   institutions       part: id = p_partkey, short = first word of p_name, full = p_name
   bonds              part: id = p_partkey, short = p_type, full = p_name || ' ' || p_type
   user x institution click events (props k = p_partkey)
@@ -22,23 +23,30 @@ from tessera.plans.common import r6, tables
 from tessera.plans.text import FEEDS_SQL, corpus
 
 # Parameters of the bound queries.
+# Analyser stop list of the search index (common function words of the corpus languages).
+SEARCH_STOP_WORDS = ["the", "and", "of", "to", "a", "in", "is", "it", "that", "was", "for", "on", "are",
+                     "as", "with", "by", "this", "be", "at", "an", "or", "from",
+                     "le", "la", "les", "de", "des", "du", "et", "en", "un", "une", "que", "qui", "pour",
+                     "der", "die", "das", "und", "zu", "den", "mit", "von", "ein", "eine", "ist", "nicht",
+                     "el", "los", "las", "y", "por", "con", "para", "del", "se"]
 SHORT_NAME_FILTER = ["small"]
 NAME_STOP_WORDS = ["有限公司", "公司", "有限责任"]
 WINDOW = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
 PRIOR_END = "2024-01-16 00:00:00"
 
-QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("that"), S.Or(S.Term("the"), S.Term("der"))),
-                                 S.Term("rewh", field="title")), S.Term("and"))
+QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("thatin"), S.Or(S.Term("ther"), S.Term("ing"))),
+                                 S.Term("rewh", field="title")), S.Term("orre"))
 QUERY_PREFIX = S.Or(S.Prefix("thatin"), S.Wildcard("th?n*"))
 QUERY_FUZZY = S.Fuzzy("orantion", 2)
 QUERY_RANGE = S.And(S.Range("notice_time", "2024-01-05 00:00:00", "2024-01-20 00:00:00"),
-                    S.And(S.Range("sentiment", 1.0, None), S.Term("the")))
-QUERY_BOOST = S.Or(S.Term("the", boost=2.0), S.Term("de", field="title", boost=1.5))
+                    S.And(S.Range("sentiment", 1.0, None), S.Term("ing")))
+QUERY_BOOST = S.Or(S.Term("ing", boost=2.0), S.Term("ent", field="title", boost=1.5))
 
 
 def _fields(docs):
-    content = T.doc_terms(docs, field="content")
-    title = T.doc_terms(docs.where(F.col("title").isNotNull()), text_col="title", field="title")
+    content = T.doc_terms(docs, field="content", stop_words=SEARCH_STOP_WORDS)
+    title = T.doc_terms(docs.where(F.col("title").isNotNull()), text_col="title", field="title",
+                        stop_words=SEARCH_STOP_WORDS)
     return content.unionByName(title)
 
 
@@ -56,9 +64,12 @@ def _links(spark, sf_dir):
         F.col("user_id").alias("uid"), "event_type",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     part = t.part.select("p_partkey", "p_name", "p_type")
+    item_kw = (t.benchmark.select("item_id", F.explode(tokens(F.col("text"), stop_words=SEARCH_STOP_WORDS))
+                                  .alias("tok"))
+                  .groupBy("item_id").agg(F.min_by("tok", F.struct(-F.length("tok"), F.col("tok"))).alias("keyword")))
     kw = (ev.where(F.col("event_type") == "purchase")
-            .join(t.benchmark.select("item_id", "text"), F.col("k") == F.col("item_id"))
-            .select("uid", F.explode(tokens(F.col("text"))).alias("keyword")).distinct())
+            .join(item_kw, F.col("k") == F.col("item_id"))
+            .select("uid", "keyword").distinct())
     clicks = ev.where(F.col("event_type") == "click").select("uid", F.col("k").alias("institutionid")).distinct()
     company = part.select(F.col("p_partkey").alias("institutionid"),
                           F.split_part("p_name", F.lit(" "), F.lit(1)).alias("shortname"),
@@ -74,12 +85,12 @@ def _interests(spark, sf_dir):
     cf = clicks.join(company, "institutionid").select("uid", F.col("fullname").alias("name"))
     bs = clicks.join(bond, "institutionid").select("uid", F.col("shortname").alias("name"))
     filt = spark.createDataFrame([(w,) for w in SHORT_NAME_FILTER], "word string")
-    return S.user_interests(kw, cs, cf, bs, short_name_filter=filt)
+    return S.user_interests(kw, cs, cf, bs, short_name_filter=filt, stop_words=SEARCH_STOP_WORDS)
 
 
 def _relevance(spark, sf_dir, platform):
     docs = corpus(spark, sf_dir)
-    dt = T.doc_terms(docs)
+    dt = T.doc_terms(docs, stop_words=SEARCH_STOP_WORDS)
     window = docs.where(F.col("notice_time").between(F.lit(WINDOW[0]).cast("timestamp"),
                                                      F.lit(WINDOW[1]).cast("timestamp"))
                         & (F.col("platform") == platform))
@@ -175,8 +186,11 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 
-def _tok(x):
-    return f"list_filter(string_split_regex(lower({x}), '{TOKEN_SPLIT}'), lambda t: t <> '')"
+def _tok(x, stops=True):
+    cond = "t <> ''"
+    if stops:
+        cond += " AND NOT list_contains([" + ", ".join(f"'{w}'" for w in SEARCH_STOP_WORDS) + "], t)"
+    return f"list_filter(string_split_regex(lower({x}), '{TOKEN_SPLIT}'), lambda t: {cond})"
 
 
 FIELDS_SQL = FEEDS_SQL + f""",
@@ -252,8 +266,9 @@ def _search_sql(query):
 LINKS_SQL = f"""
 ev AS (SELECT user_id AS uid, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
        FROM events WHERE user_id IS NOT NULL),
-kw AS (SELECT DISTINCT uid, unnest({_tok('b.text')}) AS keyword
-       FROM ev JOIN benchmark b ON ev.k = b.item_id WHERE ev.event_type = 'purchase'),
+item_kw AS (SELECT item_id, arg_min(tok, (-length(tok), tok)) AS keyword
+            FROM (SELECT item_id, unnest({_tok('text')}) AS tok FROM benchmark) GROUP BY 1),
+kw AS (SELECT DISTINCT uid, keyword FROM ev JOIN item_kw b ON ev.k = b.item_id WHERE ev.event_type = 'purchase'),
 clicks AS (SELECT DISTINCT uid, k AS institutionid FROM ev WHERE event_type = 'click'),
 company AS (SELECT p_partkey AS institutionid, split_part(p_name, ' ', 1) AS shortname, p_name AS fullname FROM part),
 bond AS (SELECT p_partkey AS institutionid, p_type AS shortname, concat_ws(' ', p_name, p_type) AS fullname FROM part)"""
@@ -321,7 +336,7 @@ SELECT 'company', name FROM (SELECT DISTINCT trim(shortname) AS name FROM compan
 
 def _cut_sql(x):
     stops = ", ".join(f"'{w}'" for w in NAME_STOP_WORDS)
-    return f"array_to_string(list_filter({_tok(x)}, lambda t: NOT list_contains([{stops}], t)), ' ')"
+    return f"array_to_string(list_filter({_tok(x, False)}, lambda t: NOT list_contains([{stops}], t)), ' ')"
 
 
 USER_VOCABULARY_SQL = "WITH " + LINKS_SQL.lstrip() + f""",
@@ -343,7 +358,7 @@ SELECT *, concat_ws('||', user_name, key_words, short_names, bond_short_names, f
 
 TOP_TAGS_SQL = f"""
 WITH parts AS (SELECT p_partkey AS doc_id, concat_ws(' ', p_name, p_type, p_brand) AS content FROM part),
-toks AS (SELECT doc_id, {_tok('content')} AS tk FROM parts),
+toks AS (SELECT doc_id, {_tok('content', False)} AS tk FROM parts),
 dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tk) AS term FROM toks) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM parts),
 dfs AS (SELECT term, count(*) AS df FROM dt GROUP BY 1),
