@@ -20,7 +20,7 @@ from tessera.functions.text import TOKEN_SPLIT, tokens
 from tessera.operators import search as S
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
-from tessera.plans.text import FEEDS_SQL, corpus
+from tessera.plans.text import FEEDS_SQL, content_terms, corpus, terms
 
 # Parameters of the bound queries.
 # Analyser stop list of the search index (common function words of the corpus languages).
@@ -43,17 +43,11 @@ QUERY_RANGE = S.And(S.Range("notice_time", "2024-01-05 00:00:00", "2024-01-20 00
 QUERY_BOOST = S.Or(S.Term("ing", boost=2.0), S.Term("ent", field="title", boost=1.5))
 
 
-def _fields(docs):
-    content = T.doc_terms(docs, field="content", stop_words=SEARCH_STOP_WORDS)
-    title = T.doc_terms(docs.where(F.col("title").isNotNull()), text_col="title", field="title",
-                        stop_words=SEARCH_STOP_WORDS)
-    return content.unionByName(title)
-
-
 def _search(query):
     def run(spark, sf_dir):
         docs = corpus(spark, sf_dir)
-        hits = S.search(docs.select("doc_id", "notice_time", "sentiment", "platform"), _fields(docs), query)
+        fields = terms(spark, sf_dir, SEARCH_STOP_WORDS).select("doc_id", "field", "term", "tf", "doc_len")
+        hits = S.search(docs.select("doc_id", "notice_time", "sentiment", "platform"), fields, query)
         return hits.select("doc_id", r6("score").alias("score"))
     return run
 
@@ -90,7 +84,7 @@ def _interests(spark, sf_dir):
 
 def _relevance(spark, sf_dir, platform):
     docs = corpus(spark, sf_dir)
-    dt = T.doc_terms(docs, stop_words=SEARCH_STOP_WORDS)
+    dt = content_terms(spark, sf_dir, SEARCH_STOP_WORDS)
     window = docs.where(F.col("notice_time").between(F.lit(WINDOW[0]).cast("timestamp"),
                                                      F.lit(WINDOW[1]).cast("timestamp"))
                         & (F.col("platform") == platform))

@@ -27,6 +27,7 @@ from tessera.operators import corpus as C
 from tessera.operators import hot as H
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
+from tessera.sources.store import derived_table
 
 # Parameters of the bound queries (word lists are job inputs, not data).
 HOT_STOP_WORDS = ["the", "and", "of", "de", "der", "la", "die", "und"]
@@ -67,9 +68,38 @@ def feeds(spark, sf_dir):
     return news, articles, micro
 
 
+def _inputs(sf_dir):
+    return [f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet"]
+
+
 def corpus(spark, sf_dir) -> DataFrame:
-    news, articles, micro = feeds(spark, sf_dir)
-    return C.load_documents(news, articles, micro, "2024-01-01 00:00:00", "2024-12-31 23:59:59")
+    """The assembled corpus (S6 over all feeds) with its half-day period,
+    written once to the shared folder and read back by every text query."""
+    def build():
+        news, articles, micro = feeds(spark, sf_dir)
+        docs = C.load_documents(news, articles, micro, "2024-01-01 00:00:00", "2024-12-31 23:59:59")
+        return docs.withColumn("period_end", half_day_period_end(F.col("notice_time")))
+    return derived_table(spark, "corpus", _inputs(sf_dir), build)
+
+
+def terms(spark, sf_dir, stop_words=None) -> DataFrame:
+    """The forward index of the corpus (X6): content and title fields, one
+    row per (doc, field, term) with tf and field length, plus the document's
+    source and period for grouping.  Written once per analyser stop list."""
+    def build():
+        docs = corpus(spark, sf_dir)
+        keep = ("source", "period_end")
+        content = T.doc_terms(docs, keep=keep, field="content", stop_words=stop_words)
+        title = T.doc_terms(docs.where(F.col("title").isNotNull()), text_col="title", keep=keep,
+                            field="title", stop_words=stop_words)
+        return content.unionByName(title)
+    params = ",".join(stop_words or [])
+    return derived_table(spark, "terms", _inputs(sf_dir), build, params=params)
+
+
+def content_terms(spark, sf_dir, stop_words=None, keep=()) -> DataFrame:
+    t = terms(spark, sf_dir, stop_words).where(F.col("field") == "content")
+    return t.select("doc_id", "doc_len", *keep, "term", "tf")
 
 
 def corpus_load(spark, sf_dir):
@@ -82,7 +112,7 @@ def corpus_load(spark, sf_dir):
 
 def _index(spark, sf_dir, keep=()):
     docs = corpus(spark, sf_dir)
-    dt = T.doc_terms(docs, keep=keep)
+    dt = content_terms(spark, sf_dir, keep=keep)
     return docs, dt, T.term_stats(dt), T.doc_count(docs)
 
 
@@ -124,8 +154,8 @@ def _periods(docs):
 
 
 def _burst(spark, sf_dir):
-    docs = corpus(spark, sf_dir).withColumn("period_end", half_day_period_end(F.col("notice_time")))
-    dt = T.doc_terms(docs, keep=("period_end",))
+    docs = corpus(spark, sf_dir)
+    dt = content_terms(spark, sf_dir, keep=("period_end",))
     cs, n = T.term_stats(dt), T.doc_count(docs)
     stops = _words(spark, HOT_STOP_WORDS)
     history = H.hot_term_weights(dt, cs, n, by=("period_end",), stop_words=stops)
