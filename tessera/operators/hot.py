@@ -107,7 +107,10 @@ def tfpdf_weights(dt: DataFrame, channel_sizes: DataFrame, corpus_stats: DataFra
 
 def doc_scores(dt: DataFrame, weights: DataFrame, docs: DataFrame, by=()) -> DataFrame:
     """Document score = sum of the weights of the distinct terms present;
-    documents without any weighted term score 0 (left join from `docs`)."""
+    documents without any weighted term score 0 (left join from `docs`).
+    T4 (docs by score, descending) is left to the reader: a global sort is a
+    range shuffle of every row, so it is only added where the output needs it
+    (`sorted_by_score`)."""
     by = list(by)
     present = dt.where(F.col("tf") > 0).select(*by, "doc_id", "term").distinct()
     s = present.join(weights, by + ["term"]).groupBy(*by, "doc_id").agg(F.sum("weight").alias("score"))
@@ -188,6 +191,11 @@ def blacklisted(docs: DataFrame, black: DataFrame, title: str = "title") -> Data
     return docs.join(hits, "doc_id", "left").withColumn("black", F.coalesce("black", F.lit(False)))
 
 
+def sorted_by_score(scored: DataFrame, score: str = "score") -> DataFrame:
+    """T4: documents by score descending, ties by id (a range-partitioned sort)."""
+    return scored.orderBy(F.desc(score), F.asc("doc_id"))
+
+
 def rank_hot_documents(docs: DataFrame, dt: DataFrame, burst: DataFrame, *, white: DataFrame,
                        black: DataFrame, by=("period_end",)) -> DataFrame:
     """Hot score = sum of burst ratios of the terms present (A6), max

@@ -74,6 +74,7 @@ def _links(spark, sf_dir):
 
 
 def _interests(spark, sf_dir):
+    # The user's institutions joined with company and bond names
     kw, clicks, company, bond = _links(spark, sf_dir)
     cs = clicks.join(company, "institutionid").select("uid", F.col("shortname").alias("name"))
     cf = clicks.join(company, "institutionid").select("uid", F.col("fullname").alias("name"))
