@@ -213,7 +213,9 @@ def article_blocks(articles: DataFrame) -> DataFrame:
 
 
 def write_blocks(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
-    blocks.select(F.col("block").alias("value")).write.mode(mode).option("lineSep", "").text(path)
+    # every block ends in a newline; the writer's "\n" separator puts it back
+    value = F.expr("substring(block, 1, length(block) - 1)")
+    blocks.select(value.alias("value")).write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def read_blocks(spark, path: str) -> DataFrame:
