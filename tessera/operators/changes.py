@@ -59,7 +59,7 @@ def route(changes: DataFrame, organisations: DataFrame, file_types=FILE_TYPES,
     if allow_new_users:
         new = c.where(F.col("uid").isNull()).select("user_name").distinct()
         top = orgs.agg(F.max("uid").alias("_max"))
-        new = new.crossJoin(top).withColumn(
+        new = new.withColumn("_max", top.select("_max").scalar()).withColumn(
             "_new", F.col("_max") + F.dense_rank().over(Window.orderBy("user_name")))  # new names: few
         c = (c.join(new.select("user_name", "_new"), "user_name", "left")
               .withColumn("uid", F.coalesce("uid", "_new")).drop("_new"))

@@ -71,9 +71,9 @@ def fund_list(nav: DataFrame, fund_category: DataFrame, categories, methods: dic
         raise ValueError(f"not defined proper function for category {missing}")
     spark = nav.sparkSession
     if funds:
-        cats = spark.createDataFrame([(c,) for c in categories], "category string")
         codes = spark.createDataFrame([(f,) for f in funds], "code string")
-        fl = codes.crossJoin(F.broadcast(cats))  # both sides are job arguments
+        # every listed fund in every category (both are job arguments)
+        fl = codes.select("code", F.explode(F.array(*[F.lit(c) for c in categories])).alias("category"))
     else:
         priced = nav.where(F.col("date") == F.to_date(F.lit(as_of))).select("code")
         fl = (fund_category.where(F.col("category").isin(list(categories)))

@@ -64,7 +64,7 @@ def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame
     keys = T.key_terms(ws, corpus_stats, n_corpus, key_limit, by)
     s = ws.join(keys, by + ["term"], "left_semi")
     s = T.with_idf(s, corpus_stats, n_corpus)
-    s = s.join(n_win, by) if by else s.crossJoin(n_win)
+    s = s.join(n_win, by) if by else s.withColumn("n_win", n_win.select("n_win").scalar())
     s = s.withColumn("weight", F.col("s_sqrt_tf") * F.col("idf") * (F.col("df") / F.col("n_win"))
                      / F.col("n_win"))
     return term_filters(s.where(F.col("weight") > 0).select(*by, "term", "weight"), stop_words)
@@ -83,7 +83,7 @@ def hot_term_weights_pre(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataF
     s = (sel.groupBy("term")
             .agg(F.count(F.lit(1)).alias("df_win"),
                  F.sum(F.sqrt(F.col("tf") / F.col("len_sel"))).alias("s_sqrt_tf")))
-    s = T.with_idf(s, corpus_stats, n_corpus).crossJoin(n_window.select(F.col("n_docs").alias("n_win")))
+    s = T.with_idf(s, corpus_stats, n_corpus).withColumn("n_win", n_window.select("n_docs").scalar())
     s = s.withColumn("weight", F.col("s_sqrt_tf") * F.col("idf") * (F.col("df_win") / F.col("n_win"))
                      / F.col("n_win"))
     return term_filters(s.where(F.col("weight") > 0).select("term", "weight"), stop_words)
@@ -124,7 +124,7 @@ def max_normalise(df: DataFrame, col: str, by=()) -> DataFrame:
     hot group is never gathered into one task."""
     by = list(by)
     m = df.groupBy(*by).agg(F.max(col).alias("_max"))
-    j = df.join(m, by) if by else df.crossJoin(m)
+    j = df.join(m, by) if by else df.withColumn("_max", m.select("_max").scalar())
     return j.withColumn(col + "_norm", F.col(col) / F.when(F.col("_max") == 0, F.lit(1.0))
                         .otherwise(F.col("_max"))).drop("_max")
 
@@ -231,7 +231,7 @@ def hot_writeback(source: DataFrame, ranked: DataFrame, prefix: str, id_col: str
 def append_newer(history: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The rows of periods newer than the last recorded period."""
     last = history.agg(F.max("period_end").alias("_last"))
-    return (new_rows.crossJoin(last)
+    return (new_rows.withColumn("_last", last.select("_last").scalar())
                     .where(F.col("_last").isNull() | (F.col("period_end") > F.col("_last")))
                     .drop("_last"))
 

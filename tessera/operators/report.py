@@ -282,7 +282,7 @@ def institution_parts(institutions: DataFrame, n_files: int = INSTITUTION_FILES)
                              | (F.col("categoryid") == INSTITUTION_CATEGORY_EXTRA))
     total = sel.agg(F.countDistinct("institutionid").alias("_total"))  # A17
     disp = F.greatest(F.lit(1), F.floor(F.col("_total") / F.lit(float(n_files))))
-    idx = global_row_index(sel, "institutionid").crossJoin(total)
+    idx = global_row_index(sel, "institutionid").withColumn("_total", total.select("_total").scalar())
     out = idx.select("institutionid",
                      strip_parentheses(F.coalesce("shortname", F.lit(""))).alias("shortname"),
                      strip_parentheses(F.coalesce("fullname", F.lit(""))).alias("fullname"),

@@ -62,8 +62,8 @@ def top_terms(scored: DataFrame, k: int, score: str = "score", by=()) -> DataFra
 
 def distinctive_terms(stats: DataFrame, n_docs: DataFrame, k: int) -> DataFrame:
     """T3 corpus-wide: top k by cf * ln(N / df) (N = documents of the corpus)."""
-    s = stats.crossJoin(F.broadcast(n_docs.select(F.col("n_docs").alias("_n"))))  # one row
-    s = s.withColumn("score", F.col("cf") * F.log(F.col("_n") / F.col("df"))).drop("_n")
+    n = n_docs.select("n_docs").scalar()  # one value, computed once, no join
+    s = stats.withColumn("score", F.col("cf") * F.log(n / F.col("df")))
     return top_terms(s, k).select("term")
 
 
@@ -73,17 +73,15 @@ def key_terms(window_stats: DataFrame, corpus_stats: DataFrame, n_docs: DataFram
     (tf_set = frequency in the set, f = corpus frequency / corpus size)."""
     by = list(by)
     s = (window_stats.select(*by, "term", F.col("cf").alias("tf_set"))
-         .join(corpus_stats.select("term", F.col("cf").alias("cf_all")), "term")
-         .crossJoin(F.broadcast(n_docs.select(F.col("n_docs").alias("_n")))))
-    s = s.withColumn("score", bo1(F.col("tf_set"), F.col("cf_all"), F.col("_n")))
+         .join(corpus_stats.select("term", F.col("cf").alias("cf_all")), "term"))
+    s = s.withColumn("score", bo1(F.col("tf_set"), F.col("cf_all"), n_docs.select("n_docs").scalar()))
     return top_terms(s, k, by=by).select(*by, "term")
 
 
 def with_idf(stats: DataFrame, corpus_stats: DataFrame, n_docs: DataFrame) -> DataFrame:
     """F7 idf from corpus-wide df and N."""
     return (stats.join(corpus_stats.select("term", F.col("df").alias("df_all")), "term")
-                 .crossJoin(F.broadcast(n_docs.select(F.col("n_docs").alias("n_all"))))
-                 .withColumn("idf", idf(F.col("n_all"), F.col("df_all"))))
+                 .withColumn("idf", idf(n_docs.select("n_docs").scalar(), F.col("df_all"))))
 
 
 def top_tags(dt: DataFrame, corpus_stats: DataFrame, n_docs: DataFrame, n: int = 3) -> DataFrame:
