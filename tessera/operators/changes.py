@@ -87,13 +87,19 @@ def _finish(df: DataFrame, out_line) -> DataFrame:
 
 
 def survivors(df: DataFrame, key) -> DataFrame:
-    """An ADD row survives when no DEL of the same key comes after it."""
+    """An ADD row survives when no DEL of the same key comes after it.
+
+    The last DEL per key is a grouped aggregate (combined map-side, one row per
+    key) joined back, not a window: a key holding a large share of the changes
+    is never gathered into one task, and AQE's skew join splits its ADD rows."""
     key = list(key)
-    w = Window.partitionBy(*key)  # one key's change history
-    last_del = F.max(F.when(F.col("op") == DEL, F.col("seq"))).over(w)
-    return (df.withColumn("_last_del", last_del)
-              .where((F.col("op") == ADD) & (F.col("_last_del").isNull() | (F.col("seq") > F.col("_last_del"))))
-              .drop("_last_del"))
+    last_del = df.where(F.col("op") == DEL).groupBy(*key).agg(F.max("seq").alias("_last_del"))
+    adds = df.where(F.col("op") == ADD)
+    # null-safe key match: a NULL key part is one key, as in a window partition
+    cond = [adds[k].eqNullSafe(last_del[k]) for k in key]
+    return (adds.join(last_del, cond, "left")
+                .where(F.col("_last_del").isNull() | (F.col("seq") > F.col("_last_del")))
+                .select(*[adds[c] for c in df.columns]))
 
 
 # ------------------------------------------------------------------- C2

@@ -195,3 +195,40 @@ def test_drawdown_invariant(spark):
         best = max(best, (peak - p) / peak)
     assert 0.0 <= r["max_drawdown"] <= 1.0
     assert r["max_drawdown"] == pytest.approx(best)
+
+
+# 2.8 change application -------------------------------------------------------
+def test_email_changes_fixture(spark):
+    from tessera.operators import changes as CH
+    lines = [("acme", "email", "20160701", 1, "add,Ann,ann@x.com"),
+             ("acme", "email", "20160701", 2, "DEL,Ann,ann@x.com"),
+             ("acme", "email", "20160701", 3, "ADD,Ann,ann@x.com,staff"),
+             ("acme", "email", "20160701", 4, "MOD,Bob,bob@x.com"),
+             ("acme", "phone", "20160701", 5, "ADD,x"),
+             ("ghost", "email", "20160701", 6, "ADD,G,g@x.com")]
+    changes = spark.createDataFrame(lines, "user_name string, file_type string, date string, seq long, line string")
+    orgs = spark.createDataFrame([(7, "acme")], "id int, name string")
+    routed = CH.route(changes, orgs)
+    ch = {r["seq"]: (r["status"], r["reject_reason"]) for r in CH.email_changes(routed).collect()}
+    assert ch[1] == ("accepted", None) and ch[2] == ("accepted", None) and ch[3] == ("accepted", None)
+    assert ch[4] == ("rejected", "Error operation")
+    assert ch[6] == ("rejected", "Unknown user")
+    assert [r["reject_reason"] for r in routed.where("seq = 5").collect()] == ["Error file type"]
+    final = CH.apply_email(CH.email_changes(routed)).collect()
+    assert [(r["uid"], r["username"], r["recipient"], r["email"], r["type"]) for r in final] == \
+        [(7, "acme", "Ann", "ann@x.com", "staff")]
+
+
+def test_survivors_hot_key_matches_brute_force(spark):
+    from tessera.operators import changes as CH
+    import random
+    rnd = random.Random(7)
+    rows = [(("hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"), rnd.choice(["ADD", "DEL"]), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, op string, seq long")
+    got = sorted(r["seq"] for r in CH.survivors(df, ["k"]).collect())
+    last_del = {}
+    for k, op, s in rows:
+        if op == "DEL":
+            last_del[k] = max(last_del.get(k, -1), s)
+    assert got == sorted(s for k, op, s in rows if op == "ADD" and s > last_del.get(k, -1))
