@@ -7,7 +7,7 @@ page_links      X18 F14  every `nav > ul > li > a` link, made absolute
 article_blocks  S17 F12  one text block per page with a body
 crawl_worklist  X20  every page host x 2024-01-01..2024-01-07 list URL
 The first three parse HTML (pandas UDF) and have no SQL oracle (row counts
-only); their rules are checked against hand-built pages in tests/test_pages.py.
+only); their rules are checked against hand-built pages in tests/test_sources.py.
 """
 
 from __future__ import annotations

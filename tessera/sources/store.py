@@ -13,6 +13,7 @@ pushdown) and a lost executor only re-reads files.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,5 +51,13 @@ def derived_table(spark: SparkSession, name: str, inputs, build: Callable[[], Da
     key = hashlib.sha1(f"{name}|{params}|{fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
     path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
     if not exists(spark, path + "/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+        # build into a private folder next to the target, then rename: two
+        # jobs building the same table never write into each other, and a
+        # reader sees either no table or a complete one
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        build().write.parquet(tmp)
+        fs, src = _fs(spark, tmp)
+        _, dst = _fs(spark, path)
+        if not fs.rename(src, dst):  # another job got there first: use its table
+            fs.delete(src, True)
     return spark.read.parquet(path)
