@@ -32,11 +32,12 @@ WEEKLY_COLUMNS = ["location", "location_name", "industry", "industry_name", "new
 
 # ---------------------------------------------------------------- sources
 
-def with_line_order(lines: DataFrame) -> DataFrame:
+def with_line_order(lines: DataFrame, with_file: bool = False) -> DataFrame:
     """Line order of text input (`spark.read.text`): increasing ids follow the
     file splits in order and the rows inside each split, and are recomputed
-    identically when a task is retried."""
-    return lines.withColumn("seq", F.monotonically_increasing_id())
+    identically when a task is retried.  `with_file` adds the source `file`."""
+    out = lines.withColumn("seq", F.monotonically_increasing_id())
+    return out.withColumn("file", F.col("_metadata.file_path")) if with_file else out
 
 
 def parse_institution_counts(lines: DataFrame, keep: str = "first") -> DataFrame:
@@ -63,9 +64,11 @@ def parse_key_values(lines: DataFrame, section: str = "general") -> DataFrame:
     """`key = value` lines of one INI section -> (institutionid, news_id)."""
     v = F.trim(F.col("value"))
     sec = F.when(v.startswith("["), F.regexp_extract(v, r"^\[(.*)\]", 1))
-    w = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    # the running section marker needs line order; INI files are small config
-    tagged = lines.select("seq", v.alias("v"), sec.alias("sec")) \
+    # the running section marker needs line order inside one file; with a
+    # `file` column each file is its own window partition (files are small config)
+    by = ["file"] if "file" in lines.columns else []
+    w = Window.partitionBy(*by).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = lines.select(*by, "seq", v.alias("v"), sec.alias("sec")) \
         .withColumn("section", F.last("sec", ignorenulls=True).over(w))
     kv = tagged.where((F.col("section") == section) & F.col("v").contains("=")
                       & ~F.col("v").startswith(";") & ~F.col("v").startswith("#"))

@@ -115,3 +115,15 @@ def test_streaming_ingest_is_idempotent(spark):
     got = spark.read.parquet(corpus)
     assert sorted(r[0] for r in got.select("doc_id").collect()) == ["N1", "N2", "N3"]
     assert got.where(F.col("doc_id") == "N1").first()["main_body"] == "o+:"
+
+
+def test_key_values_per_file(spark):
+    from tessera.operators import report as R
+    d = _scratch()
+    with open(f"{d}/a.ini", "w") as f:
+        f.write("[general]\n1 = 10\n; 9 = 9\n[other]\n2 = 20\n")
+    with open(f"{d}/b.ini", "w") as f:
+        f.write("3 = 30\n[general]\n4 = 40\n")
+    lines = R.with_line_order(spark.read.text(f"{d}/*.ini"), with_file=True)
+    got = sorted(tuple(r) for r in R.parse_key_values(lines).collect())
+    assert got == [(1, 10), (4, 40)]
