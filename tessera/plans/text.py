@@ -153,13 +153,24 @@ def _periods(docs):
     return ends.where(F.col("period_end").between(F.col("lo"), F.col("hi"))).select("period_end")
 
 
+def history(spark, sf_dir) -> DataFrame:
+    """S13 term-weight history: A3 weights of every half-day period, the table
+    the burst detector reads.  Written once per input and stop list to the
+    shared folder (the reference keeps it as a history file per period)."""
+    def build():
+        docs = corpus(spark, sf_dir)
+        dt = content_terms(spark, sf_dir, keep=("period_end",))
+        cs, n = T.term_stats(dt), T.doc_count(docs)
+        return H.hot_term_weights(dt, cs, n, by=("period_end",), stop_words=_words(spark, HOT_STOP_WORDS))
+    params = f"{H.KEY_TERMS}|" + ",".join(HOT_STOP_WORDS)
+    return derived_table(spark, "hot_history", _inputs(sf_dir), build, params=params)
+
+
 def _burst(spark, sf_dir):
     docs = corpus(spark, sf_dir)
     dt = content_terms(spark, sf_dir, keep=("period_end",))
-    cs, n = T.term_stats(dt), T.doc_count(docs)
     stops = _words(spark, HOT_STOP_WORDS)
-    history = H.hot_term_weights(dt, cs, n, by=("period_end",), stop_words=stops)
-    burst = H.burst_terms(history, _periods(docs), stop_words=stops)
+    burst = H.burst_terms(history(spark, sf_dir), _periods(docs), stop_words=stops)
     return docs, dt, burst
 
 
