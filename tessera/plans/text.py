@@ -7,6 +7,7 @@ when unlabelled; notice time = 2024-01-01 + (doc_id mod 60) x 12 h, i.e. 60
 half-day periods.  Every query reads the whole table and whole texts.
 
 corpus_load    S6 P19 P20 U2 J7 P2   docs of [2024-01-11, 2024-01-31] not loaded before 2024-01-16
+feed_stream_ingest  2.12 S6 J7       news feed files (overlapping re-reads) streamed into a corpus
 hot_terms      A3 T3 F6 F7 P7 P8     whole corpus as the window
 hot_terms_pre  A4                    whole corpus, corpus-wide distinctive terms
 tfpdf_terms    A5 A22                channel = source
@@ -18,6 +19,8 @@ hot_writeback  J20                   news rows receive their hot score
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,9 @@ from tessera.operators import corpus as C
 from tessera.operators import hot as H
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
-from tessera.sources.store import derived_table
+from tessera.session import checkpoint_dir
+from tessera.sources.store import derived_path, derived_table
+from tessera.streaming import feeds as ST
 
 # Parameters of the bound queries (word lists are job inputs, not data).
 HOT_STOP_WORDS = ["the", "and", "of", "de", "der", "la", "die", "und"]
@@ -110,6 +115,26 @@ def corpus_load(spark, sf_dir):
     return out.withColumn("feed_type", F.col("feed_type").cast("double"))
 
 
+def feed_stream_ingest(spark, sf_dir):
+    """2.12: the news feed delivered as overlapping re-reads (days before
+    2024-01-20, and days from 2024-01-15: the overlap arrives twice), streamed
+    two files per micro-batch into a fresh day-partitioned corpus.  Every news
+    document is stored exactly once."""
+    def build():
+        news, _, _ = feeds(spark, sf_dir)
+        news = news.select(*[F.col(c.split(" ")[0]).cast(c.split(" ")[1]).alias(c.split(" ")[0])
+                             for c in ST.FEED_SCHEMAS["news"].split(", ")])
+        early = news.where(F.col("notice_time") < F.lit("2024-01-20").cast("timestamp")).repartition(4)
+        late = news.where(F.col("notice_time") >= F.lit("2024-01-15").cast("timestamp")).repartition(4)
+        return early.unionByName(late)  # one file per partition, each file one re-read
+    src = derived_path(spark, "feed_news_files", _inputs(sf_dir), build)
+    run = f"{checkpoint_dir(spark).rstrip('/')}/streams/news-{uuid.uuid4().hex}"
+    ST.ingest(spark, "news", src, f"{run}/corpus", checkpoint=f"{run}/checkpoint",
+              max_files_per_trigger=2).awaitTermination()
+    out = spark.read.parquet(f"{run}/corpus").drop("day")
+    return out.withColumn("feed_type", F.col("feed_type").cast("double"))
+
+
 def _index(spark, sf_dir, keep=()):
     docs = corpus(spark, sf_dir)
     dt = content_terms(spark, sf_dir, keep=keep)
@@ -200,6 +225,7 @@ def hot_writeback(spark, sf_dir):
 
 QUERIES = {
     "corpus_load": corpus_load,
+    "feed_stream_ingest": feed_stream_ingest,
     "hot_terms": hot_terms,
     "hot_terms_pre": hot_terms_pre,
     "tfpdf_terms": tfpdf_terms,
@@ -365,8 +391,12 @@ WHERE notice_time BETWEEN TIMESTAMP '{LOAD_START}' AND TIMESTAMP '{LOAD_END}'
   AND doc_id NOT IN (SELECT doc_id FROM docs_all
                      WHERE notice_time BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '{LOADED_BEFORE}')"""
 
+FEED_STREAM_SQL = "WITH " + FEEDS_SQL + """
+SELECT * REPLACE (CAST(feed_type AS DOUBLE) AS feed_type) FROM docs_all WHERE platform = 1"""
+
 ORACLE = {
     "corpus_load": CORPUS_LOAD_SQL,
+    "feed_stream_ingest": FEED_STREAM_SQL,
     "hot_terms": HOT_TERMS_SQL,
     "hot_terms_pre": HOT_TERMS_PRE_SQL,
     "tfpdf_terms": TFPDF_TERMS_SQL,

@@ -48,6 +48,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 def derived_table(spark: SparkSession, name: str, inputs, build: Callable[[], DataFrame],
                   params: str = "") -> DataFrame:
     """The table `build()` describes, written once per (name, params, inputs)."""
+    return spark.read.parquet(derived_path(spark, name, inputs, build, params))
+
+
+def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], DataFrame],
+                 params: str = "") -> str:
+    """Folder of the Parquet files of `build()`, written once per (name,
+    params, inputs); one file per partition of the built DataFrame."""
     key = hashlib.sha1(f"{name}|{params}|{fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
     path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
     if not exists(spark, path + "/_SUCCESS"):
@@ -60,4 +67,4 @@ def derived_table(spark: SparkSession, name: str, inputs, build: Callable[[], Da
         _, dst = _fs(spark, path)
         if not fs.rename(src, dst):  # another job got there first: use its table
             fs.delete(src, True)
-    return spark.read.parquet(path)
+    return path

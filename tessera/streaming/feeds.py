@@ -5,15 +5,17 @@ and skips ids it already holds.  Here one feed folder is a file stream:
 
     readStream.parquet(feed folder)        new files only, tracked by the source
     -> S6 normalisation to the document schema
-    -> withWatermark + dropDuplicatesWithinWatermark(doc_id)   repeats in flight
-    -> foreachBatch: anti join (J7) against the stored corpus, append
-
-The stored corpus is partitioned by publication day; the anti join matches on
-(day, doc_id), so dynamic partition pruning reads only the days a batch
-touches.  Late rows beyond the watermark are still caught by the anti join, so
-nothing is dropped and nothing is stored twice.  A re-run batch after a lost
-executor or driver (the checkpoint replays it) finds its own rows already
-stored and appends nothing.
+    -> foreachBatch: de-duplicate the batch on doc_id, anti join (J7) against
+       the stored corpus, append
+
+No event-time watermark: feeds re-deliver old records in any order (the
+overlapping re-reads), and a watermarked de-duplication would drop every row
+behind the watermark.  The stored corpus is the only state across batches, so
+nothing is dropped and nothing is stored twice.  It is partitioned by
+publication day and the anti join matches on (day, doc_id), so dynamic
+partition pruning reads only the days a batch touches.  A batch replayed after
+a lost executor or driver (the checkpoint replays it) finds its own rows
+already committed and appends nothing.
 """
 
 from __future__ import annotations
@@ -52,21 +54,19 @@ def new_documents(batch: DataFrame, corpus_path: str) -> DataFrame:
     return batch.join(stored, ["day", "doc_id"], "left_anti")
 
 
-def feed_stream(spark: SparkSession, feed: str, src_dir: str, watermark: str = "2 days",
+def feed_stream(spark: SparkSession, feed: str, src_dir: str,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """The normalised, de-duplicated document stream of one feed folder."""
+    """The normalised document stream of one feed folder."""
     reader = spark.readStream.schema(FEED_SCHEMAS[feed])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = _NORMALISE[feed](reader.parquet(src_dir))
-    return (docs.withColumn("day", F.to_date("notice_time"))
-                .withWatermark("notice_time", watermark)
-                .dropDuplicatesWithinWatermark(["doc_id"]))
+    return docs.withColumn("day", F.to_date("notice_time"))
 
 
 def ingest(spark: SparkSession, feed: str, src_dir: str, corpus_path: str,
-           checkpoint: str | None = None, watermark: str = "2 days",
-           available_now: bool = True, processing_time: str | None = None):
+           checkpoint: str | None = None, available_now: bool = True,
+           processing_time: str | None = None, max_files_per_trigger: int | None = None):
     """Start the ingest of `feed` files arriving in `src_dir` into the corpus
     table at `corpus_path` (Parquet partitioned by day).  With `available_now`
     (default) every file present is processed and the query stops; otherwise
@@ -74,10 +74,10 @@ def ingest(spark: SparkSession, feed: str, src_dir: str, corpus_path: str,
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/ingest-{feed}"
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        new = new_documents(batch, corpus_path)
+        new = new_documents(batch.dropDuplicates(["doc_id"]), corpus_path)
         new.write.mode("append").partitionBy("day").parquet(corpus_path)
 
-    w = (feed_stream(spark, feed, src_dir, watermark).writeStream
+    w = (feed_stream(spark, feed, src_dir, max_files_per_trigger).writeStream
          .foreachBatch(append).option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()

@@ -108,12 +108,15 @@ def test_streaming_ingest_is_idempotent(spark):
         .coalesce(1).write.parquet(f"{src}/b1")
     ingest(spark, "news", f"{src}/*", corpus, checkpoint=f"{d}/ck").awaitTermination()
     assert sorted(r[0] for r in spark.read.parquet(corpus).select("doc_id").collect()) == ["N1", "N2"]
-    # a second file repeats N2 and adds N3; a late N1 outside the watermark is caught by the anti join
-    spark.createDataFrame([row(2, 2), row(3, 9), row(1, 1, "o")], FEED_SCHEMAS["news"]) \
+    # later files repeat N2 and N1 and bring N3 (day 28) before N4 (day 3):
+    # records far behind the newest one are kept, repeats are not stored twice
+    spark.createDataFrame([row(2, 2), row(3, 28), row(1, 1, "o")], FEED_SCHEMAS["news"]) \
         .coalesce(1).write.parquet(f"{src}/b2")
     ingest(spark, "news", f"{src}/*", corpus, checkpoint=f"{d}/ck").awaitTermination()
+    spark.createDataFrame([row(4, 3), row(2, 2)], FEED_SCHEMAS["news"]).coalesce(1).write.parquet(f"{src}/b3")
+    ingest(spark, "news", f"{src}/*", corpus, checkpoint=f"{d}/ck").awaitTermination()
     got = spark.read.parquet(corpus)
-    assert sorted(r[0] for r in got.select("doc_id").collect()) == ["N1", "N2", "N3"]
+    assert sorted(r[0] for r in got.select("doc_id").collect()) == ["N1", "N2", "N3", "N4"]
     assert got.where(F.col("doc_id") == "N1").first()["main_body"] == "o+:"
 
 
