@@ -1,7 +1,7 @@
 """Key counts, calendars and health checks bound to the driver tables.
 
 key_count        A1  keys = first character of every word of documents.text
-key_count_parts  T7  the same counts in 13 hash parts, sorted inside each part
+key_count_parts  T7  the same counts with the reference's reducer number (13 parts), sorted per part
 numeric_terms    P7  document terms that parse as numbers, with their doc count
 half_day_counts  X3 F16  events per half-day publication period
 partition_health X1 S5   days 2024-01-01..2024-02-05 x events per day
@@ -81,6 +81,16 @@ ORACLE = {
     "key_count": f"""
 SELECT substring(w, 1, 1) AS key, count(*) AS n
 FROM (SELECT unnest({_tok('text')}) AS w FROM documents) GROUP BY 1""",
+    "key_count_parts": f"""
+WITH counts AS (SELECT substring(w, 1, 1) AS key, count(*) AS n
+                FROM (SELECT unnest({_tok('text')}) AS w FROM documents) GROUP BY 1),
+bytes AS (SELECT key, n, list_transform(regexp_extract_all(hex(encode(key)), '(..)', 1),
+                                        lambda x: CAST(('0x' || x)::INTEGER AS BIGINT)) AS b FROM counts)
+SELECT key, n,
+       CAST(list_reduce(list_concat([CAST(0 AS BIGINT)],
+                                    list_transform(b, lambda v: CASE WHEN v > 127 THEN v - 256 ELSE v END)),
+                        lambda h, v: ((h * 31 + v) % 2147483648 + 2147483648) % 2147483648) % 13 AS INTEGER) AS part
+FROM bytes""",
     "numeric_terms": f"""
 SELECT term, count(*) AS n_docs
 FROM (SELECT DISTINCT doc_id, unnest({_tok('lower(text)')}) AS term FROM documents)

@@ -232,3 +232,19 @@ def test_survivors_hot_key_matches_brute_force(spark):
         if op == "DEL":
             last_del[k] = max(last_del.get(k, -1), s)
     assert got == sorted(s for k, op, s in rows if op == "ADD" and s > last_del.get(k, -1))
+
+
+def test_reducer_part_matches_java_byte_hash(spark):
+    def java_part(key, n):
+        h = 0
+        for b in key.encode("utf-8"):
+            h = (31 * h + (b - 256 if b > 127 else b)) & 0xFFFFFFFF  # int overflow
+        return (h & 0x7FFFFFFF) % n
+    keys = ["", "a", "Z", "é", "中", "key", "hello world", "Ünïcødé-ß", "x" * 40, "日本語テキスト"]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = {r["key"]: r["p"] for r in df.select("key", K.reducer_part("key", 13).alias("p")).collect()}
+    assert got == {k: java_part(k, 13) for k in keys}
+    counts = K.key_count(spark.createDataFrame([(k,) for k in keys * 3], "key string"))
+    parts = K.key_count_parts(counts, 13).collect()
+    assert {(r["key"], r["part"]) for r in parts} == {(k, java_part(k, 13)) for k in keys}
+    assert all(r["n"] == 3 for r in parts)
