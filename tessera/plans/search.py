@@ -134,6 +134,9 @@ def user_vocabulary(spark, sf_dir):
                .where(F.col("uid") < 9800)
                .withColumn("user_name", F.concat(F.lit("user_"), F.floor(F.col("uid") / 2).cast("string"))))
     first = users.groupBy("user_name").agg(F.min("uid").alias("uid"))
+    # One line per user is the S18 format itself.  The lists are built from
+    # distinct (user, keyword) / (user, institution) pairs, so their length is
+    # bounded by the keyword and institution tables, not by the event volume.
     kws = kw.groupBy("uid").agg(F.array_join(F.array_sort(F.collect_set("keyword")), "\t").alias("key_words"))
     comp = (clicks.join(company, "institutionid")
                   .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(
