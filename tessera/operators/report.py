@@ -267,8 +267,14 @@ def global_row_index(df: DataFrame, order_col: str, n_parts: int | None = None)
     window: range-partition, number rows inside each partition, then add the
     row count of all earlier partitions (a table with one row per partition)."""
     n = n_parts or df.sparkSession.sparkContext.defaultParallelism
-    r = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
-    r = r.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)) - 1)
+    # after the range shuffle and a sort inside each partition, the generated
+    # id holds the partition in its upper bits and the row's position in the
+    # lower 33: the local index needs no window and no second shuffle
+    r = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+           .withColumn("_mid", F.monotonically_increasing_id()))
+    r = (r.withColumn("_pid", F.shiftright("_mid", 33))
+          .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+          .drop("_mid"))
     counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition

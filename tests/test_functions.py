@@ -248,3 +248,12 @@ def test_reducer_part_matches_java_byte_hash(spark):
     parts = K.key_count_parts(counts, 13).collect()
     assert {(r["key"], r["part"]) for r in parts} == {(k, java_part(k, 13)) for k in keys}
     assert all(r["n"] == 3 for r in parts)
+
+
+def test_global_row_index_is_sorted_position(spark):
+    from tessera.operators import report as R
+    import random
+    vals = random.Random(3).sample(range(100_000), 2000)
+    df = spark.createDataFrame([(v, f"x{v}") for v in vals], "k long, s string")
+    got = {r["k"]: r["row_index"] for r in R.global_row_index(df, "k", n_parts=7).collect()}
+    assert got == {v: i for i, v in enumerate(sorted(vals))}
