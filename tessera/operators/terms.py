@@ -17,17 +17,28 @@ from tessera.functions.text import tokens
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content",
-              keep=(), field: str | None = None, lower: bool = True, stop_words=None) -> DataFrame:
+              keep=(), field: str | None = None, lower: bool = True, stop_words=None,
+              dictionary: DataFrame | None = None) -> DataFrame:
     """X6 (+A2 length): (doc_id, term, tf, doc_len, *keep).  Documents without
-    any token have no rows (the reference drops docs without a vector)."""
+    any token have no rows (the reference drops docs without a vector).  With
+    a user `dictionary` (column `word`), Han text is cut by forward maximum
+    matching (`operators.segment`)."""
     keep = list(keep)
     # No explicit repartition: a corpus deduplicated on doc_id is already hash
     # partitioned by it, which satisfies the (doc_id, ...) aggregate below and
     # every later per-document window; other inputs shuffle (doc, term) pairs
     # after the map-side partial aggregate.
-    d = (docs.select(F.col(id_col).alias("doc_id"), *keep,
-                     tokens(F.col(text_col), lower, stop_words).alias("toks"))
-             .withColumn("doc_len", F.size("toks")))
+    if dictionary is None:
+        d = docs.select(F.col(id_col).alias("doc_id"), *keep,
+                        tokens(F.col(text_col), lower, stop_words).alias("toks"))
+    else:
+        from tessera.operators.segment import segment
+        seg = segment(docs, dictionary, id_col, text_col, lower=lower)
+        stops = list(stop_words or [])
+        seg = seg.select("doc_id", F.filter("toks", lambda x: ~x.isin(*stops)).alias("toks") if stops
+                         else F.col("toks"))
+        d = docs.select(F.col(id_col).alias("doc_id"), *keep).join(seg, "doc_id")
+    d = d.withColumn("doc_len", F.size("toks"))
     out = (d.select("doc_id", "doc_len", *keep, F.explode("toks").alias("term"))
             .groupBy("doc_id", "doc_len", *keep, "term")
             .agg(F.count(F.lit(1)).alias("tf")))

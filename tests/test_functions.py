@@ -257,3 +257,46 @@ def test_global_row_index_is_sorted_position(spark):
     df = spark.createDataFrame([(v, f"x{v}") for v in vals], "k long, s string")
     got = {r["k"]: r["row_index"] for r in R.global_row_index(df, "k", n_parts=7).collect()}
     assert got == {v: i for i, v in enumerate(sorted(vals))}
+
+
+def test_cjk_forward_maximum_match(spark):
+    import re
+    from tessera.functions.text import TOKEN_SPLIT
+    from tessera.operators.segment import segment
+    words = ["中华", "中华人民", "人民共和国", "共和国", "成立", "中国", "银行", "中国银行", "股份", "有限公司"]
+    texts = {1: "中华人民共和国成立了", 2: "中国银行股份有限公司发布公告 Bank of China 2024年报",
+             3: "没有词典词", 4: "abc DEF", 5: "", 6: "银行银行行"}
+
+    def fmm(run):
+        out, i, mx = [], 0, max(len(w) for w in words)
+        while i < len(run):
+            for ln in range(min(mx, len(run) - i), 0, -1):
+                if ln == 1 or run[i:i + ln] in words:
+                    out.append(run[i:i + ln])
+                    i += ln
+                    break
+        return out
+
+    def brute(text):
+        toks = [t for t in re.split(r"[^\w]+|_", text.lower()) if t]
+        out = []
+        for t in toks:
+            for piece in re.findall(r"[一-鿿]+|[^一-鿿]+", t):
+                out += fmm(piece) if re.fullmatch(r"[一-鿿]+", piece) else [piece]
+        return out
+
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, content string")
+    dic = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {r["doc_id"]: r["toks"] for r in segment(docs, dic).collect()}
+    expected = {k: brute(v) for k, v in texts.items() if brute(v)}
+    assert got == expected
+    assert got[1] == ["中华人民", "共和国", "成立", "了"]
+
+
+def test_doc_terms_with_dictionary(spark):
+    from tessera.operators import terms as T
+    docs = spark.createDataFrame([(1, "中国银行中国银行 bank", "s")], "doc_id long, content string, source string")
+    dic = spark.createDataFrame([("中国银行",), ("银行",)], "word string")
+    got = sorted((r["term"], r["tf"], r["doc_len"], r["source"])
+                 for r in T.doc_terms(docs, keep=("source",), dictionary=dic).collect())
+    assert got == [("bank", 1, 3, "s"), ("中国银行", 2, 3, "s")]
