@@ -106,9 +106,11 @@ def series(nav: DataFrame, funds: DataFrame, windows: DataFrame) -> DataFrame:
           .withColumn("price", F.when(F.col("method") == PER_NAV, F.col("per_nav"))
                       .otherwise(F.exp(F.sum(log_growth).over(running)))))
     peak = F.max(F.when(F.col("rn") > 1, F.col("price"))).over(running)
+    peak_full = F.max("price").over(running)  # Q3 alternative: the first row counts
     return (s.withColumn("peak", peak)
              .withColumn("dd", F.when(F.col("rn") > 1, (F.col("peak") - F.col("price")) / F.col("peak"))
-                         .otherwise(F.lit(0.0))))
+                         .otherwise(F.lit(0.0)))
+             .withColumn("dd_full", (peak_full - F.col("price")) / peak_full))
 
 
 def series_stats(s: DataFrame) -> DataFrame:
@@ -118,7 +120,8 @@ def series_stats(s: DataFrame) -> DataFrame:
                   F.max_by("price", "date").alias("p_last"),
                   F.avg("ret").alias("r_mean"),
                   F.stddev_pop("ret").alias("r_std"),
-                  F.max("dd").alias("mdd")))
+                  F.max("dd").alias("mdd"),
+                  F.max("dd_full").alias("mdd_full")))
 
 
 def fund_indicators(nav: DataFrame, fund_category: DataFrame, *, categories, methods: dict,

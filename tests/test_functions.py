@@ -300,3 +300,40 @@ def test_doc_terms_with_dictionary(spark):
     got = sorted((r["term"], r["tf"], r["doc_len"], r["source"])
                  for r in T.doc_terms(docs, keep=("source",), dictionary=dic).collect())
     assert got == [("bank", 1, 3, "s"), ("中国银行", 2, 3, "s")]
+
+
+def test_max_drawdown_full_option(spark):
+    nav = spark.createDataFrame(_series(spark, "B", [5, 4, 4.4]),
+                                "code string, date date, per_nav double, wan_per_nav double")
+    cats = spark.createDataFrame([("B", "p")], "code string, category string")
+    r = FU.fund_indicators(nav, cats, categories=["p"], methods={"p": "per_nav"}, lookbacks=[("all", None)],
+                           as_of="2016-05-31", funds=["B"],
+                           indicators=["max_drawdown", "max_drawdown_full"]).first()
+    assert r["max_drawdown"] == 0.0
+    assert r["max_drawdown_full"] == pytest.approx(0.2)
+
+
+def test_relevance_include_unmatched_matches_brute_force(spark):
+    import datetime as _d
+    from tessera.operators import search as S
+    from tessera.operators import terms as T
+    texts = ["alpha beta", "beta gamma", "gamma delta", "delta", "epsilon alpha", "zeta", "eta theta", "alpha"]
+    docs = spark.createDataFrame(
+        [(f"N{i}", _d.datetime(2024, 1, 1 + i), 1, float(i % 3), t) for i, t in enumerate(texts)],
+        "doc_id string, notice_time timestamp, platform int, sentiment double, content string")
+    dt = T.doc_terms(docs)
+    interests = spark.createDataFrame([(1, "keyword", "alpha", "alpha", 1, 1.2), (2, "keyword", "delta", "delta", 1, 1.2),
+                                       (3, "keyword", "nothing", "nothing", 1, 1.2)],
+                                      "uid long, kind string, name string, term string, n_tokens int, boost double")
+    w = docs.select("doc_id", "notice_time", "platform", "sentiment")
+    k = 4
+    base = S.user_relevance(w, dt, interests, limit=100).collect()
+    got = S.user_relevance(w, dt, interests, limit=k, include_unmatched=True).collect()
+    meta = {r["doc_id"]: r for r in w.collect()}
+    for uid in (1, 2, 3):
+        scores = {r["doc_id"]: r["score"] for r in base if r["uid"] == uid}
+        rows = [(scores.get(d, 0.0), m["sentiment"], m["notice_time"], d) for d, m in meta.items()]
+        rows.sort(key=lambda x: (-round(x[0], 9), -x[1], -x[2].timestamp(), x[3]))
+        expected = [d for *_, d in rows[:k]]
+        mine = [r["doc_id"] for r in sorted((r for r in got if r["uid"] == uid), key=lambda r: r["rank"])]
+        assert mine == expected, (uid, mine, expected)
