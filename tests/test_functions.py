@@ -42,6 +42,7 @@ EXPECTED = {
 
 
 def test_indicators(spark):
+    # checks A8 A9 A10 A11 A12 A13 W1 W3 Y1
     rows = (_series(spark, "A", [4, 5, 3, 2, 0.56]) + _series(spark, "B", [5, 4, 4.4])
             + _series(spark, "C", [1.0]) + _series(spark, "E", [2, 1.5, 1.2, 1.3, 1.1])
             + _series(spark, "D", returns=[0.001, 0.002, -0.001, 0.0005]))
@@ -69,6 +70,7 @@ def test_indicators(spark):
 
 
 def test_missing_fund_gives_blank_row(spark):
+    # checks A24 P22 Q7
     nav = spark.createDataFrame([("A", dt.date(2016, 5, 1), 1.0, None)],
                                 "code string, date date, per_nav double, wan_per_nav double")
     cats = spark.createDataFrame([("A", "p")], "code string, category string")
@@ -89,12 +91,14 @@ def test_missing_fund_gives_blank_row(spark):
     ("2016-05-10", "all", None, None), ("2016-05-31", "month", 3, "2016-02-29"),
 ])
 def test_lag_date(spark, as_of, unit, n, expected):
+    # checks F1 Q5 Q6
     r = spark.range(1).select(lag_date(F.to_date(F.lit(as_of)), F.lit(unit), F.lit(n).cast("int")).alias("d")).first()
     assert (str(r["d"]) if r["d"] else None) == expected
 
 
 # 2.3 key count ---------------------------------------------------------------
 def test_key_count_empty_key_is_its_own(spark):
+    # checks A1 Q1 Q2
     keys = spark.createDataFrame([("",), ("",), ("a",)], "key string")
     assert sorted(K.key_count(keys).collect()) == [("", 2), ("a", 1)]
     assert K.key_count(keys, drop_empty=True).collect() == [("a", 1)]
@@ -102,6 +106,7 @@ def test_key_count_empty_key_is_its_own(spark):
 
 
 def test_key_count_parts_each_key_once(spark):
+    # checks T7
     keys = spark.createDataFrame([(chr(65 + i % 26),) for i in range(500)], "key string")
     parts = K.key_count_parts(K.key_count(keys), 13).collect()
     assert sum(r["n"] for r in parts) == 500
@@ -110,6 +115,7 @@ def test_key_count_parts_each_key_once(spark):
 
 # 2.4 term weights ------------------------------------------------------------
 def test_bm25_and_idf(spark):
+    # checks F7
     r = spark.range(1).select(
         SC.idf(F.lit(4.0), F.lit(2.0)).alias("idf"),
         SC.bm25(F.lit(2.0), F.lit(3.0), F.lit(2.0), SC.idf(F.lit(4.0), F.lit(2.0))).alias("a"),
@@ -125,12 +131,14 @@ def test_bm25_and_idf(spark):
     (0.5, 0.0, 0, 3.0), (0.6, 0.2, 2, 6.0),
 ])
 def test_burst_ratio(spark, current, past_sum, past_count, expected):
+    # checks F5 Q24
     r = spark.range(1).select(SC.burst_ratio(F.lit(current), F.lit(past_sum), F.lit(past_count)).alias("x")).first()
     assert r["x"] == pytest.approx(expected)
 
 
 # 2.6 filters ------------------------------------------------------------------
 def test_number_and_hot_stop_filters(spark):
+    # checks P7 P8
     t = spark.createDataFrame([(x,) for x in ["12", "1e5", "3.", ".5", "abc", "1d"]], "term string")
     assert sorted(r[0] for r in H.drop_numbers(t).collect()) == ["1d", "abc"]
     t2 = spark.createDataFrame([(x,) for x in ["news", "company news", "newsroom"]], "term string")
@@ -139,6 +147,7 @@ def test_number_and_hot_stop_filters(spark):
 
 
 def test_white_and_black_lists(spark):
+    # checks P9 P10 Q11 Q12
     docs = spark.createDataFrame([("1", "rally"), ("2", "ad: rally"), ("3", "calm")], "doc_id string, title string")
     white = spark.createDataFrame([("rally", 2.5)], "word string, score double")
     black = spark.createDataFrame([("ad",), ("",)], "word string")
@@ -149,11 +158,13 @@ def test_white_and_black_lists(spark):
 
 
 def test_platform_filter(spark):
+    # checks P3
     df = spark.createDataFrame([(1, 0), (1, 2), (3, 0), (1, None)], "platform int, feed_type int")
     assert sorted(C.exclude_micro_and_type2(df).collect(), key=str) == sorted([(1, 0), (1, None)], key=str)
 
 
 def test_scalar_text_functions(spark):
+    # checks F9 F10 F12 X4
     r = spark.range(1).select(
         strip_parentheses(F.lit("a(b)（c）")).alias("p"),
         area_prefix(F.lit("内蒙古自治区")).alias("a3"), area_prefix(F.lit("北京市")).alias("a2"),
@@ -165,6 +176,7 @@ def test_scalar_text_functions(spark):
 
 
 def test_half_day_edges(spark):
+    # checks X3 F16
     d = dt.datetime(2016, 5, 10)
     df = spark.createDataFrame([(d.replace(hour=8, minute=59),), (d.replace(hour=9, minute=1),),
                                 (d.replace(hour=17, minute=31),)], "ts timestamp")
@@ -174,6 +186,7 @@ def test_half_day_edges(spark):
 
 # 2.10 calendar -----------------------------------------------------------------
 def test_calendar(spark):
+    # checks X1 X2 Q20
     assert [str(r[0]) for r in CAL.days(spark, "20160229", "20160302").collect()] == \
         ["2016-02-29", "2016-03-01", "2016-03-02"]
     assert [r["hour_key"] for r in CAL.hours(spark, "2016063023", "2016070101").collect()] == \
@@ -182,6 +195,7 @@ def test_calendar(spark):
 
 
 def test_drawdown_invariant(spark):
+    # checks A12 Q3
     prices = [3.0, 1.0, 4.0, 1.5, 5.0, 9.0, 2.0, 6.0]
     rows = [("F", dt.date(2016, 1, 1) + dt.timedelta(days=i), p, None) for i, p in enumerate(prices)]
     nav = spark.createDataFrame(rows, "code string, date date, per_nav double, wan_per_nav double")
@@ -199,6 +213,7 @@ def test_drawdown_invariant(spark):
 
 # 2.8 change application -------------------------------------------------------
 def test_email_changes_fixture(spark):
+    # checks C1 C2 C5 W6 S16
     from tessera.operators import changes as CH
     lines = [("acme", "email", "20160701", 1, "add,Ann,ann@x.com"),
              ("acme", "email", "20160701", 2, "DEL,Ann,ann@x.com"),
@@ -220,6 +235,7 @@ def test_email_changes_fixture(spark):
 
 
 def test_survivors_hot_key_matches_brute_force(spark):
+    # checks W6
     from tessera.operators import changes as CH
     import random
     rnd = random.Random(7)
@@ -235,6 +251,7 @@ def test_survivors_hot_key_matches_brute_force(spark):
 
 
 def test_reducer_part_matches_java_byte_hash(spark):
+    # checks T7
     def java_part(key, n):
         h = 0
         for b in key.encode("utf-8"):
@@ -251,6 +268,7 @@ def test_reducer_part_matches_java_byte_hash(spark):
 
 
 def test_global_row_index_is_sorted_position(spark):
+    # checks S14 W7
     from tessera.operators import report as R
     import random
     vals = random.Random(3).sample(range(100_000), 2000)
@@ -260,6 +278,7 @@ def test_global_row_index_is_sorted_position(spark):
 
 
 def test_cjk_forward_maximum_match(spark):
+    # checks X4 Y3
     import re
     from tessera.functions.text import TOKEN_SPLIT
     from tessera.operators.segment import segment
@@ -294,6 +313,7 @@ def test_cjk_forward_maximum_match(spark):
 
 
 def test_doc_terms_with_dictionary(spark):
+    # checks X4 X6
     from tessera.operators import terms as T
     docs = spark.createDataFrame([(1, "中国银行中国银行 bank", "s")], "doc_id long, content string, source string")
     dic = spark.createDataFrame([("中国银行",), ("银行",)], "word string")
@@ -303,6 +323,7 @@ def test_doc_terms_with_dictionary(spark):
 
 
 def test_max_drawdown_full_option(spark):
+    # checks A12 Q3
     nav = spark.createDataFrame(_series(spark, "B", [5, 4, 4.4]),
                                 "code string, date date, per_nav double, wan_per_nav double")
     cats = spark.createDataFrame([("B", "p")], "code string, category string")
@@ -314,6 +335,7 @@ def test_max_drawdown_full_option(spark):
 
 
 def test_relevance_include_unmatched_matches_brute_force(spark):
+    # checks X14 T5 Q9
     import datetime as _d
     from tessera.operators import search as S
     from tessera.operators import terms as T

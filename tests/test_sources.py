@@ -20,6 +20,7 @@ def _scratch():
 
 
 def test_key_files_count(spark):
+    # checks S1 A1
     d = _scratch()
     expected = {}
     for i in range(5):
@@ -35,6 +36,7 @@ def test_key_files_count(spark):
 
 
 def test_merge_parts_and_idempotent_write(spark):
+    # checks S3 S4
     d = _scratch()
     spark.createDataFrame([(f"line{i}",) for i in range(20)], "value string").repartition(3) \
         .write.text(f"{d}/src")
@@ -49,6 +51,7 @@ def test_merge_parts_and_idempotent_write(spark):
 
 
 def test_word_lists(spark):
+    # checks S10 Q12 Q28
     d = _scratch()
     with open(f"{d}/w.txt", "w") as f:
         f.write("alpha 3.5\n beta \n\n gamma x\n   \ndelta\t1\n")
@@ -58,6 +61,7 @@ def test_word_lists(spark):
 
 
 def test_stata_to_csv(spark):
+    # checks S19
     d = _scratch()
     os.makedirs(f"{d}/in")
     pd.DataFrame({"a": [1, 2, 3], "b": ["x", "y", "z"]}).to_stata(f"{d}/in/one.dta", write_index=False)
@@ -71,6 +75,7 @@ def test_stata_to_csv(spark):
 
 
 def test_body_extraction_rules():
+    # checks X19 Y3
     html = ("<html><head><title>T</title><script>var t=\"</p>\";</script></head><body>"
             "<div class='ad'>buy</div><article><h1>Head</h1><p><b>One</b> a<br>b<p>Two &amp; more</p>"
             "<!-- <p>hidden</p> --></article></body></html>")
@@ -82,6 +87,7 @@ def test_body_extraction_rules():
 
 
 def test_links_absolute(spark):
+    # checks X18 F14
     pages = spark.createDataFrame(
         [(1, "http://h.example/a/b.html", "<nav><ul><li><a href='/x'>X</a></li><li><a href='./y'>Y</a></li>"
                                            "<li><a href='http://o/z'>Z</a></li></ul></nav>")],
@@ -91,6 +97,7 @@ def test_links_absolute(spark):
 
 
 def test_article_blocks_round_trip(spark):
+    # checks S17
     d = _scratch()
     arts = spark.createDataFrame([("t1", "2016年x", "u1", "body one\nline"), ("t2", None, "u2", "b2")],
                                  "title string, time string, url string, body string")
@@ -100,6 +107,7 @@ def test_article_blocks_round_trip(spark):
 
 
 def test_streaming_ingest_is_idempotent(spark):
+    # checks S6 J7 U2
     d = _scratch()
     src, corpus = f"{d}/src", f"{d}/corpus"
     row = lambda i, day, org=None: (i, f"t{i}", None, f"body {i}", dt.datetime(2024, 1, day, 10), "s", 1,
@@ -121,6 +129,7 @@ def test_streaming_ingest_is_idempotent(spark):
 
 
 def test_key_values_per_file(spark):
+    # checks S9
     from tessera.operators import report as R
     d = _scratch()
     with open(f"{d}/a.ini", "w") as f:
