@@ -79,5 +79,6 @@ def indicator_columns(names=None) -> list[Column]:
 
 
 def format_8(c: Column) -> Column:
-    """`%.08f` text, NULL -> '' (only at the CSV edge)."""
-    return F.coalesce(F.format_string("%.8f", c), F.lit(""))
+    """`%.08f` text, NULL -> '' (only at the CSV edge).  format_string
+    turns a NULL argument into the text 'null', so NULL is tested first."""
+    return F.when(c.isNull(), F.lit("")).otherwise(F.format_string("%.8f", c))

@@ -258,7 +258,11 @@ def subscription_change_lines(subscriptions: DataFrame, staff_alias: DataFrame)
 
 
 def write_change_files(lines: DataFrame, path: str, date: str, mode: str = "overwrite") -> None:
-    """One folder per (user, type); lines sorted."""
-    (lines.withColumn("date", F.lit(date)).repartition("user_name", "file_type")
+    """One folder per (user, type); lines sorted (T6).  A range shuffle
+    on (user, type, line) spreads a user with many lines over several tasks;
+    each task writes a sorted, contiguous range, so the part files of a folder
+    taken in name order are the user's whole sorted file."""
+    (lines.withColumn("date", F.lit(date))
+          .repartitionByRange("user_name", "file_type", "line")
           .sortWithinPartitions("user_name", "file_type", "line")
           .write.mode(mode).partitionBy("user_name", "file_type", "date").text(path))

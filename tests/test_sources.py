@@ -139,3 +139,59 @@ def test_key_values_per_file(spark):
     lines = R.with_line_order(spark.read.text(f"{d}/*.ini"), with_file=True)
     got = sorted(tuple(r) for r in R.parse_key_values(lines).collect())
     assert got == [(1, 10), (4, 40)]
+
+
+def test_institution_count_files(spark):
+    # checks S7 S8
+    from tessera.operators import report as R
+    lines = spark.createDataFrame(
+        [("1\tA\tA Ltd\t5\t2", 0), ("1\tA2\tA Ltd\t7\t3", 1), ("bad line", 2), ("2\tB\tB Co\tx\t1", 3),
+         ("3\tC\tC Co\t4", 4), ("3\tC\tC Co\t6", 5)], "value string, seq long")
+    first = {r["institutionid"]: (r["shortname"], r["news_count_neg"]) for r in
+             R.parse_institution_counts(lines, keep="first").collect()}
+    last = {r["institutionid"]: (r["shortname"], r["news_count"]) for r in
+            R.parse_institution_counts(lines, keep="last").collect()}
+    assert first == {1: ("A", 2), 2: ("B", 1)}
+    assert last == {1: ("A2", 7), 3: ("C", 6)}
+
+
+def test_change_files_read_and_write(spark):
+    # checks S11 S15 T6
+    from tessera.operators import changes as CH
+    d = _scratch()
+    os.makedirs(f"{d}/in")
+    with open(f"{d}/in/acme_email_20160701.csv", "w") as f:
+        f.write("ADD,Ann,a@x.com\nDEL,Ann,a@x.com\nADD,Bob,b@x.com\n")
+    got = CH.read_change_files(spark, f"{d}/in").orderBy("seq").collect()
+    assert [(r["user_name"], r["file_type"], r["date"], r["line"]) for r in got] == [
+        ("acme", "email", "20160701", "ADD,Ann,a@x.com"), ("acme", "email", "20160701", "DEL,Ann,a@x.com"),
+        ("acme", "email", "20160701", "ADD,Bob,b@x.com")]
+    hot = [("hot", "keyword", f"ADD,k{i:05d},2") for i in range(3000)]
+    cold = [("cold", "email", "ADD,c,c@x.com")]
+    lines = spark.createDataFrame(hot + cold, "user_name string, file_type string, line string").repartition(5)
+    # at this size AQE would merge the range partitions into one; keep them
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        CH.write_change_files(lines, f"{d}/out", "20160701")
+    finally:
+        spark.conf.set(key, old)
+    folder = f"{d}/out/user_name=hot/file_type=keyword/date=20160701"
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    text = [ln for p in parts for ln in open(f"{folder}/{p}").read().splitlines()]
+    assert len(parts) > 1  # the hot user is written by several tasks
+    assert text == sorted(ln for _, _, ln in hot)
+
+
+def test_indicator_csv_sink(spark):
+    # checks S12 F2
+    from tessera.operators import funds as FU
+    d = _scratch()
+    long = spark.createDataFrame([("p", "A", "day", "7", 0.1234567891, None, 1.0, 0.5, None)],
+                                 "category string, code string, interval string, lag string, annual_return double, "
+                                 "annual_volatility double, sharp_ratio double, max_drawdown double, calmar_ratio double")
+    FU.indicator_csv(long, f"{d}/csv")
+    back = spark.read.option("header", True).csv(f"{d}/csv/category=p/interval=day/lag=7").first()
+    assert (back["code"], back["annual_return"], back["annual_volatility"], back["sharp_ratio"]) == \
+        ("A", "0.12345679", None, "1.00000000")
