@@ -359,3 +359,101 @@ def test_relevance_include_unmatched_matches_brute_force(spark):
         expected = [d for *_, d in rows[:k]]
         mine = [r["doc_id"] for r in sorted((r for r in got if r["uid"] == uid), key=lambda r: r["rank"])]
         assert mine == expected, (uid, mine, expected)
+
+
+def test_history_latest_append_and_lines(spark):
+    # checks W8 J23 S13
+    p1, p2, p3 = (dt.datetime(2016, 5, 10, 9), dt.datetime(2016, 5, 10, 17, 30), dt.datetime(2016, 5, 11, 9))
+    hist = spark.createDataFrame([(p1, "a", 0.5, 1), (p1, "a", 0.7, 2), (p1, "b", 0.2, 2), (p2, "c", 0.1, 1)],
+                                 "period_end timestamp, term string, weight double, loaded_at int")
+    latest = H.latest_per_period(hist)
+    assert sorted((r["period_end"], r["term"], r["weight"]) for r in latest.collect()) == \
+        [(p1, "a", 0.7), (p1, "b", 0.2), (p2, "c", 0.1)]
+    new = spark.createDataFrame([(p1, "x", 1.0), (p3, "y", 2.0)], "period_end timestamp, term string, weight double")
+    assert [r["term"] for r in H.append_newer(latest, new).collect()] == ["y"]
+    lines = sorted(r["value"] for r in H.history_lines(latest.drop("loaded_at")).collect())
+    assert lines == ["2016-05-10 09:00\ta:0.700000 b:0.200000", "2016-05-10 17:30\tc:0.100000"]
+
+
+def test_search_combinators_match_brute_force(spark):
+    # checks X8 X9 X10 X11 F19
+    import fnmatch
+    from tessera.operators import search as S
+    from tessera.operators import terms as T
+    texts = ["rally in banks", "bank rally", "market calm", "banking news today", "ralli typo here",
+             "calm banks rally", "nothing relevant", "band plays"]
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, content string")
+    fields = T.doc_terms(docs, field="content")
+    toks = {f"d{i}": t.lower().split() for i, t in enumerate(texts)}
+
+    def lev(a, b):
+        prev = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            cur = [i]
+            for j, cb in enumerate(b, 1):
+                cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+            prev = cur
+        return prev[-1]
+
+    def ev(q, d):
+        if isinstance(q, S.Term):
+            return q.term in toks[d]
+        if isinstance(q, S.Prefix):
+            return any(t.startswith(q.prefix) for t in toks[d])
+        if isinstance(q, S.Wildcard):
+            return any(fnmatch.fnmatchcase(t, q.pattern) for t in toks[d])
+        if isinstance(q, S.Fuzzy):
+            return any(lev(t, q.term) <= q.distance for t in toks[d])
+        if isinstance(q, S.And):
+            return ev(q.left, d) and ev(q.right, d)
+        if isinstance(q, S.Or):
+            return ev(q.left, d) or ev(q.right, d)
+        if isinstance(q, S.AndNot):
+            return ev(q.left, d) and not ev(q.right, d)
+        if isinstance(q, S.AndMaybe):
+            return ev(q.left, d)
+        raise TypeError(q)
+
+    queries = [S.And(S.Term("rally"), S.Prefix("bank")), S.Or(S.Term("calm"), S.Wildcard("ban?")),
+               S.AndNot(S.Prefix("ban"), S.Term("rally")), S.AndMaybe(S.Term("rally"), S.Term("calm")),
+               S.Fuzzy("rally", 1), S.Or(S.Fuzzy("bank", 1), S.Wildcard("*ews"))]
+    for q in queries:
+        got = {r["doc_id"]: r["score"] for r in S.search(docs.select("doc_id"), fields, q).collect()}
+        assert set(got) == {d for d in toks if ev(q, d)}, q
+        assert all(v >= 0 for v in got.values())
+
+
+def test_new_users_numbered_after_max(spark):
+    # checks C7 C1
+    from tessera.operators import changes as CH
+    changes = spark.createDataFrame([("acme", "email", "d", 1, "ADD,a,a@x"), ("zed", "email", "d", 2, "ADD,z,z@x"),
+                                     ("ghost", "email", "d", 3, "ADD,g,g@x")],
+                                    "user_name string, file_type string, date string, seq long, line string")
+    orgs = spark.createDataFrame([(7, "acme"), (3, "other")], "id int, name string")
+    got = {r["user_name"]: r["uid"] for r in CH.route(changes, orgs, allow_new_users=True).collect()}
+    assert got == {"acme": 7, "ghost": 8, "zed": 9}
+    assert {r["user_name"]: r["reject_reason"] for r in CH.route(changes, orgs).collect()}["zed"] == "Unknown user"
+
+
+def test_map_reduce_hook(spark):
+    # checks Y2 A1
+    import pandas as pd
+    lines = spark.createDataFrame([("a b a",), ("c a",), ("b",)], "value string")
+
+    def mapper(pdf):
+        return pd.DataFrame({"key": [w for v in pdf["value"] for w in v.split()]})
+
+    def reducer(pdf):
+        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "n": [len(pdf)]})
+
+    got = sorted(tuple(r) for r in K.map_reduce(lines, mapper, reducer, "key string", "key string, n long").collect())
+    assert got == [("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_bar_and_compact_date(spark):
+    # checks F13 F15
+    from tessera.functions.dates import compact_date
+    from tessera.functions.text import before_bar
+    r = spark.range(1).select(before_bar(F.lit("Title|site")).alias("a"), before_bar(F.lit("plain")).alias("b"),
+                              compact_date(F.lit("2016070123")).alias("c")).first()
+    assert (r["a"], r["b"], str(r["c"])) == ("Title", "plain", "2016-07-01")
