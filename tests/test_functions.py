@@ -457,3 +457,47 @@ def test_bar_and_compact_date(spark):
     r = spark.range(1).select(before_bar(F.lit("Title|site")).alias("a"), before_bar(F.lit("plain")).alias("b"),
                               compact_date(F.lit("2016070123")).alias("c")).first()
     assert (r["a"], r["b"], str(r["c"])) == ("Title", "plain", "2016-07-01")
+
+
+# 2.7 province assignment, 2.9 upsert ---------------------------------------
+def test_province_assignment_fixture(spark):
+    # checks J21 J16 F10 P14 Q17 A14 J15
+    from tessera.operators import report as R
+    divisions = spark.createDataFrame([("110000", "北京市"), ("150000", "内蒙古自治区"), ("150100", "呼和浩特市"),
+                                       ("150101", "市辖区"), ("110100", "市辖区")], "code string, name string")
+    prefixes = R.province_prefixes(divisions)
+    assert sorted((r["province_code"], r["prefix"]) for r in prefixes.collect()) == \
+        [("110000", "北京"), ("150000", "内蒙古"), ("150000", "呼和")]
+    institutions = spark.createDataFrame(
+        [(1, "x", "y"), (2, "呼和浩特市新城区", None), (3, None, "北京市海淀区"), (4, "Unknown road", "北京市海淀区"),
+         (5, None, None)], "institutionid long, registeraddress string, officeaddress string")
+    listed = spark.createDataFrame([(1, "110000")], "institutionid long, province_code string")
+    negatives = spark.createDataFrame([(1, "short1", 3), (2, "short2", 5), (3, "short3", 4), (4, "s4", 2), (5, "s5", 2)],
+                                      "institutionid long, shortname string, news_count_neg long")
+    assigned = R.assign_provinces(negatives, institutions, listed, prefixes)
+    got = {r["institutionid"]: (r["province_code"], r["status"]) for r in assigned.collect()}
+    assert got == {1: ("110000", "listed"), 2: ("150000", "matched"), 3: ("110000", "matched"),
+                   4: (None, "unmatched"), 5: (None, "no_address")}
+    with_fallback = {r["institutionid"]: r["province_code"] for r in
+                     R.assign_provinces(negatives, institutions, listed, prefixes, fallback=True).collect()}
+    assert with_fallback[4] == "110000"
+    roll = {r["province_code"]: (r["total_neg"], r["log_neg"]) for r in
+            R.province_rollup(assigned, negatives, prefixes).collect()}
+    assert roll["110000"][0] == 7 and roll["110000"][1] == pytest.approx(2.079442, abs=1e-6)
+    assert roll["150000"][0] == 5 and roll["150000"][1] == pytest.approx(1.791759, abs=1e-6)
+    members = sorted(r["entry"] for r in R.province_members(assigned, negatives).where("province_code = '110000'").collect())
+    assert members == ["1:short1:3", "3:short3:4"]
+
+
+def test_weekly_upsert_fixture_and_idempotence(spark):
+    # checks J19
+    from tessera.operators import report as R
+    existing = spark.createDataFrame([(1, dt.date(2016, 7, 1), None, 3)],
+                                     "institutionid long, report_date date, location string, news_count_neg long")
+    geo = spark.createDataFrame([(1, "110000", None), (2, "150000", 5)],
+                                "institutionid long, location string, news_count_neg long")
+    once = R.weekly_upsert(existing, [geo], "2016-07-01")
+    rows = sorted((r["institutionid"], r["location"], r["news_count_neg"]) for r in once.collect())
+    assert rows == [(1, "110000", 3), (2, "150000", 5)]
+    twice = R.weekly_upsert(once, [geo], "2016-07-01")
+    assert sorted(tuple(r) for r in twice.collect()) == sorted(tuple(r) for r in once.collect())
