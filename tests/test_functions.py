@@ -501,3 +501,23 @@ def test_weekly_upsert_fixture_and_idempotence(spark):
     assert rows == [(1, "110000", 3), (2, "150000", 5)]
     twice = R.weekly_upsert(once, [geo], "2016-07-01")
     assert sorted(tuple(r) for r in twice.collect()) == sorted(tuple(r) for r in once.collect())
+
+
+def test_keyword_changes_fixture(spark):
+    # checks C3 J9 J10 Q14 Q15 C5
+    from tessera.operators import changes as CH
+    lines = ["ADD,any,2,100", "ADD,B3,2,200", "ADD,B9,2,200", "ADD,Alpha Ltd,0", "ADD,Alpha,0", "ADD,Beta Ltd,0",
+             "ADD,Alpha,1"]
+    changes = spark.createDataFrame([("acme", "keyword", "20160701", i + 1, ln) for i, ln in enumerate(lines)],
+                                    "user_name string, file_type string, date string, seq long, line string")
+    routed = CH.route(changes, spark.createDataFrame([(7, "acme")], "id int, name string"))
+    bonds = spark.createDataFrame([("S1", "B1", "100", 1), ("S2", "B2", "200", 2), ("S3", "B3", "200", 3)],
+                                  "securityid string, shortname string, symbol string, institutionid long")
+    insts = spark.createDataFrame([(1, "Alpha", "Alpha Ltd"), (None, "Beta", "Beta Ltd")],
+                                  "institutionid long, shortname string, fullname string")
+    got = {r["seq"]: (r["status"], r["securityid"] if r["status"] == "accepted" else r["reject_reason"],
+                      r["institutionid"] if r["status"] == "accepted" else None)
+           for r in CH.keyword_changes(routed, bonds, insts).collect()}
+    assert got == {1: ("accepted", "S1", 1), 2: ("accepted", "S3", 3), 3: ("rejected", "Error bond info", None),
+                   4: ("accepted", "0", 1), 5: ("accepted", "0", 1),
+                   6: ("rejected", "Error company keyword!", None), 7: ("rejected", "Unsupported type", None)}
