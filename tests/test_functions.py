@@ -521,3 +521,16 @@ def test_keyword_changes_fixture(spark):
     assert got == {1: ("accepted", "S1", 1), 2: ("accepted", "S3", 3), 3: ("rejected", "Error bond info", None),
                    4: ("accepted", "0", 1), 5: ("accepted", "0", 1),
                    6: ("rejected", "Error company keyword!", None), 7: ("rejected", "Unsupported type", None)}
+
+
+def test_interest_exact_mode(spark):
+    # checks Q10 X14 X17
+    from tessera.operators import search as S
+    kw = spark.createDataFrame([(1, "rally")], "uid long, keyword string")
+    names = spark.createDataFrame([(1, "Alpha Bank"), (1, "alpha")], "uid long, name string")
+    empty = spark.createDataFrame([], "uid long, name string")
+    tok = sorted((r["name"], r["term"], r["n_tokens"]) for r in S.user_interests(kw, names, empty, empty).collect())
+    assert tok == [("Alpha Bank", "alpha", 2), ("Alpha Bank", "bank", 2), ("alpha", "alpha", 1), ("rally", "rally", 1)]
+    exact = sorted((r["name"], r["term"], r["n_tokens"])
+                   for r in S.user_interests(kw, names, empty, empty, mode="exact").collect())
+    assert exact == [("Alpha Bank", "Alpha Bank", 1), ("alpha", "alpha", 1), ("rally", "rally", 1)]
