@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import report as R
 from tessera.plans.common import r6, tables
+from tessera.sources.store import derived_table
 
 REPORT_DATE = "2024-01-29"
 EXCLUDED = R.EXCLUDED_AREA_NAMES + ["NATION_0"]
@@ -64,25 +65,39 @@ def _listed(t):
                     F.col("c_name").alias("shortname"), F.col("c_mktsegment").alias("industry_code"))
 
 
+def _inputs(t, *names):
+    return [f"{t._dir.rstrip('/')}/{n}.parquet" for n in names]
+
+
 def _negatives(t):
-    li = t.lineitem.select("l_orderkey", "l_returnflag")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    per = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .groupBy(F.col("o_custkey").alias("institutionid"))
-             .agg(F.count(F.lit(1)).alias("news_count"),
-                  F.count_if(F.col("l_returnflag") == "R").alias("news_count_neg")))
-    c = t.customer.select(F.col("c_custkey").alias("institutionid"), F.col("c_name").alias("shortname"),
-                          F.concat_ws(" ", "c_name", "c_mktsegment").alias("fullname"))
-    return per.join(c, "institutionid")
+    """Negative-news counts per institution: in the reference an upstream
+    file (S7); here written once per input to the shared folder, so the five
+    update sources of the weekly table read it instead of re-joining
+    lineitem x orders each."""
+    def build():
+        li = t.lineitem.select("l_orderkey", "l_returnflag")
+        o = t.orders.select("o_orderkey", "o_custkey")
+        per = (li.join(o, li.l_orderkey == o.o_orderkey)
+                 .groupBy(F.col("o_custkey").alias("institutionid"))
+                 .agg(F.count(F.lit(1)).alias("news_count"),
+                      F.count_if(F.col("l_returnflag") == "R").alias("news_count_neg")))
+        c = t.customer.select(F.col("c_custkey").alias("institutionid"), F.col("c_name").alias("shortname"),
+                              F.concat_ws(" ", "c_name", "c_mktsegment").alias("fullname"))
+        return per.join(c, "institutionid")
+    return derived_table(t._spark, "weekly_negatives", _inputs(t, "lineitem", "orders", "customer"), build)
 
 
 def _lead_news(t):
-    li = t.lineitem.where(F.col("l_returnflag") == "R").select("l_orderkey")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    per = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .groupBy("o_custkey", "o_orderkey").agg(F.count(F.lit(1)).alias("n")))
-    return per.groupBy(F.col("o_custkey").alias("institutionid")).agg(
-        F.max_by("o_orderkey", F.struct("n", -F.col("o_orderkey"))).alias("neg_news_id"))
+    """Lead negative news per institution (the reference's key=value file,
+    S9), written once per input like the counts."""
+    def build():
+        li = t.lineitem.where(F.col("l_returnflag") == "R").select("l_orderkey")
+        o = t.orders.select("o_orderkey", "o_custkey")
+        per = (li.join(o, li.l_orderkey == o.o_orderkey)
+                 .groupBy("o_custkey", "o_orderkey").agg(F.count(F.lit(1)).alias("n")))
+        return per.groupBy(F.col("o_custkey").alias("institutionid")).agg(
+            F.max_by("o_orderkey", F.struct("n", -F.col("o_orderkey"))).alias("neg_news_id"))
+    return derived_table(t._spark, "weekly_lead_news", _inputs(t, "lineitem", "orders"), build)
 
 
 def _assigned(t):
