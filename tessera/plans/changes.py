@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import changes as C
 from tessera.plans.common import tables
+from tessera.sources.store import derived_table
 
 STAFF_ALIAS = [("u3", "Staff Three")]
 SIGNUP_BEFORE = "2024-01-04 00:00:00"
@@ -80,8 +81,13 @@ def managers(t):
 
 
 def _routed(spark, sf_dir):
+    """The change files after C1 routing (uid attached, whole-file rejects
+    marked): in the reference the files on disk, here written once per input
+    to the shared folder and read by every change query."""
     t = tables(spark, sf_dir)
-    return t, C.route(change_log(t), organisations(t))
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    routed = derived_table(spark, "change_log_routed", [path], lambda: C.route(change_log(t), organisations(t)))
+    return t, routed
 
 
 def apply_email_changes(spark, sf_dir):
