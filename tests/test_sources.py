@@ -195,3 +195,27 @@ def test_indicator_csv_sink(spark):
     back = spark.read.option("header", True).csv(f"{d}/csv/category=p/interval=day/lag=7").first()
     assert (back["code"], back["annual_return"], back["annual_volatility"], back["sharp_ratio"]) == \
         ("A", "0.12345679", None, "1.00000000")
+
+
+def test_derived_table_reuse_and_invalidation(spark):
+    # checks the shared derived-table store: built once, rebuilt for a changed input
+    import time
+    from tessera.sources.store import derived_path, derived_table
+    d = _scratch()
+    spark.range(5).write.parquet(f"{d}/in")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(f"{d}/in").selectExpr("id * 2 AS x")
+
+    a = derived_path(spark, "t_test", [f"{d}/in"], build)
+    b = derived_path(spark, "t_test", [f"{d}/in"], build)
+    assert a == b and len(calls) == 1
+    assert sorted(r[0] for r in derived_table(spark, "t_test", [f"{d}/in"], build).collect()) == [0, 2, 4, 6, 8]
+    assert derived_path(spark, "t_test", [f"{d}/in"], build, params="other") != a and len(calls) == 2
+    time.sleep(1.1)  # a new modification time
+    spark.range(7).write.mode("overwrite").parquet(f"{d}/in")
+    c = derived_path(spark, "t_test", [f"{d}/in"], build)
+    assert c != a and len(calls) == 3
+    assert spark.read.parquet(c).count() == 7 and spark.read.parquet(a).count() == 5
