@@ -6,6 +6,8 @@ only driver input is the pair of bounds.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,15 +79,26 @@ def partition_health(expected: DataFrame, observed: DataFrame, key: str) -> Data
 
 
 def file_health(spark: SparkSession, expected: DataFrame, root: str, key: str = "part") -> DataFrame:
-    """S5 over a directory tree `root/<key>/files`: file sizes come from the
-    `binaryFile` listing metadata (content is not read)."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """S5 over a directory tree `root/<key>/files`: `missing` when the
+    partition directory does not exist, `empty` when it exists with no bytes,
+    else `ok`.  File sizes come from the `binaryFile` listing metadata
+    (content is not read); Spark file sources yield no row for a zero-length
+    file, so directory existence comes from one glob of `root/*` - partition
+    metadata, bounded by the number of partitions, as Spark's own file index
+    lists it."""
+    base = root.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(base + "/*")
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    present = [st.getPath().getName() for st in (fs.globStatus(glob) or []) if st.isDirectory()]
+    dirs = spark.createDataFrame([(n, True) for n in present], f"{key} string, _dir boolean")
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
                .select(F.col("path"), F.col("length").alias("bytes")))
-    observed = listing.withColumn(key, F.regexp_extract("path", rf"{root.rstrip('/')}/([^/]+)/", 1)) \
+    observed = listing.withColumn(key, F.regexp_extract("path", rf"{re.escape(base)}/([^/]+)/", 1)) \
         .where(F.col(key) != "")
     agg = observed.groupBy(key).agg(F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("n_bytes"))
-    return (expected.join(agg, key, "left")
+    return (expected.join(agg, key, "left").join(dirs, key, "left")
                     .select(key, F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
                             F.coalesce("n_bytes", F.lit(0)).cast("bigint").alias("n_bytes"),
-                            F.when(F.col("n_files").isNull(), "missing")
-                             .when(F.col("n_bytes") <= 0, "empty").otherwise("ok").alias("status")))
+                            F.when(F.col("n_files").isNull() & F.col("_dir").isNull(), "missing")
+                             .when(F.coalesce("n_bytes", F.lit(0)) <= 0, "empty").otherwise("ok").alias("status")))

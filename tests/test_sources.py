@@ -219,3 +219,21 @@ def test_derived_table_reuse_and_invalidation(spark):
     c = derived_path(spark, "t_test", [f"{d}/in"], build)
     assert c != a and len(calls) == 3
     assert spark.read.parquet(c).count() == 7 and spark.read.parquet(a).count() == 5
+
+
+def test_partition_and_file_health(spark):
+    # checks S5 X1
+    from tessera.operators import calendar as CAL
+    d = _scratch() + "/data.v1+x"  # regex metacharacters in the root
+    for part, size in (("20160229", 10), ("20160301", 0)):
+        os.makedirs(f"{d}/{part}")
+        with open(f"{d}/{part}/f.txt", "w") as f:
+            f.write("x" * size)
+    expected = CAL.days(spark, "20160229", "20160302").select(F.date_format("day", "yyyyMMdd").alias("part"))
+    got = {r["part"]: (r["n_files"], r["n_bytes"], r["status"]) for r in CAL.file_health(spark, expected, d).collect()}
+    # a zero-length file yields no listing row: the folder exists, so it is empty, not missing
+    assert got == {"20160229": (1, 10, "ok"), "20160301": (0, 0, "empty"), "20160302": (0, 0, "missing")}
+    observed = spark.createDataFrame([("20160229", 5), ("20160229", 7), ("20160301", 0)], "part string, bytes long")
+    ph = {r["part"]: (r["n_rows"], r["n_bytes"], r["status"]) for r in
+          CAL.partition_health(expected, observed, "part").collect()}
+    assert ph == {"20160229": (2, 12, "ok"), "20160301": (1, 0, "empty"), "20160302": (0, 0, "missing")}
