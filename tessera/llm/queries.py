@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, piece_bpe, token_counts
+from tessera.llm import exact_dedup, language, piece_bpe, quality, token_counts
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -29,10 +29,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best language also where the operator rejects it for a narrow
+    margin: the score is then under 0.5."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs)).drop("rejected")
+
+
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
