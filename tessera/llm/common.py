@@ -70,3 +70,60 @@ def join_to_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_ro
     hot = F.broadcast(groups.where(F.col(size) * hot_share > n_rows))
     cold = groups.where(F.col(size) * hot_share <= n_rows)
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
+def bit_words(at: DataFrame) -> DataFrame:
+    """(word, mask): the bits set at the places in column `at`."""
+    bit = (F.col("at") % 64).cast("int")
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    return at.groupBy(F.shiftright("at", 6).alias("word")).agg(mask.alias("mask"))
+
+
+def with_bit(df: DataFrame, at: Column, filter_words: DataFrame, out: str) -> DataFrame:
+    """Adds whether the bit at place `at` is set.  `filter_words` is broadcast:
+    its size is bounded by the filter's width, not by the input."""
+    f = F.broadcast(filter_words.select(F.col("word").alias("_word"), F.col("mask").alias("_mask")))
+    bit = F.call_function("shiftright", F.coalesce("_mask", F.lit(0)), (at % 64).cast("int"))
+    return df.join(f, F.shiftright(at, 6) == F.col("_word"), "left").select(
+        *df.columns, (bit.bitwiseAND(F.lit(1)) == 1).alias(out))
+
+
+def top_bits(bits: int, *columns: Column | str) -> Column:
+    """A place in a filter of 2^bits bits for the values of the columns."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - bits)
+
+
+def filter_width(n_rows: int, per_row: int = 16, least: int = 12, most: int = 26) -> int:
+    """log2 of the bits of a filter for `n_rows` keys, `most` at most."""
+    return max(least, min(most, (max(1, n_rows) * per_row - 1).bit_length()))
+
+
+def rows_with(table: DataFrame, key: str, wanted: DataFrame, n_wanted: int, how: str) -> DataFrame:
+    """`table` semi- or anti-joined (`how`) to the distinct long keys
+    `wanted`.  A broadcast filter sends only the rows that may match to the
+    shuffle, so wide rows without a match pass straight through."""
+    bits = filter_width(n_wanted)
+    words = written(bit_words(wanted.select(top_bits(bits, key).alias("at")).distinct()), "filter")
+    marked = with_bit(table, top_bits(bits, key), words, "_maybe")
+    maybe = marked.where("_maybe").drop("_maybe").join(wanted.select(key), key, how)
+    return maybe if how == "left_semi" else marked.where(~F.col("_maybe")).drop("_maybe").unionByName(maybe)
+
+
+def in_groups(batches, key: str):
+    """Arrow tables of one key each, from record batches sorted by `key` (a
+    long).  Only the group at hand is held besides a batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
+        if not t.num_rows:
+            continue
+        keys = t.column(key).to_numpy()
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        for start, end in zip([0, *cuts[:-1]], cuts):
+            yield t.slice(start, end - start)
+        rest = t.slice(cuts[-1] if len(cuts) else 0)
+    if rest is not None and rest.num_rows:
+        yield rest

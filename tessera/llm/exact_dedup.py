@@ -15,47 +15,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import join_to_groups, packed, text_or_empty, without_white, written
+from tessera.llm.common import (bit_words, filter_width, join_to_groups, packed, text_or_empty, top_bits, with_bit,
+                                without_white, written)
 
 BITS_PER_ROW = 16
 MIN_BITS, MAX_BITS = 12, 26
 HASHES = 2
 
 
-def _positions(bits: int) -> list[Column]:
-    return [F.shiftrightunsigned(F.xxhash64("digest", F.lit(k)), 64 - bits) for k in range(HASHES)]
-
-
 def digest_columns(id_col: str, text_col: str) -> dict[str, Column]:
     text = text_or_empty(text_col)
     return {"id": F.col(id_col), "digest": F.unhex(F.sha2(without_white(text), 256)),
             "n_points": F.char_length(text).cast("long"), "rid": F.monotonically_increasing_id()}
 
 
+def _places(bits: int) -> list[Column]:
+    return [top_bits(bits, "digest", F.lit(k)) for k in range(HASHES)]
+
+
 def repeated_bits(digests: DataFrame, bits: int) -> DataFrame:
-    """Pass 1: (word, mask) of the filter bits that two or more rows set."""
-    at = digests.select(F.explode(F.array(*_positions(bits))).alias("at"))
-    twice = at.groupBy("at").agg(F.count("*").alias("n")).where("n > 1")
-    word, bit = F.shiftright("at", 6), (F.col("at") % 64).cast("int")
-    return twice.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("mask"))
+    """Pass 1: the filter bits that two or more rows set."""
+    at = digests.select(F.explode(F.array(*_places(bits))).alias("at"))
+    return bit_words(at.groupBy("at").agg(F.count("*").alias("n")).where("n > 1"))
 
 
-def marked(digests: DataFrame, bits: int) -> DataFrame:
+def marked(digests: DataFrame, n_rows: int) -> DataFrame:
     """Pass 2: adds `maybe`, false only for rows whose text is unique."""
-    filter_words = F.broadcast(written(repeated_bits(digests, bits), "bloom"))
-    out, maybe = digests, F.lit(True)
-    for k, at in enumerate(_positions(bits)):
-        f = filter_words.select(F.col("word").alias(f"w{k}"), F.col("mask").alias(f"m{k}"))
-        out = out.join(f, F.shiftright(at, 6) == F.col(f"w{k}"), "left")
-        bit = F.call_function("shiftright", F.coalesce(f"m{k}", F.lit(0)), (at % 64).cast("int"))
-        maybe = maybe & (bit.bitwiseAND(F.lit(1)) == 1)
+    bits = filter_width(n_rows, BITS_PER_ROW, MIN_BITS, MAX_BITS)
+    filter_words = written(repeated_bits(digests, bits), "bloom")
+    out = digests
+    for k, at in enumerate(_places(bits)):
+        out = with_bit(out, at, filter_words, f"_bit{k}")
+    maybe = F.expr(" AND ".join(f"_bit{k}" for k in range(HASHES)))
     return out.select(*digests.columns, maybe.alias("maybe"))
 
 
-def _bits(n_rows: int) -> int:
-    return max(MIN_BITS, min(MAX_BITS, (max(1, n_rows) * BITS_PER_ROW - 1).bit_length()))
-
-
 def groups_of(again: DataFrame) -> DataFrame:
     """(digest, group_size, keep_id, keep_rid) of the rows that may repeat."""
     stays = F.struct((-F.col("n_points")).alias("longest"), F.col("id").isNull().alias("no_id"), "id", "rid")
@@ -75,7 +69,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     digests = written(docs.select(*[c.alias(k) for k, c in digest_columns(id_col, text_col).items()]), "digests")
     n = digests.count()
-    rows = marked(digests, _bits(n))
+    rows = marked(digests, n)
     once, again = rows.where(~F.col("maybe")), rows.where("maybe")
     again = join_to_groups(again, written(groups_of(again), "copies"), "digest", "group_size", n)
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -95,7 +89,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     through and only the copies' row ids are joined.
     """
     table = written(packed(docs, **digest_columns(id_col, text_col)), "rows")
-    rows = marked(table, _bits(table.count()))
+    rows = marked(table, table.count())
     stays = groups_of(rows.where("maybe")).select(F.col("keep_rid").alias("rid"))
     return rows.where(~F.col("maybe")).select("row.*").unionByName(
         rows.where("maybe").join(stays, "rid", "left_semi").select("row.*"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, language, piece_bpe, quality, token_counts
+from tessera.llm import exact_dedup, language, ngram_join, piece_bpe, quality, token_counts
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -13,6 +13,10 @@ PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
@@ -41,6 +45,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
