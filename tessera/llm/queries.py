@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, language, ngram_join, piece_bpe, quality, token_counts
+from tessera.llm import exact_dedup, language, lm, ngram_join, piece_bpe, quality, token_counts
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -13,6 +13,10 @@ PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_token_counts": op6_token_counts,
