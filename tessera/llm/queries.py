@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, language, lm, ngram_join, piece_bpe, quality, token_counts
+from tessera.llm import exact_dedup, language, lm, ngram_join, piece_bpe, quality, token_counts, url_filter
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -25,6 +25,15 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+# The rules of the URL filter: host and path, verdict.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts through a cache that starts empty, so that the query always does
     its whole work; name a lasting folder in `spark.tessera.token.cache` to
@@ -52,6 +61,7 @@ QUERIES = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
