@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, language, lm, ngram_join, piece_bpe, quality, token_counts, url_filter
+from tessera.llm import exact_dedup, language, lm, mixing, ngram_join, piece_bpe, quality, token_counts, url_filter
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -42,6 +42,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL), cache)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
