@@ -31,6 +31,7 @@ REMEMBERED = 300_000  # segments in each of the two generations
 LONGEST_REMEMBERED = 64
 SHORT = 48  # characters up to which a list serves as agenda
 NEVER = 1 << 60
+AT_ONCE = 512  # rows whose ids are held at once
 
 
 class _Segments(dict):
@@ -258,3 +259,30 @@ def round_trip_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                                               pa.array(second, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.mapInArrow(run, schema)
+
+
+def tokenised(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """`docs` without the text, and with ids (begin and end included),
+    n_tokens, ids_sha256 and decoded_sha256 as in `round_trip_digests`; these
+    replace columns of the same names.  Null texts count as empty."""
+    model = read_model(model_path)
+    added = StructType([StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()),
+                        StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
+    kept = [f for f in docs.schema.fields if f.name not in {text_col, *added.fieldNames()}]
+    docs = docs.select(*[docs[f.name] for f in kept], docs[text_col].alias("ids"))  # the text, under a name that is free
+    schema = StructType(kept + added.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tokenizer(model)
+        for whole in batches:
+            for at in range(0, whole.num_rows, AT_ONCE):
+                b = whole.slice(at, AT_ONCE)
+                ids = encode_batch(bpe, b.column("ids"))
+                values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+                rows = [values[s:e] for s, e in zip(ends[:-1], ends[1:])]
+                sha = lambda data: hashlib.sha256(data).hexdigest()
+                columns = [ids, pa.array([len(r) for r in rows], pa.int64()), pa.array([sha(r.astype("<u4").tobytes()) for r in rows], pa.string()),
+                           pa.array([sha(bpe.decode(r.tolist()).encode()) for r in rows], pa.string())]
+                yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], *columns], schema.fieldNames())
+
+    return docs.mapInArrow(run, schema)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, language, lm, mixing, ngram_join, piece_bpe, quality, token_counts, url_filter
+from tessera.llm import exact_dedup, language, line_dedup, lm, mixing, ngram_join, piece_bpe, quality, token_counts, url_filter
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -13,6 +14,11 @@ PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", "n_near", F.sha2("cleaned", 256).alias("text_sha256"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_ngram_join": op3_ngram_join,
     "op4_sentencepiece": op4_sentencepiece,
