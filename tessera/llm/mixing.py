@@ -1,14 +1,15 @@
 """Mixing documents to target weights, with soft domain membership.
 
 1. A classifier fitted on the labels table gives every document its posterior
-   over domains (multinomial naive Bayes on hashed words, tempered by the
-   text's length).  It is fitted on at most `SAMPLE` labelled documents a
-   domain, taken by hash of the id.
+   over domains: naive Bayes scores on hashed words, fitted on at most `SAMPLE`
+   labelled documents a domain (taken by hash of the id), then sharpness and
+   priors calibrated on all labelled documents.
 2. Each document gets a nonnegative rate, 1 at first.  Projected-gradient least
    squares moves the rates until the expected token totals of the domains (rate
    x tokens x posterior, summed) match their targets, with a small pull
    `RIDGE` towards 1 that makes the solution unique.  An iteration is one
-   aggregate with a sum a domain; rates are columns, never collected.
+   aggregate with a sum a domain; rates are a column, never
+   collected.
 3. A rate is carried out as whole copies plus one more with the probability of
    its fraction, decided by a hash of the row.
 
@@ -22,18 +23,20 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import packed, text_or_empty, words, written
+from tessera.llm.common import packed, rows_with, text_or_empty, words, written
 
 DOMAINS = ["clean", "low", "toxic"]
 #: Share of each domain's own expected tokens that the mix should hold.
 WEIGHTS = {"clean": 1.0, "low": 0.5, "toxic": 0.2}
-BUCKETS = 4096  # hashed words
+BUCKETS = 8192  # hashed words
 SAMPLE = 1024  # labelled documents a domain
 SMOOTHING = 0.5
+SURE = 3.0  # standard errors
+SHARPNESS = [0.125, 0.25, 0.5, 1.0, 2.0]
 RIDGE = 0.01
-ITERATIONS = 60
-SETTLED = 1e-3  # of a domain's tokens
-REWRITTEN_AFTER = 15  # iterations between writes of the rates
+ITERATIONS = 40
+SETTLED = 2e-3  # change of a scaled residual
+REWRITTEN_AFTER = 8  # iterations between writes of the rates
 
 
 def domain_of_labels() -> Column:
@@ -45,43 +48,77 @@ def _bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
-def fit(rows: DataFrame, labels: DataFrame, id_col: str) -> list[list[float]]:
-    """Per domain the log-odds of a hashed word against all words of the
-    sample.  Without labelled rows every word says nothing."""
+def fit(rows: DataFrame, labels: DataFrame, id_col: str) -> list[tuple[float, list[float]]]:
+    """Naive Bayes on whether a document holds a hashed word.  Per domain: its
+    score without any, and what each adds; words that do not tell the domain
+    from the others by `SURE` standard errors count for nothing.  Without
+    labelled rows none does."""
     named = labels.select(F.col(id_col).alias("id"), domain_of_labels().alias("domain")).where("domain is not null AND id is not null")
     hashed = named.withColumn("rank", F.xxhash64("id", F.lit("sample"))).withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(SAMPLE)))
     first = hashed.groupBy("domain", "slot").agg(F.min("rank").alias("rank"))
     chosen = hashed.join(first, ["domain", "slot", "rank"]).groupBy("id").agg(F.min("domain").alias("domain"))
     # at most SAMPLE ids a domain
-    texts = rows.join(F.broadcast(chosen), "id").select("domain", F.explode(words(F.col("text"))).alias("word"))
-    found = texts.groupBy("domain", _bucket(F.lower("word")).alias("bucket")).agg(F.count("*").alias("n")).collect()  # domains x BUCKETS
-    counts = {d: [SMOOTHING] * BUCKETS for d in DOMAINS}
-    for r in found:
-        counts[r["domain"]][r["bucket"]] += r["n"]
-    totals = {d: sum(c) for d, c in counts.items()}
+    texts = written(rows.join(F.broadcast(chosen), "id").select("domain", _buckets(F.col("text")).alias("buckets")), "sample")
+    sizes = dict(texts.groupBy("domain").count().collect())
+    found = texts.select("domain", F.explode("buckets").alias("bucket")).groupBy("domain", "bucket").count().collect()  # domains x BUCKETS
+    held = {d: [0] * BUCKETS for d in DOMAINS}
+    for d, bucket, n in found:
+        held[d][bucket] = n
     out = []
     for d in DOMAINS:
-        every = [sum(counts[x][k] / totals[x] for x in DOMAINS) / len(DOMAINS) for k in range(BUCKETS)]
-        out.append([math.log(counts[d][k] / totals[d] / every[k]) for k in range(BUCKETS)])
+        n, rest = sizes.get(d, 0), sum(x for k, x in sizes.items() if k != d)
+        bias, weights = 0.0, [0.0] * BUCKETS
+        for k in range(BUCKETS if n and rest else 0):
+            a, b = held[d][k], sum(held[x][k] for x in DOMAINS if x != d)
+            p, q, both = (a + SMOOTHING) / (n + 1), (b + SMOOTHING) / (rest + 1), (a + b + 2 * SMOOTHING) / (n + rest + 2)
+            if abs(p - q) > SURE * math.sqrt(both * (1 - both) * (1 / n + 1 / rest)):
+                weights[k] = math.log(p / (1 - p)) - math.log(q / (1 - q))
+                bias += math.log((1 - p) / (1 - q))
+        out.append((bias, weights))
     return out
 
 
+def _buckets(text: Column) -> Column:
+    return F.array_distinct(F.transform(words(F.lower(text)), _bucket))
+
+
 def _summed(weights: list[float]) -> Column:
     """Sum of the weights of a text's buckets."""
     values = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to one literal
     return F.aggregate("_buckets", F.lit(0.0), lambda a, b: a + F.get(values, b))
 
 
-def with_posteriors(table: DataFrame, text: Column, weights: list[list[float]]) -> DataFrame:
-    """Adds n_tokens (words) and p_<domain>."""
+def with_scores(table: DataFrame, text: Column, weights: list[tuple[float, list[float]]]) -> DataFrame:
+    """Adds n_tokens (words) and a score s_<domain>: the log-odds of the
+    hashed words in the text."""
     keep = table.columns
     step = table.select(*keep, words(F.lower(text)).alias("_words"))
-    step = step.select(*keep, F.size("_words").cast("long").alias("n_tokens"), F.transform("_words", _bucket).alias("_buckets"))
-    scores = [(_summed(w) / F.sqrt(F.greatest(F.size("_buckets"), F.lit(1)))).alias(f"_s_{d}") for d, w in zip(DOMAINS, weights)]
-    step = step.select(*keep, "n_tokens", *scores)
-    top = F.greatest(*[F.col(f"_s_{d}") for d in DOMAINS])
-    odds = [F.exp(F.col(f"_s_{d}") - top) for d in DOMAINS]
-    return step.select(*keep, "n_tokens", *[(o / sum(odds[1:], odds[0])).alias(f"p_{d}") for d, o in zip(DOMAINS, odds)])
+    step = step.select(*keep, F.size("_words").cast("long").alias("n_tokens"), F.array_distinct(F.transform("_words", _bucket)).alias("_buckets"))
+    return step.select(*keep, "n_tokens", *[(_summed(w) + bias).alias(f"s_{d}") for d, (bias, w) in zip(DOMAINS, weights)])
+
+
+def _posteriors(sharpness: float, priors: list[float]) -> list[Column]:
+    logits = [F.col(f"s_{d}") * sharpness + math.log(p) for d, p in zip(DOMAINS, priors)]
+    top = F.greatest(*logits)
+    odds = [F.exp(x - top) for x in logits]
+    return [o / sum(odds[1:], odds[0]) for o in odds]
+
+
+def calibrated(scored: DataFrame, id_: Column, labels: DataFrame, id_col: str) -> tuple[float, list[float]]:
+    """(sharpness, domain priors): the priors of the labelled documents among
+    `scored`, and the sharpness of `SHARPNESS` with the least log loss on them."""
+    named = labels.select(F.col(id_col).alias("id"), domain_of_labels().alias("domain")).where("domain is not null")
+    known = written(scored.select(id_.alias("id"), *[f"s_{d}" for d in DOMAINS]).join(named, "id"), "labelled")
+    n = list(known.agg(*[F.count(F.when(F.col("domain") == d, 1)) for d in DOMAINS]).first())
+    priors = [(x + 1) / (sum(n) + len(DOMAINS)) for x in n]
+    losses = []
+    for t in SHARPNESS:
+        right = F.lit(0.0)
+        for d, p in zip(DOMAINS, _posteriors(t, priors)):
+            right = F.when(F.col("domain") == d, p).otherwise(right)
+        losses.append(F.sum(-F.log(F.greatest(right, F.lit(1e-12)))))
+    loss = known.agg(*losses).first()
+    return (min(zip(loss, SHARPNESS))[1] if sum(n) else 1.0), priors
 
 
 def _totals(table: DataFrame, rate: Column) -> list[float]:
@@ -91,7 +128,8 @@ def _totals(table: DataFrame, rate: Column) -> list[float]:
 
 def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weights: dict[str, float] | None = None,
                max_rate: float | None = None) -> DataFrame:
-    """Adds the column rate to a written table with n_tokens and p_<domain>.
+    """Adds the column rate to a narrow written table with n_tokens and
+    p_<domain>.
 
     `targets` are expected token totals by domain; without them they are
     `weights` times the domain's expected tokens in the table.  `max_rate`
@@ -109,20 +147,19 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     scale = [max(gram[d, d], 1e-12) for d in DOMAINS]
     unit = [[gram[i, j] / math.sqrt(a * b) for j, b in zip(DOMAINS, scale)] for i, a in zip(DOMAINS, scale)]
     step = 1 / (1.01 * max(sum(map(abs, row)) for row in unit) + RIDGE)  # the largest row sum bounds the eigenvalues
-    rate, at = F.lit(1.0), table
+    rate, before, at = F.lit(1.0), None, table
     for k in range(ITERATIONS):
         off = [(s - w) / total / g for s, w, g in zip(_totals(at, rate), want, scale)]
+        if before and max(abs(o - p) for o, p in zip(off, before)) < SETTLED:
+            break
+        before = off
         pull = sum((F.col(f"p_{d}") * (step * o) for d, o in zip(DOMAINS, off)), F.lit(-step * RIDGE))
         rate = F.greatest(F.lit(0.0), rate * (1 - step * RIDGE) - pull)
         if max_rate is not None:
             rate = F.least(F.lit(float(max_rate)), rate)
-        if k and max(abs(o - p) * g for o, p, g in zip(off, before, scale)) < SETTLED * min(scale):
-            break
-        before = off
         if k % REWRITTEN_AFTER == REWRITTEN_AFTER - 1:
-            at = written(at.select(*table.columns, rate.alias("rate")), "rates")
-            rate = F.col("rate")
-    return at.select(*table.columns, rate.alias("rate"))
+            at, rate = written(at.select(*table.columns, rate.alias("rate")), "rates"), F.col("rate")
+    return written(at.select(*table.columns, rate.alias("rate")), "rates")
 
 
 def _copies(key: Column) -> Column:
@@ -132,30 +169,40 @@ def _copies(key: Column) -> Column:
     return (F.floor("rate") + F.when(u < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
 
 
-def _rated(table: DataFrame, text: Column, id_: Column, labels: DataFrame, id_col: str, **how) -> DataFrame:
-    fitted = fit(table.select(id_.alias("id"), text.alias("text")), labels, id_col)
-    measured = written(with_posteriors(table, text, fitted), "posteriors")
-    return with_rates(measured, **how)
+def _measured(scored: DataFrame, id_: Column, labels: DataFrame, id_col: str) -> DataFrame:
+    posteriors = _posteriors(*calibrated(scored, id_, labels, id_col))
+    scores = {f"s_{d}" for d in DOMAINS}
+    return scored.select(*[c for c in scored.columns if c not in scores], *[p.alias(f"p_{d}") for d, p in zip(DOMAINS, posteriors)])
 
 
 def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """Per row: doc_id, n_tokens, p_<domain>, rate (nonnegative), copies.
 
-    Posteriors add up to 1; a null or empty text has no tokens, equal
+    Posteriors add up to 1; a null or empty text has no tokens, the priors for
     posteriors and no weight in any total.  `labels` (id, quality, toxic) may
     miss rows and hold nulls.  Rows that repeat get the same rate; an empty
     table gives no rows.  Only id and text are read."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rated = _rated(rows, F.col("text"), F.col("doc_id"), labels, id_col, **how)
-    return rated.select("doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "rate", _copies(F.col("doc_id")).alias("copies"))
+    fitted = fit(rows.withColumnRenamed("doc_id", "id"), labels, id_col)
+    scored = written(with_scores(rows, F.col("text"), fitted).drop("text"), "scores")
+    table = with_rates(written(_measured(scored, F.col("doc_id"), labels, id_col), "posteriors"), **how)
+    return table.select("doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "rate", _copies(F.col("doc_id")).alias("copies"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of `docs`, each as often as its rate says, with all columns."""
+    """The rows of `docs`, each as often as its rate says (once at most unless
+    `max_rate` is given), with all columns."""
     how = {"max_rate": 1.0} | how
-    table = packed(docs)
-    rated = _rated(table, text_or_empty(F.col("row")[text_col]), F.col("row")[id_col], labels, id_col, **how)
-    copies = rated.select("row", _copies(F.col("row")[id_col]).alias("copies")).where("copies > 0")
+    fitted = fit(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")), labels, id_col)
+    scored = with_scores(packed(docs, rid=F.monotonically_increasing_id()), text_or_empty(F.col("row")[text_col]), fitted)
+    scored = written(scored, "scores")
+    narrow = scored.select("rid", F.col("row")[id_col].alias("id"), "n_tokens", *[f"s_{d}" for d in DOMAINS])
+    rated = with_rates(written(_measured(narrow, F.col("id"), labels, id_col), "posteriors"), **how)
+    copies = written(rated.select("rid", _copies(F.col("id")).alias("copies")).where("copies != 1"), "copies")
+    rows = scored.select("row", "rid")
+    once = rows_with(rows, "rid", copies.select("rid"), copies.count(), "left_anti")
+    more = rows.join(copies.where("copies > 1"), "rid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    out = once.select("row")
     if how["max_rate"] is None or how["max_rate"] > 1:
-        copies = copies.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    return copies.select("row.*")
+        out = out.unionByName(more.select("row"))
+    return out.select("row.*")
