@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import keyword_type
+from tessera.operators.report import global_row_index
 
 # Fixed values of the reference jobs.
 FILE_TYPES = ["keyword", "email", "manager"]
@@ -33,15 +34,20 @@ MANAGER_LINE = "ADD,2"
 # ------------------------------------------------------------------ S11
 
 def read_change_files(spark, path: str) -> DataFrame:
-    """Every `user_type_date.csv` under `path`, one row per line, with
-    the line order kept in `seq` (file splits in order, rows in order)."""
+    """Every `user_type_date.csv` under `path`, one row per line; `seq`
+    numbers the lines of all files in the order of date, file and line,
+    whatever the order in which the files are read."""
     df = spark.read.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
-    df = df.withColumn("seq", F.monotonically_increasing_id())
+        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"))
+    # rows of one block of a file are read in order
+    df = df.withColumn("row", F.monotonically_increasing_id())
     stem = F.regexp_replace("file_name", r"\.csv$", "")
-    return df.select(F.split_part(stem, F.lit("_"), F.lit(1)).alias("user_name"),
-                     F.split_part(stem, F.lit("_"), F.lit(2)).alias("file_type"),
-                     F.split_part(stem, F.lit("_"), F.lit(3)).alias("date"), "seq", "line")
+    df = df.select(F.split_part(stem, F.lit("_"), F.lit(1)).alias("user_name"),
+                   F.split_part(stem, F.lit("_"), F.lit(2)).alias("file_type"),
+                   F.split_part(stem, F.lit("_"), F.lit(3)).alias("date"), "file_name", "block", "row", "line")
+    numbered = global_row_index(df, ["date", "file_name", "block", "row"])
+    return numbered.select("user_name", "file_type", "date", F.col("row_index").alias("seq"), "line")
 
 
 # ------------------------------------------------------------------ C1 / C7
@@ -246,7 +252,7 @@ def subscription_change_lines(subscriptions: DataFrame, staff_alias: DataFrame)
     em = subscriptions.select("user_name", "email").where(F.col("email").isNotNull()).distinct()
     local = F.split_part("email", F.lit("@"), F.lit(1))
     domain = F.split_part(F.split_part("email", F.lit("@"), F.lit(2)), F.lit("."), F.lit(1))
-    alias = F.broadcast(staff_alias.select(F.col("login").alias("_login"), F.col("name").alias("_alias")))
+    alias = staff_alias.select(F.col("login").alias("_login"), F.col("name").alias("_alias"))
     em = em.join(alias, local == F.col("_login"), "left")
     staff = domain == STAFF_DOMAIN
     em_line = F.concat_ws(",", F.lit(ADD), F.when(staff, F.coalesce("_alias", local)).otherwise(local),

@@ -76,16 +76,22 @@ def in_range(df: DataFrame, start, end, col: str = "notice_time") -> DataFrame:
     return df.where(F.col(col).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
 
 
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """One row per doc_id: of copies that differ the earliest, then the least
+    by all columns."""
+    first = F.struct(F.col("notice_time").alias("_at"), F.struct(*docs.columns).alias("_row"))
+    return docs.groupBy(F.col("doc_id").alias("_id")).agg(F.min(first).alias("_first")).select("_first._row.*")
+
+
 def load_documents(news: DataFrame, articles: DataFrame, micro: DataFrame, start, end,
                    existing: DataFrame | None = None) -> DataFrame:
     """S6 + U2 + J7: documents of all feeds in [start, end] not yet in `existing`."""
     docs = (from_news(in_range(news, start, end))
             .unionByName(from_articles(in_range(articles, start, end)))
             .unionByName(from_micro(in_range(micro, start, end, "publish_time"))))
-    docs = docs.dropDuplicates(["doc_id"])
     if existing is not None:
         docs = docs.join(existing.select("doc_id"), "doc_id", "left_anti")
-    return docs
+    return one_per_id(docs)
 
 
 def decode_id(doc_id):

@@ -95,16 +95,20 @@ def series(nav: DataFrame, funds: DataFrame, windows: DataFrame) -> DataFrame:
     w = Window.partitionBy("category", "code", "w_id").orderBy("date")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     income_ret = F.col("wan_per_nav") / 10000.0 / F.col("per_nav")
-    # price = prod(1 + r) = exp(sum(ln(1 + r))); a return <= -1 has no log
-    # and makes the price non-positive, so it leaves the price NULL (invalid).
-    log_growth = F.when(income_ret > -1, F.log1p(income_ret))
+    # price = prod(1 + r), as exp(sum(ln |1 + r|)) with the sign of the
+    # number of negative factors; a factor of 0 leaves the price at 0.
+    factor = 1 + income_ret
+    size = F.exp(F.coalesce(F.sum(F.when(factor != 0, F.log(F.abs(factor)))).over(running), F.lit(0.0)))
+    negative = F.sum(F.when(factor < 0, 1).otherwise(0)).over(running) % 2 == 1
+    zero = F.max((factor == 0).cast("int")).over(running) == 1
+    product = F.when(zero, 0.0).when(negative, -size).otherwise(size)
     s = (s.withColumn("rn", F.row_number().over(w))
           .withColumn("ret", F.when(F.col("method") == PER_NAV,
                                     F.coalesce(F.col("per_nav") / F.lag("per_nav").over(w) - 1,
                                                F.lit(0.0)))
                        .otherwise(income_ret))
           .withColumn("price", F.when(F.col("method") == PER_NAV, F.col("per_nav"))
-                      .otherwise(F.exp(F.sum(log_growth).over(running)))))
+                      .otherwise(product)))
     peak = F.max(F.when(F.col("rn") > 1, F.col("price"))).over(running)
     peak_full = F.max("price").over(running)  # Q3 alternative: the first row counts
     return (s.withColumn("peak", peak)

@@ -35,12 +35,14 @@ def drop_numbers(df: DataFrame, col: str = "term") -> DataFrame:
 
 
 def drop_hot_stop_words(df: DataFrame, stop_words: DataFrame | None, col: str = "term") -> DataFrame:
-    """Drop a term equal to, or contained in, any hot stop word.  The
-    stop list is a small parameter table (broadcast, bounded by its file)."""
+    """Drop a term equal to, or contained in, any hot stop word: an equi
+    join with the substrings of the (short) stop words."""
     if stop_words is None:
         return df
-    sw = F.broadcast(stop_words.select(F.col("word").alias("_sw")).where(F.col("_sw") != ""))
-    return df.join(sw, F.instr(F.col("_sw"), F.col(col)) > 0, "left_anti")
+    w = stop_words.where(F.col("word") != "").select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("_at"))
+    inside = w.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - F.col("_at") + 1),
+                                            lambda n: F.substring(F.col("word"), F.col("_at"), n))).alias("_sub")).distinct()
+    return df.join(inside, F.col(col) == F.col("_sub"), "left_anti")
 
 
 def term_filters(df: DataFrame, stop_words: DataFrame | None) -> DataFrame:
@@ -77,7 +79,7 @@ def hot_term_weights_pre(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataF
     tf normalised by the document's total over the chosen terms only; N is the
     number of window documents (with or without terms)."""
     chosen = T.distinctive_terms(corpus_stats, n_corpus, limit)
-    sel = dt.join(F.broadcast(chosen), "term", "left_semi")  # bounded by `limit`
+    sel = dt.join(chosen, "term", "left_semi")
     w = Window.partitionBy("doc_id")  # one document's terms: bounded
     sel = sel.withColumn("len_sel", F.sum("tf").over(w))
     s = (sel.groupBy("term")
@@ -95,7 +97,7 @@ def tfpdf_weights(dt: DataFrame, channel_sizes: DataFrame, corpus_stats: DataFra
     channel_sizes = (channel, n_docs) over the window documents.
     weight = sum_c F_c / ||F||_2 * exp(n_c / N_c)  (absent channels add 0)."""
     chosen = T.distinctive_terms(corpus_stats, n_corpus, limit)
-    per = (dt.join(F.broadcast(chosen), "term", "left_semi")
+    per = (dt.join(chosen, "term", "left_semi")
              .groupBy("term", "channel")
              .agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("n")))
     per = per.join(channel_sizes.select("channel", F.col("n_docs").alias("n_c")), "channel")
@@ -171,23 +173,31 @@ def burst_terms(history: DataFrame, periods: DataFrame, *, stop_words: DataFrame
 
 # -------------------------------------------------------------- P9 / P10 / X16
 
+def _title_pieces(docs: DataFrame, words: DataFrame, title: str) -> DataFrame:
+    """(doc_id, _piece): the substrings of the titles that have the length of
+    a listed word, so that "word inside title" is an equi join."""
+    lengths = words.where(F.col("word") != "").agg(F.collect_set(F.length("word")).alias("l"))  # a few numbers
+    sized = docs.select("doc_id", F.col(title).alias("_title"), F.explode(lengths.select("l").scalar()).alias("_n"))
+    starts = F.sequence(F.lit(1), F.length("_title") - F.col("_n") + 1)
+    return sized.where(F.length("_title") >= F.col("_n")).select(
+        "doc_id", F.explode(F.transform(starts, lambda at: F.substring(F.col("_title"), at, F.col("_n")))).alias("_piece"))
+
+
 def whitelist_score(docs: DataFrame, white: DataFrame, title: str = "title") -> DataFrame:
     """P10: `white_score` = max score of the whitelisted words inside the title
     (Q11: max instead of dict order), 0 when none."""
-    wl = F.broadcast(white.select(F.col("word").alias("_ww"),
-                                  F.coalesce(F.col("score"), F.lit(WHITELIST_DEFAULT_SCORE)).alias("_ws"))
-                     .where(F.col("_ww") != ""))
-    hits = (docs.select("doc_id", title).join(wl, F.instr(F.col(title), F.col("_ww")) > 0)
-                .groupBy("doc_id").agg(F.max("_ws").alias("white_score")))
+    wl = white.where(F.col("word") != "").groupBy(F.col("word").alias("_piece")).agg(
+        F.max(F.coalesce(F.col("score"), F.lit(WHITELIST_DEFAULT_SCORE))).alias("_ws"))
+    hits = _title_pieces(docs, white, title).join(wl, "_piece").groupBy("doc_id").agg(F.max("_ws").alias("white_score"))
     return docs.join(hits, "doc_id", "left").withColumn("white_score", F.coalesce("white_score", F.lit(0.0)))
 
 
 def blacklisted(docs: DataFrame, black: DataFrame, title: str = "title") -> DataFrame:
     """`black` flag when any blacklisted word is inside the title (blank
     words dropped, Q12)."""
-    bl = F.broadcast(black.select(F.col("word").alias("_bw")).where(F.col("_bw") != ""))
-    hits = docs.select("doc_id", title).join(bl, F.instr(F.col(title), F.col("_bw")) > 0, "left_semi") \
-        .select("doc_id", F.lit(True).alias("black"))
+    bl = black.where(F.col("word") != "").select(F.col("word").alias("_piece")).distinct()
+    hits = _title_pieces(docs, black, title).join(bl, "_piece", "left_semi").select("doc_id").distinct() \
+        .withColumn("black", F.lit(True))
     return docs.join(hits, "doc_id", "left").withColumn("black", F.coalesce("black", F.lit(False)))
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
 from tessera.functions.scoring import log_count
 from tessera.functions.text import empty_to_null, strip_parentheses
 
@@ -189,7 +190,7 @@ def institution_industries(listed: DataFrame, industry_class: DataFrame, industr
                .join(s.select(F.col("industry_code"), F.col("system_code").alias("classification_id"),
                               "industry_name"), ["industry_code", "classification_id"])
                .select("institutionid", "shortname", "industry_code", "industry_name").distinct())
-    m = F.broadcast(base_to_new.select(F.upper("base_code").alias("_base"), F.upper("new_code").alias("industry")))
+    m = base_to_new.select(F.upper("base_code").alias("_base"), F.upper("new_code").alias("industry"))
     j = j.join(m, F.upper(F.col("industry_code")) == F.col("_base"))
     return j.groupBy("institutionid").agg(F.min("industry").alias("industry"),
                                           F.min("shortname").alias("shortname"))
@@ -203,7 +204,7 @@ def industry_rollup(ind: DataFrame, negatives: DataFrame, new_names: DataFrame)
         F.coalesce(F.sum("news_count_neg"), F.lit(0)).cast("bigint").alias("total_neg"),
         F.count("news_count_neg").alias("n_institutions"))
     names = new_names.select(F.upper("code").alias("industry"), F.col("name").alias("industry_name"))
-    return (agg.join(F.broadcast(names), "industry", "left")
+    return (agg.join(names, "industry", "left")
                .withColumn("log_neg", log_count(F.col("total_neg").cast("double"))))
 
 
@@ -245,7 +246,7 @@ def geo_updates(assigned: DataFrame, negatives: DataFrame, prefixes: DataFrame)
 
 def industry_updates(ind: DataFrame, negatives: DataFrame, new_names: DataFrame) -> DataFrame:
     names = new_names.select(F.upper("code").alias("industry"), F.col("name").alias("industry_name"))
-    return (ind.join(negatives, "institutionid").join(F.broadcast(names), "industry", "left")
+    return (ind.join(negatives, "institutionid").join(names, "industry", "left")
                .select("institutionid", "industry", "industry_name", "news_count_neg",
                        empty_to_null(negatives["shortname"]).alias("shortname"),
                        empty_to_null(F.col("fullname")).alias("fullname")))
@@ -262,16 +263,20 @@ def lead_news_updates(lead: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- S14 / W7
 
-def global_row_index(df: DataFrame, order_col: str, n_parts: int | None = None) -> DataFrame:
-    """0-based row index in `order_col` order without a single-partition
+def global_row_index(df: DataFrame, order_cols, n_parts: int | None = None) -> DataFrame:
+    """0-based row index in the order of `order_cols` (a name, or a list of names
+    and columns) without a single-partition
     window: range-partition, number rows inside each partition, then add the
-    row count of all earlier partitions (a table with one row per partition)."""
-    n = n_parts or df.sparkSession.sparkContext.defaultParallelism
-    # after the range shuffle and a sort inside each partition, the generated
-    # id holds the partition in its upper bits and the row's position in the
-    # lower 33: the local index needs no window and no second shuffle
-    r = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-           .withColumn("_mid", F.monotonically_increasing_id()))
+    row count of all earlier partitions (a table with one row per partition).
+
+    The numbered rows are checkpointed: numbers and counts must come from one
+    and the same partitioning, and a range exchange samples its bounds anew
+    each time it runs."""
+    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    ranged = df.repartitionByRange(n_parts, *cols) if n_parts else df.repartitionByRange(*cols)
+    # the generated id holds the partition in its upper bits and the row's
+    # position in the lower 33: the local index needs no window
+    r = cut_lineage(ranged.sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id()))
     r = (r.withColumn("_pid", F.shiftright("_mid", 33))
           .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
           .drop("_mid"))

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scoring import bo1, idf
 from tessera.functions.text import tokens
+from tessera.operators.report import global_row_index
+
+
+SMALL_K = 1000  # up to which Spark limits the rows of a group before it shuffles them
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content",
@@ -62,12 +66,20 @@ def doc_count(docs: DataFrame, by=()) -> DataFrame:
 
 def top_terms(scored: DataFrame, k: int, score: str = "score", by=()) -> DataFrame:
     """The k best terms (ties: larger term first, as a max-heap of
-    (score, term) pairs yields them).  Per group via row_number, which Spark
-    plans as a partial WindowGroupLimit before the shuffle."""
+    (score, term) pairs yields them).  Small k: top-k per task before the
+    shuffle.  Larger k, for which Spark would gather whole groups: the position
+    in a range-partitioned order, so no task sorts a group."""
     by = list(by)
+    best = [F.desc(score), F.desc("term")]
+    if k > SMALL_K:
+        r = global_row_index(scored, [*by, *best])
+        if not by:
+            return r.where(F.col("row_index") < k).drop("row_index")
+        first = r.groupBy(*by).agg(F.min("row_index").alias("_first"))
+        return r.join(first, by).where(F.col("row_index") - F.col("_first") < k).drop("row_index", "_first")
     if not by:
-        return scored.orderBy(F.desc(score), F.desc("term")).limit(k)
-    w = Window.partitionBy(*by).orderBy(F.desc(score), F.desc("term"))
+        return scored.orderBy(*best).limit(k)
+    w = Window.partitionBy(*by).orderBy(*best)
     return scored.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 

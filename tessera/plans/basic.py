@@ -22,8 +22,7 @@ HEALTH_START, HEALTH_END = "20240101", "20240205"
 
 def _word_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
-    words = t.documents.select(F.explode(tokens(F.col("text"), lower=False)).alias("w"))
-    return words.select(F.substring("w", 1, 1).alias("key"))
+    return t.documents.select(F.explode(tokens(F.col("text"), lower=False)).alias("key"))
 
 
 def key_count(spark, sf_dir):
@@ -79,10 +78,10 @@ QUERIES = {
 
 ORACLE = {
     "key_count": f"""
-SELECT substring(w, 1, 1) AS key, count(*) AS n
+SELECT w AS key, count(*) AS n
 FROM (SELECT unnest({_tok('text')}) AS w FROM documents) GROUP BY 1""",
     "key_count_parts": f"""
-WITH counts AS (SELECT substring(w, 1, 1) AS key, count(*) AS n
+WITH counts AS (SELECT w AS key, count(*) AS n
                 FROM (SELECT unnest({_tok('text')}) AS w FROM documents) GROUP BY 1),
 bytes AS (SELECT key, n, list_transform(regexp_extract_all(hex(encode(key)), '(..)', 1),
                                         lambda x: CAST(('0x' || x)::INTEGER AS BIGINT)) AS b FROM counts)

@@ -85,8 +85,8 @@ def _routed(spark, sf_dir):
     marked): in the reference the files on disk, here written once per input
     to the shared folder and read by every change query."""
     t = tables(spark, sf_dir)
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    routed = derived_table(spark, "change_log_routed", [path], lambda: C.route(change_log(t), organisations(t)))
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("events", "part", "customer")]
+    routed = derived_table(spark, "change_log_routed", paths, lambda: C.route(change_log(t), organisations(t)))
     return t, routed
 
 

@@ -120,8 +120,8 @@ def _indicator_sql(nav_sql: str, as_of: str, income: bool) -> str:
            ON nav.date <= {d} AND (w.from_date IS NULL OR nav.date >= w.from_date)
          WHERE nav.per_nav IS NOT NULL AND nav.wan_per_nav IS NOT NULL),
   s1 AS (SELECT *, row_number() OVER (PARTITION BY category, code, w_id ORDER BY date) AS rn,
-                exp(sum(CASE WHEN ret > -1 THEN ln(1 + ret) END) OVER (PARTITION BY category, code, w_id
-                    ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS price
+                product(1 + ret) OVER (PARTITION BY category, code, w_id
+                    ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price
          FROM s0),"""
     else:
         series = """

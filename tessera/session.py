@@ -44,12 +44,16 @@ def get_session(master: str | None = None, app: str = "tessera",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (`spark.checkpoint.dir`).
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and recorded in the session, so every later call agrees on it.
+    Only on a local master, where driver and executors are one process, a
+    scratch folder stands in for a missing setting and is recorded in the
+    session, so every later call agrees on it.  Elsewhere a missing setting is
+    an error: executors would write to their own disks.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)

@@ -21,6 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import checkpoint_dir
 
 
+# Raised with any change to what a builder writes, so that no table of an
+# earlier version of the code is served.
+VERSION = 2
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -55,7 +60,7 @@ def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], Dat
                  params: str = "") -> str:
     """Folder of the Parquet files of `build()`, written once per (name,
     params, inputs); one file per partition of the built DataFrame."""
-    key = hashlib.sha1(f"{name}|{params}|{fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
+    key = hashlib.sha1(f"{VERSION}|{name}|{params}|{fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
     path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
     if not exists(spark, path + "/_SUCCESS"):
         # build into a private folder next to the target, then rename: two
@@ -65,6 +70,11 @@ def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], Dat
         build().write.parquet(tmp)
         fs, src = _fs(spark, tmp)
         _, dst = _fs(spark, path)
-        if not fs.rename(src, dst):  # another job got there first: use its table
-            fs.delete(src, True)
+        if exists(spark, path + "/_SUCCESS") or not fs.rename(src, dst):
+            fs.delete(src, True)  # another job got there first: use its table
+        else:
+            # a rename onto a folder that appeared meanwhile puts ours inside it
+            _, inside = _fs(spark, f"{path}/{src.getName()}")
+            if fs.exists(inside):
+                fs.delete(inside, True)
     return path

@@ -41,17 +41,18 @@ _NORMALISE = {"news": C.from_news, "article": C.from_articles, "micro": C.from_m
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def new_documents(batch: DataFrame, corpus_path: str) -> DataFrame:
-    """J7 for one batch: rows whose (day, doc_id) the stored corpus lacks."""
+    """J7 for one batch: rows whose doc_id the stored corpus lacks, whatever
+    day either carries.  Only the id column of the corpus is read."""
     spark = batch.sparkSession
     if not _exists(spark, corpus_path):
         return batch
-    stored = spark.read.parquet(corpus_path).select("day", "doc_id")
-    return batch.join(stored, ["day", "doc_id"], "left_anti")
+    stored = spark.read.schema("doc_id string").parquet(corpus_path)
+    return batch.join(stored, "doc_id", "left_anti")
 
 
 def feed_stream(spark: SparkSession, feed: str, src_dir: str,
@@ -74,8 +75,9 @@ def ingest(spark: SparkSession, feed: str, src_dir: str, corpus_path: str,
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/ingest-{feed}"
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        new = new_documents(batch.dropDuplicates(["doc_id"]), corpus_path)
-        new.write.mode("append").partitionBy("day").parquet(corpus_path)
+        new = new_documents(C.one_per_id(batch), corpus_path)
+        # few files a day, and a large day in several tasks
+        new.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(corpus_path)
 
     w = (feed_stream(spark, feed, src_dir, max_files_per_trigger).writeStream
          .foreachBatch(append).option("checkpointLocation", ckpt))
