@@ -16,7 +16,6 @@ from tessera.functions.scoring import bo1, idf
 from tessera.functions.text import tokens
 from tessera.operators.report import global_row_index
 
-
 SMALL_K = 1000  # up to which Spark limits the rows of a group before it shuffles them
 
 
@@ -74,9 +73,9 @@ def top_terms(scored: DataFrame, k: int, score: str = "score", by=()) -> DataFra
     if k > SMALL_K:
         r = global_row_index(scored, [*by, *best])
         if not by:
-            return r.where(F.col("row_index") < k).drop("row_index")
+            return r.where(F.col("row_index") < k).select(*scored.columns)
         first = r.groupBy(*by).agg(F.min("row_index").alias("_first"))
-        return r.join(first, by).where(F.col("row_index") - F.col("_first") < k).drop("row_index", "_first")
+        return r.join(first, by).where(F.col("row_index") - F.col("_first") < k).select(*scored.columns)
     if not by:
         return scored.orderBy(*best).limit(k)
     w = Window.partitionBy(*by).orderBy(*best)

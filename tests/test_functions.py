@@ -534,3 +534,63 @@ def test_interest_exact_mode(spark):
     exact = sorted((r["name"], r["term"], r["n_tokens"])
                    for r in S.user_interests(kw, names, empty, empty, mode="exact").collect())
     assert exact == [("Alpha Bank", "Alpha Bank", 1), ("alpha", "alpha", 1), ("rally", "rally", 1)]
+
+
+def test_global_row_index_on_many_partitions(spark):
+    # checks S14 W7: every index once, in order, on 2 million rows
+    from pyspark.sql import functions as F
+    from tessera.operators import report as R
+    n = 2_000_000
+    df = spark.range(0, n, 1, 16).select(F.expr("(id * 7919) % 2000003").alias("k"))
+    r = R.global_row_index(df, "k", n_parts=16)
+    got = r.agg(F.count("*"), F.countDistinct("row_index"), F.min("row_index"), F.max("row_index")).first()
+    assert tuple(got) == (n, n, 0, n - 1)
+    low = r.orderBy("row_index").limit(500).collect()
+    assert [x["k"] for x in low] == sorted(x["k"] for x in low)
+
+
+def test_large_top_k_matches_the_window(spark, monkeypatch):
+    # checks T3
+    from pyspark.sql import functions as F
+    from tessera.operators import terms as T
+    df = spark.range(600).select(F.expr("concat('t', id)").alias("term"), F.expr("cast(id % 7 as double)").alias("score"), F.expr("id % 3").alias("p"))
+    want = {tuple(r) for r in T.top_terms(df, 40, by=["p"]).collect()}, {tuple(r) for r in T.top_terms(df, 40).collect()}
+    monkeypatch.setattr(T, "SMALL_K", 10)
+    assert ({tuple(r) for r in T.top_terms(df, 40, by=["p"]).collect()}, {tuple(r) for r in T.top_terms(df, 40).collect()}) == want
+
+
+def test_word_filters_are_equi_joins(spark):
+    # checks P8 P9 P10
+    from tessera.operators import hot as H
+    terms = spark.createDataFrame([("ab",), ("b",), ("abcd",), ("x",)], "term string")
+    stop = spark.createDataFrame([("abc",), ("",)], "word string")
+    kept = H.drop_hot_stop_words(terms, stop)
+    assert {r["term"] for r in kept.collect()} == {"abcd", "x"}
+    docs = spark.createDataFrame([(1, "a big dog"), (2, "cat"), (3, None), (4, "")], "doc_id int, title string")
+    white = spark.createDataFrame([("big", 3.0), ("dog", None), ("", 9.0)], "word string, score double")
+    scored = H.whitelist_score(docs, white)
+    assert {r["doc_id"]: r["white_score"] for r in scored.collect()} == {1: 3.0, 2: 0.0, 3: 0.0, 4: 0.0}
+    black = H.blacklisted(docs, white)
+    assert {r["doc_id"]: r["black"] for r in black.collect()} == {1: True, 2: False, 3: False, 4: False}
+    for df in (kept, scored, black):
+        assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_price_is_the_product_of_all_factors(spark):
+    # checks A8: returns of -1 and below
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from tessera.operators import funds as FU
+    from tessera.functions import indicators  # noqa: F401
+    rets = [0.01, 0.01, -1.5, 0.01, -2.0, -1.0, 0.5]
+    day = dt.date(2016, 5, 1)
+    nav = spark.createDataFrame([("f", day + dt.timedelta(days=k), 1.0, r * 10000) for k, r in enumerate(rets)],
+                                "code string, date date, per_nav double, wan_per_nav double")
+    fl = spark.createDataFrame([("f", "money", "wan")], "code string, category string, method string")
+    win = F.array(F.struct(F.lit(0).alias("w_id"), F.lit(None).cast("date").alias("from_date"), F.lit(dt.date(2017, 1, 1)).alias("to_date")))
+    got = [r["price"] for r in FU.series(nav, fl, win).orderBy("date").collect()]
+    want, p = [], 1.0
+    for r in rets:
+        p *= 1 + r
+        want.append(p)
+    assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))

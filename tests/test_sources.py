@@ -237,3 +237,55 @@ def test_partition_and_file_health(spark):
     ph = {r["part"]: (r["n_rows"], r["n_bytes"], r["status"]) for r in
           CAL.partition_health(expected, observed, "part").collect()}
     assert ph == {"20160229": (2, 12, "ok"), "20160301": (1, 0, "empty"), "20160302": (0, 0, "missing")}
+
+
+def test_change_files_are_applied_in_date_order(spark):
+    # checks S11 W6: an older, shorter file is read after a newer, longer one
+    from tessera.operators import changes as CH
+    d = _scratch()
+    os.makedirs(f"{d}/in")
+    with open(f"{d}/in/acme_email_20160501.csv", "w") as f:
+        f.write("ADD,Ann,a@x.com\n")
+    with open(f"{d}/in/acme_email_20160502.csv", "w") as f:
+        f.write("".join(f"ADD,Bob,b{i}@x.com\n" for i in range(200)) + "DEL,Ann,a@x.com\n")
+    got = CH.read_change_files(spark, f"{d}/in").orderBy("seq").collect()
+    assert [r["seq"] for r in got] == list(range(202))
+    assert got[0]["date"] == "20160501" and got[-1]["line"] == "DEL,Ann,a@x.com"
+    orgs = spark.createDataFrame([(1, "acme")], "id long, name string")
+    routed = CH.route(CH.read_change_files(spark, f"{d}/in"), orgs)
+    existing = spark.createDataFrame([(1, "acme", "Old", "b0@x.com", "user")], CH.apply_email(CH.email_changes(routed)).schema)
+    left = {r["email"] for r in CH.apply_email(CH.email_changes(routed), existing).collect()}
+    assert "a@x.com" not in left and {f"b{i}@x.com" for i in range(200)} <= left
+
+
+def test_a_stored_id_is_never_new_again(spark):
+    # checks 2.12 J7: another day, a NULL time, and a corpus folder without _SUCCESS
+    from pyspark.sql import functions as F
+    from tessera.streaming import feeds
+    d = _scratch()
+    stored = spark.createDataFrame([("N1", "2024-01-01"), ("N2", None)], "doc_id string, day string").withColumn("day", F.to_date("day"))
+    stored.write.partitionBy("day").parquet(f"{d}/corpus")
+    os.remove(f"{d}/corpus/_SUCCESS")
+    batch = spark.createDataFrame([("N1", "2024-02-02"), ("N1", None), ("N2", "2024-01-05"), ("N3", None)],
+                                  "doc_id string, day string").withColumn("day", F.to_date("day"))
+    assert [r["doc_id"] for r in feeds.new_documents(batch, f"{d}/corpus").collect()] == ["N3"]
+
+
+def test_a_missing_checkpoint_folder_is_an_error_off_a_local_master():
+    import pytest
+    from tessera.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, default=None: default)
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
