@@ -2,9 +2,9 @@
 
 Bindings (besides the corpus of `plans.text`):
   users              events.user_id (P12: not NULL, uid < 9800 for the vocabulary)
-  keywords           per purchased item (events.props k = benchmark.item_id) the
-                     item's longest token (ties: alphabetical), stop words excluded
-  analyser           the search index drops the stop words below (X4 stop list)
+  keywords           every token of the items a user purchased (events.props k =
+                     benchmark.item_id), stop words excluded
+  analyser           relevance drops the stop words below (X4); the search index none
   institutions       part: id = p_partkey, short = first word of p_name, full = p_name
   bonds              part: id = p_partkey, short = p_type, full = p_name || ' ' || p_type
   user x institution click events (props k = p_partkey)
@@ -20,10 +20,12 @@ from tessera.functions.text import TOKEN_SPLIT, tokens
 from tessera.operators import search as S
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
-from tessera.plans.text import FEEDS_SQL, content_terms, corpus, terms
+from tessera.plans.text import FEEDS_SQL, _inputs, content_terms, corpus, terms
+from tessera.sources.store import derived_table
 
 # Parameters of the bound queries.
-# Analyser stop list of the search index (common function words of the corpus languages).
+# Analyser stop list (X4) of user relevance: common function words of the corpus
+# languages.  The search index keeps every word.
 SEARCH_STOP_WORDS = ["the", "and", "of", "to", "a", "in", "is", "it", "that", "was", "for", "on", "are",
                      "as", "with", "by", "this", "be", "at", "an", "or", "from",
                      "le", "la", "les", "de", "des", "du", "et", "en", "un", "une", "que", "qui", "pour",
@@ -34,19 +36,19 @@ NAME_STOP_WORDS = ["有限公司", "公司", "有限责任"]
 WINDOW = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
 PRIOR_END = "2024-01-16 00:00:00"
 
-QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("thatin"), S.Or(S.Term("ther"), S.Term("ing"))),
-                                 S.Term("rewh", field="title")), S.Term("orre"))
+QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("that"), S.Or(S.Term("the"), S.Term("der"))),
+                                 S.Term("rewh", field="title")), S.Term("and"))
 QUERY_PREFIX = S.Or(S.Prefix("thatin"), S.Wildcard("th?n*"))
 QUERY_FUZZY = S.Fuzzy("orantion", 2)
 QUERY_RANGE = S.And(S.Range("notice_time", "2024-01-05 00:00:00", "2024-01-20 00:00:00"),
-                    S.And(S.Range("sentiment", 1.0, None), S.Term("ing")))
-QUERY_BOOST = S.Or(S.Term("ing", boost=2.0), S.Term("ent", field="title", boost=1.5))
+                    S.And(S.Range("sentiment", 1.0, None), S.Term("the")))
+QUERY_BOOST = S.Or(S.Term("the", boost=2.0), S.Term("de", field="title", boost=1.5))
 
 
 def _search(query):
     def run(spark, sf_dir):
         docs = corpus(spark, sf_dir)
-        fields = terms(spark, sf_dir, SEARCH_STOP_WORDS).select("doc_id", "field", "term", "tf", "doc_len")
+        fields = terms(spark, sf_dir).select("doc_id", "field", "term", "tf", "doc_len")
         hits = S.search(docs.select("doc_id", "notice_time", "sentiment", "platform"), fields, query)
         return hits.select("doc_id", r6("score").alias("score"))
     return run
@@ -58,12 +60,10 @@ def _links(spark, sf_dir):
         F.col("user_id").alias("uid"), "event_type",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     part = t.part.select("p_partkey", "p_name", "p_type")
-    item_kw = (t.benchmark.select("item_id", F.explode(tokens(F.col("text"), stop_words=SEARCH_STOP_WORDS))
-                                  .alias("tok"))
-                  .groupBy("item_id").agg(F.min_by("tok", F.struct(-F.length("tok"), F.col("tok"))).alias("keyword")))
-    kw = (ev.where(F.col("event_type") == "purchase")
-            .join(item_kw, F.col("k") == F.col("item_id"))
-            .select("uid", "keyword").distinct())
+    item_kw = t.benchmark.select("item_id", F.explode(F.array_distinct(
+        tokens(F.col("text"), stop_words=SEARCH_STOP_WORDS))).alias("keyword"))
+    kw = (ev.where(F.col("event_type") == "purchase").select("uid", F.col("k").alias("item_id")).distinct()
+            .join(item_kw, "item_id").select("uid", "keyword").distinct())
     clicks = ev.where(F.col("event_type") == "click").select("uid", F.col("k").alias("institutionid")).distinct()
     company = part.select(F.col("p_partkey").alias("institutionid"),
                           F.split_part("p_name", F.lit(" "), F.lit(1)).alias("shortname"),
@@ -96,7 +96,10 @@ def _relevance(spark, sf_dir, platform):
 
 
 def user_relevance(spark, sf_dir):
-    return _relevance(spark, sf_dir, 1)
+    """Written once per input to the shared folder: `correlation_append` reads
+    it twice."""
+    paths = sorted({*_inputs(sf_dir), *(f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "benchmark", "part"))})
+    return derived_table(spark, "user_relevance", paths, lambda: _relevance(spark, sf_dir, 1))
 
 
 def user_relevance_micro(spark, sf_dir):
@@ -193,8 +196,8 @@ def _tok(x, stops=True):
 
 FIELDS_SQL = FEEDS_SQL + f""",
 docs AS (SELECT * FROM docs_all WHERE notice_time BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-12-31 23:59:59'),
-toks AS (SELECT doc_id, 'content' AS field, {_tok('content')} AS tk FROM docs
-         UNION ALL SELECT doc_id, 'title', {_tok('title')} FROM docs WHERE title IS NOT NULL),
+toks AS (SELECT doc_id, 'content' AS field, {_tok('content', False)} AS tk FROM docs
+         UNION ALL SELECT doc_id, 'title', {_tok('title', False)} FROM docs WHERE title IS NOT NULL),
 dt AS (SELECT doc_id, field, len(tk) AS doc_len, term, count(*) AS tf
        FROM (SELECT doc_id, field, tk, unnest(tk) AS term FROM toks) GROUP BY ALL),
 ndocs AS (SELECT count(DISTINCT doc_id) AS n FROM dt),
@@ -264,8 +267,7 @@ def _search_sql(query):
 LINKS_SQL = f"""
 ev AS (SELECT user_id AS uid, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
        FROM events WHERE user_id IS NOT NULL),
-item_kw AS (SELECT item_id, arg_min(tok, (-length(tok), tok)) AS keyword
-            FROM (SELECT item_id, unnest({_tok('text')}) AS tok FROM benchmark) GROUP BY 1),
+item_kw AS (SELECT item_id, unnest({_tok('text')}) AS keyword FROM benchmark),
 kw AS (SELECT DISTINCT uid, keyword FROM ev JOIN item_kw b ON ev.k = b.item_id WHERE ev.event_type = 'purchase'),
 clicks AS (SELECT DISTINCT uid, k AS institutionid FROM ev WHERE event_type = 'click'),
 company AS (SELECT p_partkey AS institutionid, split_part(p_name, ' ', 1) AS shortname, p_name AS fullname FROM part),
