@@ -1,9 +1,8 @@
 """Term vectors and corpus statistics.
 
 `doc_terms` is the shared forward index: one row per (document, term) with the
-term frequency and the document length.  When the documents arrive hash
-partitioned by id (the corpus is deduplicated on it), the (doc, term) aggregate
-and every later per-document window run without another shuffle.
+term frequency and the document length.  The (doc, term) counts are partial
+aggregates; a corpus read back from Parquet is shuffled once by (doc, term).
 Whole texts are tokenised (no prefixes); the tokenizer runs in the JVM.
 """
 
@@ -27,10 +26,8 @@ def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content"
     a user `dictionary` (column `word`), Han text is cut by forward maximum
     matching (`operators.segment`)."""
     keep = list(keep)
-    # No explicit repartition: a corpus deduplicated on doc_id is already hash
-    # partitioned by it, which satisfies the (doc_id, ...) aggregate below and
-    # every later per-document window; other inputs shuffle (doc, term) pairs
-    # after the map-side partial aggregate.
+    # No explicit repartition: (doc, term) pairs shuffle after the map-side
+    # partial aggregate.
     if dictionary is None:
         d = docs.select(F.col(id_col).alias("doc_id"), *keep,
                         tokens(F.col(text_col), lower, stop_words).alias("toks"))

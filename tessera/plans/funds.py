@@ -19,7 +19,7 @@ from tessera.plans.common import r6, rf, sql_r6, sql_rf, tables
 LOOKBACKS = [("day", 7), ("day", 30), ("month", 0), ("month", 3), ("month", 6),
              ("month", 12), ("year", 0), ("year", 1), ("year", 3), ("all", None)]
 CATEGORIES = ["0", "1", "2", "3", "4"]
-PRICE_AS_OF = "2001-08-01"
+PRICE_AS_OF = "2001-07-10"
 INCOME_AS_OF = "2001-11-04"
 BOUNDED = ["annual_volatility", "sharp_ratio", "max_drawdown"]
 UNBOUNDED = ["annual_return", "calmar_ratio"]
