@@ -4,7 +4,8 @@ Checked outputs are normalised the same way in Spark and in the SQL oracle:
 bounded doubles are rounded to 6 decimals (`+ 0.0` removes -0.0); quantities
 without a magnitude bound (powers such as the annual return) are additionally
 cast to REAL, because rounding very large doubles is not bit-identical across
-engines while the float32 cast of two doubles a few ulps apart is.
+engines while the float32 cast of two doubles a few ulps apart is.  Beyond
+`LARGEST` (a return of a few days raised to a year) they are shown as that.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import Tables
 
+LARGEST = 1e30
+
 
 def r6(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -21,7 +24,8 @@ def r6(c) -> Column:
 
 
 def rf(c) -> Column:
-    return r6(c).cast("float")
+    x = r6(c)
+    return F.when(x > LARGEST, LARGEST).when(x < -LARGEST, -LARGEST).otherwise(x).cast("float")
 
 
 def sql_r6(expr: str) -> str:
@@ -29,7 +33,8 @@ def sql_r6(expr: str) -> str:
 
 
 def sql_rf(expr: str) -> str:
-    return f"CAST(round({expr}, 6) + 0.0 AS REAL)"
+    x = f"(round({expr}, 6) + 0.0)"
+    return f"CAST(CASE WHEN {x} > {LARGEST} THEN {LARGEST} WHEN {x} < -{LARGEST} THEN -{LARGEST} ELSE {x} END AS REAL)"
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
