@@ -27,6 +27,10 @@ _VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "emb
 _CLOSES_P = {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section",
              "nav", "header", "footer", "pre", "blockquote"}
 
+# An opening tag closes open ones of these kinds, up to the element around them.
+_CLOSES = {"li": ({"li"}, {"ul", "ol"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}),
+           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+
 
 class _Node:
     __slots__ = ("tag", "attrs", "children", "parent")
@@ -34,22 +38,30 @@ class _Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
+    def _in_order(self):
+        """Strings and nodes below, in document order; a stack, since unclosed
+        markup nests thousands of levels deep."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
+                yield c
+                if not isinstance(c, str):
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
+
     def text(self) -> str:
-        out = []
-        for c in self.children:
-            out.append(c if isinstance(c, str) else c.text())
-        return "".join(out)
+        return "".join(c for c in self._in_order() if isinstance(c, str))
 
     def walk(self):
-        for c in self.children:
-            if not isinstance(c, str):
-                yield c
-                yield from c.walk()
+        return (c for c in self._in_order() if not isinstance(c, str))
 
 
 class _Tree(HTMLParser):
     """Tolerant DOM: script/style text is dropped, an open <p> is closed by a
-    block element, unknown end tags are ignored."""
+    block element, an open list item, option, cell or row by the next one,
+    unknown end tags are ignored."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -63,6 +75,13 @@ class _Tree(HTMLParser):
                 n = n.parent
             if n.tag == "p":
                 self.cur = n.parent
+        if tag in _CLOSES:
+            kinds, around = _CLOSES[tag]
+            n = self.cur
+            while n is not self.root and n.tag not in around:
+                if n.tag in kinds:
+                    self.cur = n.parent
+                n = n.parent
         node = _Node(tag, dict(attrs), self.cur)
         self.cur.children.append(node)
         if tag not in _VOID:
@@ -130,7 +149,10 @@ def body_of(html: str, rules, table_marker: bool = False):
     container exists gives the body: '\\n' + text of every item child; no
     container -> None (page skipped).  `table_marker`: a page with any
     <table> has the body 'table'."""
-    root = _parse(html)
+    return _body(_parse(html), rules, table_marker)
+
+
+def _body(root, rules, table_marker: bool):
     if table_marker and any(n.tag == "table" for n in root.walk()):
         return TABLE_BODY
     for container, item in rules:
@@ -154,7 +176,10 @@ def links_of(html: str, item_selector: str, time_selector: str | None = None):
 
 
 def title_of(html: str):
-    root = _parse(html)
+    return _title(_parse(html))
+
+
+def _title(root):
     for sel in ("h1", "title"):
         found = select(root, sel)
         if found:
@@ -170,10 +195,11 @@ def extract_bodies(pages: DataFrame, rules, table_marker: bool = False, html: st
 
     @F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType())]))
     def _extract(h: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"title": [title_of(x) for x in h],
-                             "body": [body_of(x, rules, table_marker) for x in h]})
+        roots = (_parse(x) for x in h)  # one parse a page
+        return pd.DataFrame([(_title(r), _body(r, rules, table_marker)) for r in roots], columns=["title", "body"])
 
-    return pages.withColumn("_x", _extract(F.col(html))).select("*", "_x.title", "_x.body").drop("_x")
+    # not deterministic for the planner: a filter on a field must not run the parser again
+    return pages.withColumn("_x", _extract.asNondeterministic()(F.col(html))).select("*", "_x.title", "_x.body").drop("_x")
 
 
 _LINK = T.ArrayType(T.StructType([T.StructField("title", T.StringType()), T.StructField("href", T.StringType()),

@@ -594,3 +594,16 @@ def test_price_is_the_product_of_all_factors(spark):
         p *= 1 + r
         want.append(p)
     assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))
+
+
+def test_deep_and_unclosed_markup():
+    # checks X19
+    from tessera.operators import pages as P
+    page = "<h1>t</h1><ul>" + "".join(f"<li>item {k}" for k in range(3000)) + "</ul>"
+    assert P.body_of(page, [("ul", "li")]).count("\n") == 3000
+    deep = "<div>" * 5000 + "end"
+    assert P.body_of("<article>" + deep, [("article", "div")]) == "\nend"
+    assert P.title_of(page) == "t"
+    table = "<table><tr><td>a<td>b<tr><td>c</table>"
+    rows = P.select(P._parse(table), "table > tr")
+    assert [r.text() for r in rows] == ["ab", "c"]
