@@ -55,15 +55,10 @@ def half_day_period_end(ts: Column, am_end: str = "09:00:00",
     Periods: (previous day 17:30, day 09:00] is the AM period of the day,
     (09:00, 17:30] the PM period; after 17:30 a row belongs to the next day's AM.
     """
-    d = F.to_date(ts)
-    tod = F.date_format(ts, "HH:mm:ss.SSSSSS")
-    am = F.to_timestamp(F.concat_ws(" ", F.date_format(d, "yyyy-MM-dd"), F.lit(am_end)))
-    pm = F.to_timestamp(F.concat_ws(" ", F.date_format(d, "yyyy-MM-dd"), F.lit(pm_end)))
-    next_am = F.to_timestamp(F.concat_ws(" ", F.date_format(F.date_add(d, 1), "yyyy-MM-dd"),
-                                         F.lit(am_end)))
-    return (F.when(tod <= F.lit(am_end + ".000000"), am)
-            .when(tod <= F.lit(pm_end + ".000000"), pm)
-            .otherwise(next_am))
+    day = F.date_trunc("day", ts)
+    am = day + F.expr(f"interval '{am_end}' hour to second")
+    pm = day + F.expr(f"interval '{pm_end}' hour to second")
+    return F.when(ts <= am, am).when(ts <= pm, pm).otherwise(am + F.expr("interval 1 day"))
 
 
 def is_am_period(period_end: Column, am_end: str = "09:00:00") -> Column:

@@ -52,7 +52,7 @@ def periods_with_overlap(df: DataFrame, ts: str = "ts", overlap_seconds: int = 2
               .withColumn("am", is_am_period(F.col("period_end"))))
 
 
-def url_worklist(spark_or_df, template: str, days_df: DataFrame, first_page: int, last_page: int) -> DataFrame:
+def url_worklist(days_df: DataFrame, template: str, first_page: int, last_page: int) -> DataFrame:
     """Page x day URL work list (`{date}` and `{page}` placeholders in
     `template`).  Nothing is fetched; the output is a table."""
     pages = F.explode(F.sequence(F.lit(first_page), F.lit(last_page))).alias("page")

@@ -46,6 +46,25 @@ def half_day_counts(spark, sf_dir):
     return tagged.groupBy("period_end", "am").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def half_day_overlap(spark, sf_dir):
+    """F16: rows per period when a job also re-reads the 40 minutes (the daily
+    job) or the hour (the news index) before the period's start."""
+    t = tables(spark, sf_dir)
+    def per(seconds, name):
+        tagged = cal.periods_with_overlap(t.events.select("ts"), "ts", seconds)
+        return tagged.groupBy("period_end", "am").agg(F.count(F.lit(1)).alias(name))
+    return (per(2400, "n_40_minutes").join(per(3600, "n_one_hour"), ["period_end", "am"], "full_outer")
+            .na.fill(0, ["n_40_minutes", "n_one_hour"]))
+
+
+def page_worklist(spark, sf_dir):
+    """List-page addresses of every day that has events, pages 1 to 5."""
+    t = tables(spark, sf_dir)
+    days = t.events.select(F.to_date("ts").alias("day")).where("day is not null").distinct()
+    return cal.url_worklist(days, "http://news.example.com/{date}/index_{page}.html", 1, 5) \
+        .select(F.date_format("day", "yyyyMMdd").alias("day"), "page", "url")
+
+
 def partition_health(spark, sf_dir):
     t = tables(spark, sf_dir)
     expected = cal.days(spark, HEALTH_START, HEALTH_END)
@@ -72,11 +91,34 @@ QUERIES = {
     "key_count_parts": key_count_parts,
     "numeric_terms": numeric_terms,
     "half_day_counts": half_day_counts,
+    "half_day_overlap": half_day_overlap,
+    "page_worklist": page_worklist,
     "partition_health": partition_health,
     "hour_worklist": hour_worklist,
 }
 
+_PERIOD_MACRO = """CASE WHEN CAST({0} AS TIME) <= TIME '09:00:00' THEN CAST({0} AS DATE) + INTERVAL 9 HOUR
+            WHEN CAST({0} AS TIME) <= TIME '17:30:00' THEN CAST({0} AS DATE) + INTERVAL 17 HOUR + INTERVAL 30 MINUTE
+            ELSE CAST({0} AS DATE) + INTERVAL 1 DAY + INTERVAL 9 HOUR END"""
+
+
+def _overlap_sql(seconds: int) -> str:
+    """Rows (period_end) of the periods that re-read `seconds` before their start."""
+    own, late = _PERIOD_MACRO.format("ts"), _PERIOD_MACRO.format(f"(ts + INTERVAL {seconds} SECOND)")
+    return (f"SELECT own AS period_end FROM (SELECT {own} AS own, {late} AS late FROM events) "
+            f"UNION ALL SELECT late FROM (SELECT {own} AS own, {late} AS late FROM events) WHERE late <> own")
+
+
 ORACLE = {
+    "half_day_overlap": f"""
+WITH a AS (SELECT period_end, count(*) AS n FROM ({_overlap_sql(2400)}) GROUP BY 1),
+     b AS (SELECT period_end, count(*) AS n FROM ({_overlap_sql(3600)}) GROUP BY 1)
+SELECT period_end, CAST(period_end AS TIME) = TIME '09:00:00' AS am, coalesce(a.n, 0) AS n_40_minutes, coalesce(b.n, 0) AS n_one_hour
+FROM a FULL JOIN b USING (period_end)""",
+    "page_worklist": """
+WITH d AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS day FROM events WHERE ts IS NOT NULL)
+SELECT day, CAST(page AS INTEGER) AS page, 'http://news.example.com/' || day || '/index_' || page || '.html' AS url
+FROM d, generate_series(1, 5) g(page)""",
     "key_count": f"""
 SELECT w AS key, count(*) AS n
 FROM (SELECT unnest({_tok('text')}) AS w FROM documents) GROUP BY 1""",
