@@ -20,6 +20,8 @@ from tessera.operators import terms as T
 
 # Fixed values of the reference jobs.
 HOT_TERM_LIMIT = 100
+# Vocabulary limits of the reference jobs, to be asked for: the operators score
+# every term unless given one.
 KEY_TERMS = 10_000
 DISTINCTIVE_TERMS = 10_000
 TFPDF_TERMS = 100_000
@@ -53,9 +55,9 @@ def term_filters(df: DataFrame, stop_words: DataFrame | None) -> DataFrame:
 
 def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame, *,
                      by=(), stop_words: DataFrame | None = None,
-                     key_limit: int = KEY_TERMS) -> DataFrame:
+                     key_limit: int | None = None) -> DataFrame:
     """A3: weight = mean over the window's documents of sqrt(tf/len) * idf * df/N,
-    restricted to the window's top `key_limit` key terms, kept when > 0, then
+    restricted to the window's top `key_limit` key terms if given, kept when > 0, then
     P7 and P8.  `by` computes every window (e.g. every period) in one job.
 
     dt: doc_terms of the window documents (with the `by` columns);
@@ -63,9 +65,9 @@ def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame
     by = list(by)
     ws = T.term_stats(dt, by)
     n_win = dt.select(*by, "doc_id").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_win"))
-    keys = T.key_terms(ws, corpus_stats, n_corpus, key_limit, by)
-    s = ws.join(keys, by + ["term"], "left_semi")
-    s = T.with_idf(s, corpus_stats, n_corpus)
+    if key_limit is not None:
+        ws = ws.join(T.key_terms(ws, corpus_stats, n_corpus, key_limit, by), by + ["term"], "left_semi")
+    s = T.with_idf(ws, corpus_stats, n_corpus)
     s = s.join(n_win, by) if by else s.withColumn("n_win", n_win.select("n_win").scalar())
     s = s.withColumn("weight", F.col("s_sqrt_tf") * F.col("idf") * (F.col("df") / F.col("n_win"))
                      / F.col("n_win"))
@@ -74,12 +76,11 @@ def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame
 
 def hot_term_weights_pre(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame,
                          n_window: DataFrame, *, stop_words: DataFrame | None = None,
-                         limit: int = DISTINCTIVE_TERMS) -> DataFrame:
+                         limit: int | None = None) -> DataFrame:
     """A4 (older variant): terms chosen corpus-wide (top `limit` by cf*ln(N/df));
     tf normalised by the document's total over the chosen terms only; N is the
     number of window documents (with or without terms)."""
-    chosen = T.distinctive_terms(corpus_stats, n_corpus, limit)
-    sel = dt.join(chosen, "term", "left_semi")
+    sel = dt if limit is None else dt.join(T.distinctive_terms(corpus_stats, n_corpus, limit), "term", "left_semi")
     w = Window.partitionBy("doc_id")  # one document's terms: bounded
     sel = sel.withColumn("len_sel", F.sum("tf").over(w))
     s = (sel.groupBy("term")
@@ -92,13 +93,12 @@ def hot_term_weights_pre(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataF
 
 
 def tfpdf_weights(dt: DataFrame, channel_sizes: DataFrame, corpus_stats: DataFrame,
-                  n_corpus: DataFrame, limit: int = TFPDF_TERMS) -> DataFrame:
+                  n_corpus: DataFrame, limit: int | None = None) -> DataFrame:
     """A5: TF-PDF per channel.  dt carries the channel column `channel`;
     channel_sizes = (channel, n_docs) over the window documents.
     weight = sum_c F_c / ||F||_2 * exp(n_c / N_c)  (absent channels add 0)."""
-    chosen = T.distinctive_terms(corpus_stats, n_corpus, limit)
-    per = (dt.join(chosen, "term", "left_semi")
-             .groupBy("term", "channel")
+    sel = dt if limit is None else dt.join(T.distinctive_terms(corpus_stats, n_corpus, limit), "term", "left_semi")
+    per = (sel.groupBy("term", "channel")
              .agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("n")))
     per = per.join(channel_sizes.select("channel", F.col("n_docs").alias("n_c")), "channel")
     agg = per.groupBy("term").agg(F.sum(F.col("f") * F.col("f")).alias("f2"),

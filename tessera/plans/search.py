@@ -292,7 +292,7 @@ cs AS (SELECT DISTINCT uid, shortname AS name FROM clicks JOIN company USING (in
        WHERE shortname IS NOT NULL AND shortname NOT IN (SELECT word FROM filt)),
 cf AS (SELECT DISTINCT uid, fullname AS name FROM clicks JOIN company USING (institutionid) WHERE fullname IS NOT NULL),
 bs AS (SELECT DISTINCT c.uid, b.shortname AS name FROM clicks c JOIN bond b USING (institutionid)
-       LEFT JOIN nkw ON nkw.uid = c.uid WHERE b.shortname IS NOT NULL AND coalesce(nkw.nk, 0) <= 100),
+       LEFT JOIN nkw ON nkw.uid = c.uid WHERE b.shortname IS NOT NULL),
 names AS (SELECT * FROM cs UNION SELECT * FROM cf UNION SELECT * FROM bs),
 q AS (SELECT uid, 'keyword' AS kind, keyword AS name, 1.2 AS boost FROM kw
       UNION ALL SELECT uid, 'name', name, 1.0 FROM names),

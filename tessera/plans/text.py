@@ -167,6 +167,18 @@ def tfpdf_docs(spark, sf_dir):
     return H.doc_scores(dt, w, docs).select("doc_id", r6("score").alias("score"))
 
 
+def key_terms(spark, sf_dir):
+    """The 100 best key terms (Bo1) of every source."""
+    _, dt, cs, n = _index(spark, sf_dir, keep=("source",))
+    return T.key_terms(T.term_stats(dt, ["source"]), cs, n, 100, ["source"])
+
+
+def distinctive_terms(spark, sf_dir):
+    """T3 corpus-wide: the 1000 most distinctive terms."""
+    _, _, cs, n = _index(spark, sf_dir)
+    return T.distinctive_terms(cs, n, 1000)
+
+
 def _periods(docs):
     """Every half-day period between the first and the last document."""
     p = docs.select(half_day_period_end(F.col("notice_time")).alias("period_end"))
@@ -187,7 +199,7 @@ def history(spark, sf_dir) -> DataFrame:
         dt = content_terms(spark, sf_dir, keep=("period_end",))
         cs, n = T.term_stats(dt), T.doc_count(docs)
         return H.hot_term_weights(dt, cs, n, by=("period_end",), stop_words=_words(spark, HOT_STOP_WORDS))
-    params = f"{H.KEY_TERMS}|" + ",".join(HOT_STOP_WORDS)
+    params = "all terms|" + ",".join(HOT_STOP_WORDS)
     return derived_table(spark, "hot_history", _inputs(sf_dir), build, params=params)
 
 
@@ -227,6 +239,8 @@ QUERIES = {
     "corpus_load": corpus_load,
     "feed_stream_ingest": feed_stream_ingest,
     "hot_terms": hot_terms,
+    "key_terms": key_terms,
+    "distinctive_terms": distinctive_terms,
     "hot_terms_pre": hot_terms_pre,
     "tfpdf_terms": tfpdf_terms,
     "tfpdf_docs": tfpdf_docs,
@@ -285,13 +299,22 @@ BO1 = "(cf_set * log2((1 + cf / ncorp.n) / (cf / ncorp.n)) + log2(1 + cf / ncorp
 
 HOT_TERMS_SQL = "WITH " + INDEX_SQL + f""",
 nwin AS (SELECT count(DISTINCT doc_id) AS n FROM dt),
-keys AS (SELECT term FROM (SELECT term, cf AS cf_set, cf FROM cs), ncorp ORDER BY {BO1} DESC, term DESC LIMIT 10000),
+keys AS (SELECT term FROM cs),
 w AS (SELECT cs.term, s * (ln(ncorp.n / (df + 1)) + 1) * (df / nwin.n) / nwin.n AS weight
       FROM cs, ncorp, nwin WHERE cs.term IN (SELECT term FROM keys))
 SELECT w.term, round(w.weight, 6) + 0.0 AS weight FROM w WHERE w.weight > 0 AND {_filters('w')}"""
 
+KEY_TERMS_SQL = "WITH " + INDEX_SQL + f""",
+ws AS (SELECT source, term, sum(tf) AS cf_set FROM dt GROUP BY 1, 2),
+keyed AS (SELECT source, ws.term, row_number() OVER (PARTITION BY source ORDER BY {BO1} DESC, ws.term DESC) AS krk
+          FROM ws JOIN cs ON cs.term = ws.term, ncorp)
+SELECT source, term FROM keyed WHERE krk <= 100"""
+
+DISTINCTIVE_TERMS_SQL = "WITH " + INDEX_SQL + """
+SELECT term FROM cs, ncorp ORDER BY cf * ln(ncorp.n / df) DESC, term DESC LIMIT 1000"""
+
 HOT_TERMS_PRE_SQL = "WITH " + INDEX_SQL + f""",
-chosen AS (SELECT term FROM cs, ncorp ORDER BY cf * ln(ncorp.n / df) DESC, term DESC LIMIT 10000),
+chosen AS (SELECT term FROM cs),
 sel AS (SELECT *, sum(tf) OVER (PARTITION BY doc_id) AS len_sel FROM dt WHERE term IN (SELECT term FROM chosen)),
 agg AS (SELECT term, count(*) AS df_win, sum(sqrt(tf / len_sel)) AS s FROM sel GROUP BY term),
 w AS (SELECT agg.term, agg.s * (ln(ncorp.n / (cs.df + 1)) + 1) * (agg.df_win / ncorp.n) / ncorp.n AS weight
@@ -299,7 +322,7 @@ w AS (SELECT agg.term, agg.s * (ln(ncorp.n / (cs.df + 1)) + 1) * (agg.df_win / n
 SELECT w.term, round(w.weight, 6) + 0.0 AS weight FROM w WHERE w.weight > 0 AND {_filters('w')}"""
 
 TFPDF_SQL = INDEX_SQL + """,
-chosen AS (SELECT term FROM cs, ncorp ORDER BY cf * ln(ncorp.n / df) DESC, term DESC LIMIT 100000),
+chosen AS (SELECT term FROM cs),
 chan AS (SELECT source AS channel, count(*) AS n_c FROM docs GROUP BY 1),
 per AS (SELECT term, source AS channel, sum(tf) AS f, count(*) AS n FROM dt
         WHERE term IN (SELECT term FROM chosen) GROUP BY 1, 2),
@@ -327,11 +350,11 @@ cs AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM dt GROUP BY term),
 stops AS (SELECT * FROM (VALUES {_list(HOT_STOP_WORDS)}) s(word)),
 ws AS (SELECT period_end, term, count(*) AS df_p, sum(tf) AS cf_set, sum(sqrt(tf / doc_len)) AS s FROM dt GROUP BY 1, 2),
 nwin AS (SELECT period_end, count(DISTINCT doc_id) AS n_win FROM dt GROUP BY 1),
-keyed AS (SELECT ws.*, cs.df, cs.cf, row_number() OVER (PARTITION BY period_end ORDER BY {BO1} DESC, term DESC) AS krk
+keyed AS (SELECT ws.*, cs.df, cs.cf
           FROM ws JOIN cs USING (term), ncorp),
 hist AS (SELECT keyed.period_end, keyed.term,
                 keyed.s * (ln(ncorp.n / (keyed.df + 1)) + 1) * (keyed.df_p / nwin.n_win) / nwin.n_win AS weight
-         FROM keyed JOIN nwin USING (period_end), ncorp WHERE krk <= 10000),
+         FROM keyed JOIN nwin USING (period_end), ncorp),
 hist_f AS (SELECT * FROM hist WHERE weight > 0 AND {_filters('hist')}),
 bounds AS (SELECT min(period_end) AS lo, max(period_end) AS hi FROM docs),
 cal AS (SELECT p AS period_end FROM (
@@ -398,6 +421,8 @@ ORACLE = {
     "corpus_load": CORPUS_LOAD_SQL,
     "feed_stream_ingest": FEED_STREAM_SQL,
     "hot_terms": HOT_TERMS_SQL,
+    "key_terms": KEY_TERMS_SQL,
+    "distinctive_terms": DISTINCTIVE_TERMS_SQL,
     "hot_terms_pre": HOT_TERMS_PRE_SQL,
     "tfpdf_terms": TFPDF_TERMS_SQL,
     "tfpdf_docs": TFPDF_DOCS_SQL,
