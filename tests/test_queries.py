@@ -10,10 +10,10 @@ import pytest
 
 import __spark_entry__ as E
 from oracle import compare, duck
+from tessera.plans import registry
 
 SF = os.environ.get("TESSERA_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES, ORACLE = registry()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason=f"no driver tables at {SF}")
 
@@ -40,4 +40,5 @@ def test_query(spark, con, name):
 def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.queries())
