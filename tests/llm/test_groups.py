@@ -75,30 +75,23 @@ def test_minhashes_estimate_the_similarity():
     assert abs((shingles.minhashes(a, 512) == shingles.minhashes(b, 512)).mean() - true) < 0.08
 
 
-def test_join_against_brute_force(spark, make_docs):
+def test_join_against_brute_force(spark, make_docs, monkeypatch):
+    """Random copies, one large group of near copies that is cut into blocks,
+    and a passage that many documents share without being similar."""
+    for name, value in (("SMALL", 16), ("BLOCK", 16)):
+        monkeypatch.setattr(ngram_join, name, value)
     r = random.Random(5)
     rows = []
-    for i in range(300):
+    for i in range(200):
         if rows and r.random() < 0.4:
             rows.append((i, edited(r.choice(rows)[1], i, r.randrange(0, 5))))
         else:
             rows.append((i, prose(i, r.choice([3, 4, 5, 30, 120]))))
-    check_join(spark, make_docs, rows)
-
-
-def test_large_group_of_near_copies_is_cut_into_blocks(spark, make_docs, monkeypatch):
-    for name, value in (("SMALL", 8), ("BLOCK", 16), ("LEVELS", 8)):
-        monkeypatch.setattr(ngram_join, name, value)
-    base = prose(3, 150)
-    rows = [(i, edited(base, i, i % 4)) for i in range(120)] + [(i, prose(i)) for i in range(120, 160)]
-    check_join(spark, make_docs, rows)
-
-
-def test_hot_passage_without_similarity(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SMALL", 16)
-    passage = prose(77, 30)
-    rows = [(i, passage + " " + prose(i, 60)) for i in range(150)]
-    check_join(spark, make_docs, rows)
+    base, passage = prose(303, 150), prose(777, 30)
+    rows += [(i, edited(base, i, i % 4)) for i in range(200, 300)]
+    rows += [(i, passage + " " + prose(i, 60)) for i in range(300, 400)]
+    r.shuffle(rows)
+    check_join(spark, make_docs, sorted(rows))
 
 
 def test_join_edges(spark, make_docs):
