@@ -64,25 +64,25 @@ def _sets(table: DataFrame, size: int) -> DataFrame:
     return table.mapInArrow(run, schema)
 
 
-def _chain(round_: int):
-    """A run's sampled tokens, level after level: other ones in every run,
+def _token(round_: int, level: int):
+    """The token on which a run splits at a level: other ones in every run,
     level and round up to `LEVELS` rounds."""
-    def token(level: int):
-        number = F.pmod(F.col("run") + round_ * level, F.lit(RUNS)) * LEVELS + (level + round_) % LEVELS
-        return F.substring(F.col("tokens"), number * 4 + 1, F.lit(4))
-    return F.concat(*[token(k) for k in range(LEVELS)])
+    number = F.pmod(F.col("run") + round_ * level, F.lit(RUNS)) * LEVELS + (level + round_) % LEVELS
+    return F.substring(F.col("tokens"), number * 4 + 1, F.lit(4))
 
 
 def _round(sets: DataFrame, round_: int, n: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One round of runs over `n` sets (rep, tokens): buckets (path, rep) to
     compare, buckets (path, rep, size) to link whole, and (rep, deeper): how
-    much splitting again cost the set in log(probability of a miss)."""
+    much splitting again cost the set in log(probability of a miss).
+
+    Paths are shuffled without the tokens; the sets in buckets that split
+    again, few, fetch theirs."""
     runs = F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1)))
-    now = sets.select("rep", "tokens", runs.alias("run")).select(
-        "rep", F.lit(round_).cast("long").alias("path"), "run", _chain(round_).alias("chain"))
+    now = sets.select("rep", "tokens", F.lit(round_).cast("long").alias("path"), runs.alias("run"))
     rows, compare, whole, deeper = n * RUNS, [], None, []
     for level in range(LEVELS):
-        now = now.select("rep", "run", "chain", F.xxhash64("path", "run", F.substring("chain", level * 4 + 1, 4)).alias("path"))
+        now = now.select("rep", "run", F.xxhash64("path", "run", _token(round_, level)).alias("path"))
         sizes = now.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         now = written(join_to_groups(now, sizes, "path", "size", rows), "paths")
         small, large = now.where(F.col("size") <= SMALL), now.where(F.col("size") > SMALL)
@@ -95,7 +95,10 @@ def _round(sets: DataFrame, round_: int, n: int, similarity: float) -> tuple[Dat
         else:
             cost = math.log1p(-similarity ** (level + 2)) - math.log1p(-similarity ** (level + 1))
             deeper.append(large.select("rep", F.lit(cost).alias("deeper")))
-            now = large.drop("size")
+            if level == 0:
+                wanted = written(large.select("rep").distinct(), "splitting")
+                tokens = written(rows_with(sets, "rep", wanted, wanted.count(), "left_semi"), "splitting-sets")
+            now = large.drop("size").join(tokens, "rep")
     return _union(compare), whole, _union(deeper).groupBy("rep").agg(F.sum("deeper").alias("deeper")) if deeper else None
 
 
@@ -160,12 +163,11 @@ def candidate_links(sets: DataFrame, similarity: float, recall: float) -> DataFr
     together and whose sketches agree."""
     # the low byte of each minimum hash
     sketch = F.concat(*[F.substring("tokens", 4 * k + 1, 1) for k in range(TOKENS)])
-    sketches = written(sets.select("rep", sketch.alias("sketch")), "sketches")
     now, n, links = sets, sets.count(), []
     missed = None  # (rep, missed): log(probability of a miss) so far
     for round_ in range(ROUNDS):
         compare, whole, deeper = _round(now, round_, n, similarity)
-        links.append(written(_compared(compare, sketches, similarity), "links"))
+        links.append(written(_compared(compare, now.select("rep", sketch.alias("sketch")), similarity), "links"))
         if whole is not None:
             least = whole.groupBy("path").agg(F.min("rep").alias("b"), F.count("*").alias("n"))
             links.append(join_to_groups(whole.select("path", F.col("rep").alias("a")), least, "path", "n", n * RUNS).where("a != b").select("a", "b"))
@@ -179,7 +181,7 @@ def candidate_links(sets: DataFrame, similarity: float, recall: float) -> DataFr
         n = missed.count()
         if n == 0:
             break
-        now = written(sets.join(missed.select("rep"), "rep", "left_semi"), "again")
+        now = written(rows_with(sets, "rep", missed, n, "left_semi"), "again")
     return _union(links)
 
 
@@ -245,8 +247,10 @@ def _classes(table: DataFrame, similarity: float, size: int, recall: float) -> D
     sets = written(_sets(table.select("rid", "text"), size), "sets")
     n = sets.count()
     equal = written(sets.groupBy("digest").agg(F.min("rid").alias("rep"), F.count("*").alias("m")), "equal")
-    ones = written(sets.join(equal.select(F.col("rep").alias("rid")), "rid", "left_semi")
-                   .select(F.col("rid").alias("rep"), "n", "tokens"), "representatives")
+    copies = equal.where("m > 1")
+    dropped = join_to_groups(sets.select("rid", "digest"), copies, "digest", "m", n).where("rid != rep").select("rid")
+    dropped = written(dropped, "equal-sets")
+    ones = written(rows_with(sets, "rid", dropped, dropped.count(), "left_anti").select(F.col("rid").alias("rep"), "n", "tokens"), "representatives")
     found = written(components(candidate_links(ones.select("rep", "tokens"), similarity, recall)).withColumnRenamed("node", "rep"), "candidates")
     n_found = found.count()
     texts = rows_with(table.select("rid", "text"), "rid", found.select(F.col("rep").alias("rid")), n_found, "left_semi")
