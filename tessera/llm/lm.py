@@ -215,7 +215,14 @@ def count_words(docs: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """From the written counts: totals, the `KNOWN` commonest words, and per
     shared unit the tokens and distinct words outside the `FREQUENT`."""
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    # the least count that no more than KNOWN words reach, from a histogram with 16 steps a power of two
+    step = F.floor(F.log2("n") * 16).cast("int")
+    room, least = KNOWN, None
+    for at, n in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        if n > room:
+            break
+        room, least = room - n, at
+    top = counts.where(step >= least).collect() if least is not None else []  # KNOWN rows at most
     known = {bytes(r.word): r.n for r in top}
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     schema = StructType([StructField("unit", IntegerType()), StructField("n", LongType())])
