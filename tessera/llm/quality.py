@@ -140,14 +140,16 @@ def fit(votes: DataFrame, names: list[str]) -> list[float]:
     return right
 
 
-def _judged(table: DataFrame, text: Column) -> DataFrame:
+def _judged(table: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+    """The columns `keep` of `table` with metrics and verdict."""
     voted = with_metrics(table, text)
     names = list(rules())
-    voted = written(voted.select(*voted.columns, *[c.alias(f"vote_{k}") for k, c in rules().items()]), "quality")
+    voted = voted.select(*keep, *voted.columns[len(table.columns):])
+    voted = written(voted.select("*", *[c.alias(f"vote_{k}") for k, c in rules().items()]), "quality")
     names = [f"vote_{k}" for k in names]
     quality = posterior([F.col(c) for c in names], fit(voted, names))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return voted.select(*table.columns, *BASE, failed.alias("base_failed"),
+    return voted.select(*keep, *BASE, failed.alias("base_failed"),
                         (~failed & (quality >= KEEP_FROM)).alias("kept"), quality.alias("quality"))
 
 
@@ -159,10 +161,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     repeat are judged alike, an empty table gives no rows; other columns are
     not read."""
     return _judged(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text_in")),
-                   text_or_empty("text_in")).drop("text_in")
+                   text_or_empty("text_in"), ["doc_id"])
 
 
 def drop_low_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that `quality_rules` keeps, with all their columns."""
-    table = _judged(packed(docs), text_or_empty(F.col("row")[text_col]))
+    table = _judged(packed(docs), text_or_empty(F.col("row")[text_col]), ["row"])
     return table.where("kept").select("row.*")
