@@ -5,11 +5,17 @@ personalised PageRanks over host edges: trust flows along links from the hosts
 of allowed pages, distrust flows against them from the hosts of blocked pages.
 A host is blocked when its distrust exceeds its trust by more than `MARGIN`.
 
-Host edges are the absolute links of the pages' html, weighted by the number
-of pages, and an edge both ways between a host and the domain above it (down to
-two labels), since a site and its subdomains vouch for each other.  All work is
-on host-level tables except one scan of the pages; hubs are joined apart
-(`join_to_groups`) and every iteration is written to the shared folder.
+Host edges are the links of the pages' html that name a host (with a scheme or
+as `//host`), weighted by the number of pages, and an edge both ways between a
+host and the domain above it (down to two labels), since a site and its
+subdomains vouch for each other.  All work is on host-level tables except one
+scan of the pages; hubs are joined apart and every iteration is written to the
+shared folder.
+
+A rank is the sum of what arrives over paths of 0, 1, 2, ... edges, so it only
+grows.  A round sends on what the last one brought; rounds go on until no host's
+rank grows by more than `SETTLED` of itself, so hosts far from every seed are
+reached too.
 """
 
 from __future__ import annotations
@@ -23,10 +29,13 @@ from tessera.llm.common import join_to_groups, written
 
 ALLOW, BLOCK = "allow", "block"
 DAMPING = 0.85
-ITERATIONS = 12
-SETTLED = 1e-4  # stop when no more than this much of all rank moves
+ITERATIONS = 12  # rounds between two looks at whether ranks have settled
+SETTLED = 1e-4  # settled when a round adds no more than this share to any host's rank
+ROUNDS = 6000  # safety bound: by then any path's rank is under LEAST
+LEAST = 1e-300  # what arrives below this is beyond a double's full precision
 MARGIN = 0.0
-LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*([a-z][a-z0-9+.-]*://[^"'\s<>]+)"""
+HUB_SHARE = 1000
+LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s<>]+)"""
 
 
 def host_of(url: Column) -> Column:
@@ -56,8 +65,9 @@ def fitting(rules: list[tuple[str, str]], host: Column, path: Column) -> tuple[C
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight) between different hosts, from pages (host, html)."""
-    links = pages.where(F.instr("html", "://") > 0).select("host", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))).alias("to"))
-    links = links.select(F.col("host").alias("src"), host_of(F.col("to")).alias("dst"))
+    links = pages.where(F.instr("html", "//") > 0).select("host", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))).alias("to"))
+    to = F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).otherwise(F.col("to"))
+    links = links.select(F.col("host").alias("src"), host_of(to).alias("dst"))
     labels = F.split("host", r"\.")
     above = F.transform(F.sequence(F.lit(0), F.size(labels) - 2), lambda k: F.array_join(F.slice(labels, k + 1, F.size(labels)), "."))
     names = pages.select("host").distinct().where(F.size(labels) > 2)
@@ -78,23 +88,31 @@ def ranks(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     n = 2 * edges.count()
     both = written(join_to_groups(both.withColumn("key", F.struct("src", "kind")), out.select(F.struct("src", "kind").alias("key"), "all", "degree"), "key", "degree", n)
                    .select("src", "dst", "kind", (F.col("weight") / F.col("all")).alias("share")), "host-edges")
-    degree = written(both.groupBy("src").agg(F.count("*").alias("degree")), "degrees")
-    now = written(seeds.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust")), "ranks")
-    for _ in range(ITERATIONS):
-        senders = now.join(degree, now["host"] == degree["src"]).select("src", "degree", "trust", "distrust")
-        sent = join_to_groups(both, senders, "src", "degree", n)
-        flow = lambda kind, rank: F.sum(F.when(F.col("kind") == kind, F.col("share") * F.col(rank)).otherwise(0.0))
-        received = sent.groupBy("dst").agg(flow(0, "trust").alias("t"), flow(1, "distrust").alias("d"))
-        new = seeds.join(received, seeds["host"] == received["dst"], "full_outer").select(
-            F.coalesce("host", "dst").alias("host"),
-            (F.coalesce("good", F.lit(0.0)) * (1 - DAMPING) + F.coalesce("t", F.lit(0.0)) * DAMPING).alias("trust"),
-            (F.coalesce("bad", F.lit(0.0)) * (1 - DAMPING) + F.coalesce("d", F.lit(0.0)) * DAMPING).alias("distrust"))
-        last, now = now, written(new, "ranks")
-        moved = now.alias("a").join(last.alias("b"), "host", "full_outer").agg(F.sum(sum(
-            F.abs(F.coalesce(F.col(f"a.{c}"), F.lit(0.0)) - F.coalesce(F.col(f"b.{c}"), F.lit(0.0))) for c in ("trust", "distrust")))).first()[0]
-        if not moved or moved < SETTLED:
-            break
-    return now
+    # hosts with over 1/HUB_SHARE of the edges number fewer than HUB_SHARE, so what they send is broadcast
+    hubs = F.broadcast(written(both.groupBy("src").count().where(F.col("count") * HUB_SHARE > n).select(F.col("src").alias("host")), "hubs"))
+    of_hubs = written(both.join(hubs, both["src"] == hubs["host"], "left_semi"), "hub-edges")
+    others = written(both.join(hubs, both["src"] == hubs["host"], "left_anti"), "other-edges")
+
+    def sent_on(arrived: DataFrame) -> DataFrame:
+        from_hubs = of_hubs.join(F.broadcast(arrived.join(hubs, "host", "left_semi")), F.col("src") == F.col("host"))
+        sent = from_hubs.unionByName(others.join(arrived, F.col("src") == F.col("host")))
+        flow = lambda kind, rank: F.sum(F.when(F.col("kind") == kind, F.col("share") * F.col(rank)).otherwise(0.0)) * DAMPING
+        return sent.groupBy(F.col("dst").alias("host")).agg(flow(0, "trust").alias("trust"), flow(1, "distrust").alias("distrust")).where(
+            F.greatest("trust", "distrust") >= LEAST)
+
+    arrived = written(seeds.select("host", (F.col("good") * (1 - DAMPING)).alias("trust"), (F.col("bad") * (1 - DAMPING)).alias("distrust")), "arrived")
+    now, rounds = arrived, 0
+    while rounds < ROUNDS:
+        parts = now
+        for _ in range(ITERATIONS):
+            arrived = written(sent_on(arrived), "arrived")
+            parts, rounds = parts.unionByName(arrived), rounds + 1
+        now = written(parts.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
+        grown = [F.when(F.col(f"b.{c}") >= LEAST, F.col(f"b.{c}") / F.col(f"a.{c}")) for c in ("trust", "distrust")]
+        most = now.alias("a").join(arrived.alias("b"), "host").agg(F.max(F.greatest(*grown))).first()[0]
+        if most is None or most <= SETTLED:
+            return now
+    raise RuntimeError(f"host ranks still grow by {most:g} of themselves after {rounds} rounds")
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",

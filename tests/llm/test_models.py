@@ -194,6 +194,23 @@ def test_urls_against_brute_force(spark, monkeypatch):
     assert url_filter.filter_urls(df.limit(0), RULES).count() == 0
 
 
+def test_urls_far_from_every_seed(spark):
+    """With the constants of the query: a chain longer than one block of
+    rounds, a cycle that keeps its rank, and links without a scheme."""
+    link = lambda u: f"<a href='{u}'>x</a>"
+    rows = [(0, "http://evil.com/de/", None), (1, "http://c1.net/", link("http://evil.com/")), (90, "http://ok.com/fr/", link("http://a.s.net/"))]
+    rows += [(k, f"http://c{k}.net/", link(f"http://c{k - 1}.net/")) for k in range(2, 31)]
+    rows += [(60, "http://a.s.net/", link("//q.net/")), (61, "http://s.net/", None), (62, "http://p.net/", link("//EVIL.com/x?u=http://ok.com/"))]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    out = {r.page_id: r for r in url_filter.filter_urls(df, RULES).collect()}
+    absolute = [(i, u, h and h.replace("'//", "'http://")) for i, u, h in rows]
+    assert {i: (r.host, r.path, r.rule, r.verdict) for i, r in out.items()} == brute_urls(absolute)
+    assert all(out[k].verdict == "block" and out[k].distrust > 0 for k in [*range(1, 31), 62])
+    # the cycle a.s.net - s.net: t(a) = d * (0.15 s + t(s)), t(s) = d * t(a) / 2 (the other half goes to q.net)
+    d = url_filter.DAMPING
+    assert out[60].trust == pytest.approx(d * (1 - d) / (1 - d * d / 2), rel=1e-3)
+
+
 # -- mixing and the pipeline -----------------------------------------------
 
 def test_rates_meet_the_targets(spark):
