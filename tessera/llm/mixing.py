@@ -4,12 +4,15 @@
    over domains: naive Bayes scores on hashed words, fitted on at most `SAMPLE`
    labelled documents a domain (taken by hash of the id), then sharpness and
    priors calibrated on all labelled documents.
-2. Each document gets a nonnegative rate, 1 at first.  Projected-gradient least
-   squares moves the rates until the expected token totals of the domains (rate
-   x tokens x posterior, summed) match their targets, with a small pull
-   `RIDGE` towards 1 that makes the solution unique.  An iteration is one
-   aggregate with a sum a domain; rates are a column, never
-   collected.
+2. Each document gets a nonnegative rate: of the rates whose expected token
+   totals of the domains (rate x tokens x posterior, summed) match their
+   targets, those nearest to 1 (token-weighted squares).  Such a rate is 1 plus
+   a weight a domain times the posterior, cut at the bounds, so only the domain
+   weights are sought: Newton steps, each one aggregate with a few sums a
+   domain.  A ridge keeps the steps finite; it shrinks from `RIDGE` until the
+   totals are within `MET` of the targets, or where the bounds do not allow
+   them, to the last of its values, which leaves the least-squares rates.
+   Rates are a column, never collected.
 3. A rate is carried out as whole copies plus one more with the probability of
    its fraction, decided by a hash of the row.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +38,9 @@ SMOOTHING = 0.5
 SURE = 3.0  # standard errors
 SHARPNESS = [0.125, 0.25, 0.5, 1.0, 2.0]
 RIDGE = 0.01
-ITERATIONS = 40
-SETTLED = 2e-3  # change of a scaled residual
-REWRITTEN_AFTER = 8  # iterations between writes of the rates
+RIDGES = [RIDGE, RIDGE * 1e-2, RIDGE * 1e-4, RIDGE * 1e-6]
+MET = 1e-4  # |total - target| as a share of the target
+LEAST_STEP = 1e-6  # of a Newton step
 
 
 def domain_of_labels() -> Column:
@@ -140,26 +144,56 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     total = sum(now)
     if total <= 0:
         return table.withColumn("rate", F.lit(1.0))
-    # the Gram matrix of the token-weighted posteriors; residuals are scaled by its diagonal
-    pairs = [(i, j) for i in DOMAINS for j in DOMAINS]
-    sums = table.agg(*[F.sum(F.col("n_tokens") / total * F.col(f"p_{i}") * F.col(f"p_{j}")) for i, j in pairs]).first()
-    gram = dict(zip(pairs, sums))
-    scale = [max(gram[d, d], 1e-12) for d in DOMAINS]
-    unit = [[gram[i, j] / math.sqrt(a * b) for j, b in zip(DOMAINS, scale)] for i, a in zip(DOMAINS, scale)]
-    step = 1 / (1.01 * max(sum(map(abs, row)) for row in unit) + RIDGE)  # the largest row sum bounds the eigenvalues
-    rate, before, at = F.lit(1.0), None, table
-    for k in range(ITERATIONS):
-        off = [(s - w) / total / g for s, w, g in zip(_totals(at, rate), want, scale)]
-        if before and max(abs(o - p) for o, p in zip(off, before)) < SETTLED:
+    # a domain without tokens reaches no total but 0
+    want = np.array([w / total if x > 0 else 0.0 for w, x in zip(want, now)])
+    near = MET * np.array([w or x / total for w, x in zip(want, now)])
+    table_of = table.select((F.col("n_tokens") / total).alias("w"), *[f"p_{d}" for d in DOMAINS])
+    pairs = [(i, j) for i in range(len(DOMAINS)) for j in range(i, len(DOMAINS))]
+
+    def pulled(weights) -> Column:
+        return sum((F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, weights)), F.lit(1.0))
+
+    def bounded(z: Column) -> Column:
+        r = F.greatest(F.lit(0.0), z)
+        return r if max_rate is None else F.least(F.lit(float(max_rate)), r)
+
+    def measured(weights):
+        """At these domain weights: the dual objective without target and
+        ridge, the totals, and the totals' derivatives."""
+        z, r = F.col("z"), bounded(F.col("z"))
+        free = (z > 0) if max_rate is None else (z > 0) & (z <= float(max_rate))
+        at = table_of.withColumn("z", pulled(weights)).select("*", (F.col("w") * r).alias("wr"), F.when(free, F.col("w")).otherwise(0.0).alias("wf"), r.alias("r"))
+        p = [F.col(f"p_{d}") for d in DOMAINS]
+        row = list(at.agg(F.sum(F.col("wr") * (z - F.col("r") / 2)), *[F.sum(F.col("wr") * x) for x in p], *[F.sum(F.col("wf") * p[i] * p[j]) for i, j in pairs]).first())
+        slope = np.zeros((len(p), len(p)))
+        for (i, j), x in zip(pairs, row[1 + len(p):]):
+            slope[i, j] = slope[j, i] = x
+        return row[0], np.array(row[1:1 + len(p)]), slope
+
+    weights_of = np.zeros(len(DOMAINS))
+    value, totals, slope = measured(weights_of)
+    gram = table_of.agg(*[F.sum(F.col("w") * F.col(f"p_{d}") * F.col(f"p_{d}")) for d in DOMAINS]).first()
+    scale = np.maximum(np.array(gram), 1e-12)
+    for ridge in RIDGES:
+        goal = lambda v, x: v - x @ want + ridge / 2 * (scale * x) @ x  # noqa: B023, E731
+        while True:
+            off = totals - want + ridge * scale * weights_of
+            if (np.abs(off) <= near / 10).all():
+                break
+            step, size, found = np.linalg.solve(slope + ridge * np.diag(scale), -off), 1.0, None
+            while found is None and size >= LEAST_STEP:
+                x = weights_of + size * step
+                there = measured(x)
+                # a point counts when it lowers the convex objective by a share of what its slope promises
+                if goal(there[0], x) <= goal(value, weights_of) + 1e-4 * size * (off @ step):
+                    found = x, there
+                size /= 4
+            if found is None:  # lower only below a double's precision
+                break
+            weights_of, (value, totals, slope) = found
+        if (np.abs(totals - want) <= near).all():
             break
-        before = off
-        pull = sum((F.col(f"p_{d}") * (step * o) for d, o in zip(DOMAINS, off)), F.lit(-step * RIDGE))
-        rate = F.greatest(F.lit(0.0), rate * (1 - step * RIDGE) - pull)
-        if max_rate is not None:
-            rate = F.least(F.lit(float(max_rate)), rate)
-        if k % REWRITTEN_AFTER == REWRITTEN_AFTER - 1:
-            at, rate = written(at.select(*table.columns, rate.alias("rate")), "rates"), F.col("rate")
-    return written(at.select(*table.columns, rate.alias("rate")), "rates")
+    return written(table.select(*table.columns, bounded(pulled(weights_of)).alias("rate")), "rates")
 
 
 def _copies(key: Column) -> Column:

@@ -235,6 +235,27 @@ def test_rates_meet_the_targets(spark):
     assert bounded <= 1
 
 
+@pytest.mark.parametrize("sharpness", [0.8, 4.0])
+def test_rates_meet_weights_of_a_rare_domain(spark, sharpness):
+    rng = np.random.default_rng(7)
+    shares = np.array([0.80, 0.15, 0.05])
+    truth = rng.choice(3, 2000, p=shares)
+    logits = sharpness * (np.eye(3)[truth] * 2 + rng.normal(0, 1, (2000, 3))) + np.log(shares)
+    p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+    tokens = rng.integers(1, 1000, 2000)
+    table = spark.createDataFrame([(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(tokens, p))],
+                                  ["id", "n_tokens", *[f"p_{d}" for d in mixing.DOMAINS]])
+    mass = tokens[:, None] * p
+    want = mass.sum(0) * [mixing.WEIGHTS[d] for d in mixing.DOMAINS]
+    rate = np.array([r.rate for r in mixing.with_rates(table).orderBy("id").collect()])
+    assert (rate >= 0).all() and np.allclose(rate @ mass, want, rtol=1e-3)
+    # bounded: no row's rate can move and lower the squares
+    rate = np.array([r.rate for r in mixing.with_rates(table, max_rate=1.0).orderBy("id").collect()])
+    off = p @ ((rate @ mass - want) / (tokens @ p ** 2))
+    assert rate.min() >= 0 and rate.max() <= 1
+    assert (off[rate > 0] < 1e-3).all() and (off[rate < 1] > -1e-3).all()
+
+
 def test_mixing_edges(spark, make_docs, labels):
     df = make_docs(EDGES + [(i, prose(i) + (" awful" if i % 5 == 0 else "")) for i in range(20, 40)], extra=["rate", "rid", "p_clean", "copies"])
     got = mixing.mix(df, labels).collect()
