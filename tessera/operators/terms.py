@@ -71,8 +71,9 @@ def top_terms(scored: DataFrame, k: int, score: str = "score", by=()) -> DataFra
         r = global_row_index(scored, [*by, *best])
         if not by:
             return r.where(F.col("row_index") < k).select(*scored.columns)
-        first = r.groupBy(*by).agg(F.min("row_index").alias("_first"))
-        return r.join(first, by).where(F.col("row_index") - F.col("_first") < k).select(*scored.columns)
+        first = r.groupBy(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]).agg(F.min("row_index").alias("_first"))
+        same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]  # null is a group too
+        return r.join(first, same).where(F.col("row_index") - F.col("_first") < k).select(*scored.columns)
     if not by:
         return scored.orderBy(*best).limit(k)
     w = Window.partitionBy(*by).orderBy(*best)

@@ -179,6 +179,24 @@ def distinctive_terms(spark, sf_dir):
     return T.distinctive_terms(cs, n, 1000)
 
 
+def key_terms_whole(spark, sf_dir):
+    """T3 at the reference's size: the 10,000 best key terms of every source."""
+    _, dt, cs, n = _index(spark, sf_dir, keep=("source",))
+    return T.key_terms(T.term_stats(dt, ["source"]), cs, n, H.KEY_TERMS, ["source"])
+
+
+def distinctive_terms_whole(spark, sf_dir):
+    """T3 corpus-wide at the reference's size: the 10,000 most distinctive terms."""
+    _, _, cs, n = _index(spark, sf_dir)
+    return T.distinctive_terms(cs, n, H.DISTINCTIVE_TERMS)
+
+
+def distinctive_terms_tfpdf(spark, sf_dir):
+    """T3 corpus-wide as TF-PDF asks for it: the 100,000 most distinctive terms."""
+    _, _, cs, n = _index(spark, sf_dir)
+    return T.distinctive_terms(cs, n, H.TFPDF_TERMS)
+
+
 def _periods(docs):
     """Every half-day period between the first and the last document."""
     p = docs.select(half_day_period_end(F.col("notice_time")).alias("period_end"))
@@ -241,6 +259,9 @@ QUERIES = {
     "hot_terms": hot_terms,
     "key_terms": key_terms,
     "distinctive_terms": distinctive_terms,
+    "key_terms_whole": key_terms_whole,
+    "distinctive_terms_whole": distinctive_terms_whole,
+    "distinctive_terms_tfpdf": distinctive_terms_tfpdf,
     "hot_terms_pre": hot_terms_pre,
     "tfpdf_terms": tfpdf_terms,
     "tfpdf_docs": tfpdf_docs,
@@ -313,6 +334,18 @@ SELECT source, term FROM keyed WHERE krk <= 100"""
 DISTINCTIVE_TERMS_SQL = "WITH " + INDEX_SQL + """
 SELECT term FROM cs, ncorp ORDER BY cf * ln(ncorp.n / df) DESC, term DESC LIMIT 1000"""
 
+KEY_TERMS_WHOLE_SQL = "WITH " + INDEX_SQL + f""",
+ws AS (SELECT source, term, sum(tf) AS cf_set FROM dt GROUP BY 1, 2),
+keyed AS (SELECT source, ws.term, row_number() OVER (PARTITION BY source ORDER BY {BO1} DESC, ws.term DESC) AS krk
+          FROM ws JOIN cs ON cs.term = ws.term, ncorp)
+SELECT source, term FROM keyed WHERE krk <= {H.KEY_TERMS}"""
+
+
+def _most_distinctive(k):
+    return "WITH " + INDEX_SQL + f"""
+SELECT term FROM cs, ncorp ORDER BY cf * ln(ncorp.n / df) DESC, term DESC LIMIT {k}"""
+
+
 HOT_TERMS_PRE_SQL = "WITH " + INDEX_SQL + f""",
 chosen AS (SELECT term FROM cs),
 sel AS (SELECT *, sum(tf) OVER (PARTITION BY doc_id) AS len_sel FROM dt WHERE term IN (SELECT term FROM chosen)),
@@ -423,6 +456,9 @@ ORACLE = {
     "hot_terms": HOT_TERMS_SQL,
     "key_terms": KEY_TERMS_SQL,
     "distinctive_terms": DISTINCTIVE_TERMS_SQL,
+    "key_terms_whole": KEY_TERMS_WHOLE_SQL,
+    "distinctive_terms_whole": _most_distinctive(H.DISTINCTIVE_TERMS),
+    "distinctive_terms_tfpdf": _most_distinctive(H.TFPDF_TERMS),
     "hot_terms_pre": HOT_TERMS_PRE_SQL,
     "tfpdf_terms": TFPDF_TERMS_SQL,
     "tfpdf_docs": TFPDF_DOCS_SQL,

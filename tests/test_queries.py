@@ -42,3 +42,11 @@ def test_entry(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(QUERIES) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name, least", [("key_terms_whole", 1001), ("distinctive_terms_whole", 1001), ("distinctive_terms_tfpdf", 1001)])
+def test_term_queries_of_the_reference_size(spark, con, name, least):
+    """More terms than SMALL_K a group, so the range-partitioned top-k is what
+    the SQL is compared with."""
+    n, problems = compare(QUERIES[name](spark, SF), con, ORACLE[name])
+    assert not problems and n >= least
