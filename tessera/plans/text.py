@@ -135,6 +135,27 @@ def feed_stream_ingest(spark, sf_dir):
     return out.withColumn("feed_type", F.col("feed_type").cast("double"))
 
 
+def feed_streams_ingest(spark, sf_dir):
+    """2.12 over all three feeds: each delivered as overlapping re-reads (as in
+    `feed_stream_ingest`) and streamed into the one day-partitioned corpus.
+    Every document of every feed is stored exactly once."""
+    run = f"{checkpoint_dir(spark).rstrip('/')}/streams/feeds-{uuid.uuid4().hex}"
+    for (feed, schema), rows in zip(ST.FEED_SCHEMAS.items(), feeds(spark, sf_dir)):
+        fields = [f.split(" ") for f in schema.split(", ")]
+        time = "publish_time" if feed == "micro" else "notice_time"
+
+        def build():
+            all_ = rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in fields])  # noqa: B023
+            early = all_.where(F.col(time) < F.lit("2024-01-20").cast("timestamp")).repartition(4)  # noqa: B023
+            late = all_.where(F.col(time) >= F.lit("2024-01-15").cast("timestamp")).repartition(4)  # noqa: B023
+            return early.unionByName(late)  # one file per partition, each file one re-read
+        src = derived_path(spark, f"feed_{feed}_rereads", _inputs(sf_dir), build)
+        ST.ingest(spark, feed, src, f"{run}/corpus", checkpoint=f"{run}/checkpoint-{feed}",
+                  max_files_per_trigger=2).awaitTermination()
+    out = spark.read.parquet(f"{run}/corpus").drop("day")
+    return out.withColumn("feed_type", F.col("feed_type").cast("double"))
+
+
 def _index(spark, sf_dir, keep=()):
     docs = corpus(spark, sf_dir)
     dt = content_terms(spark, sf_dir, keep=keep)
@@ -256,6 +277,7 @@ def hot_writeback(spark, sf_dir):
 QUERIES = {
     "corpus_load": corpus_load,
     "feed_stream_ingest": feed_stream_ingest,
+    "feed_streams_ingest": feed_streams_ingest,
     "hot_terms": hot_terms,
     "key_terms": key_terms,
     "distinctive_terms": distinctive_terms,
@@ -450,9 +472,13 @@ WHERE notice_time BETWEEN TIMESTAMP '{LOAD_START}' AND TIMESTAMP '{LOAD_END}'
 FEED_STREAM_SQL = "WITH " + FEEDS_SQL + """
 SELECT * REPLACE (CAST(feed_type AS DOUBLE) AS feed_type) FROM docs_all WHERE platform = 1"""
 
+FEED_STREAMS_SQL = "WITH " + FEEDS_SQL + """
+SELECT * REPLACE (CAST(feed_type AS DOUBLE) AS feed_type) FROM docs_all"""
+
 ORACLE = {
     "corpus_load": CORPUS_LOAD_SQL,
     "feed_stream_ingest": FEED_STREAM_SQL,
+    "feed_streams_ingest": FEED_STREAMS_SQL,
     "hot_terms": HOT_TERMS_SQL,
     "key_terms": KEY_TERMS_SQL,
     "distinctive_terms": DISTINCTIVE_TERMS_SQL,

@@ -50,3 +50,11 @@ def test_term_queries_of_the_reference_size(spark, con, name, least):
     the SQL is compared with."""
     n, problems = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert not problems and n >= least
+
+
+def test_all_feeds_pass_through_the_stream(spark, con):
+    df = QUERIES["feed_streams_ingest"](spark, SF)
+    assert not compare(df, con, ORACLE["feed_streams_ingest"])[1]
+    assert {r.platform for r in df.select("platform").distinct().collect()} == \
+        {x for x, in con.execute(f"SELECT DISTINCT platform FROM ({ORACLE['feed_streams_ingest']})").fetchall()}
+    assert df.select("platform").distinct().count() == 3
