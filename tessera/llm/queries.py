@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, language, line_dedup, lm, mixing, ngram_join, piece_bpe, quality, token_counts, url_filter
+from tessera.llm import (exact_dedup, html_text, language, lexical, line_dedup, lm, mixing, ngram_join, piece_bpe, quality,
+                         token_counts, url_filter, whitening)
 from tessera.llm.common import scratch_path
 from tessera.sources.tables import table
 
@@ -67,6 +68,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs)).drop("rejected")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -78,6 +91,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_whitening": op11_whitening,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE = {
@@ -87,4 +103,19 @@ ORACLE = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
                row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id NULLS LAST)""",
+    "op13_lexical_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL),
+        i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark WHERE text IS NOT NULL),
+        wanted AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+        n AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM d WHERE len(t) > 0),
+        posting AS (SELECT r, doc_id, len, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS len, unnest(t) AS term FROM d)
+                    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weight AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM posting, n GROUP BY term),
+        impact AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * docs) // terms))) AS x
+                   FROM posting JOIN weight USING (term), n),
+        scored AS (SELECT q, item_id, r, doc_id, sum(times * x)::BIGINT AS score FROM wanted JOIN impact USING (term) GROUP BY ALL),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 10""",
 }

@@ -20,15 +20,22 @@ COLUMNS = {
     "op8_exact_dedup": "doc_id keep_id group_size kept text_sha256",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality",
     "op10_language_id": "doc_id held_out lang_pred score",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_html_extraction": "page_id url text n_chars",
+    "op13_lexical_search": "item_id rank doc_id score",
 }
 
+#: The table of a query, if it isn't documents, and its result's rows for each of that table's.
+TABLES = {"op5_url_filter": ("pages", 1), "op11_whitening": ("embeddings", 32), "op12_html_extraction": ("pages", 1),
+          "op13_lexical_search": ("benchmark", 10)}
+
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns == COLUMNS[name].split()
-    table = "pages" if name == "op5_url_filter" else "documents"
-    assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    table, rows = TABLES.get(name, ("documents", 1))
+    assert df.count() == rows * spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in ORACLE:
         con = duck(SF)
         _, problems = compare(df, con, ORACLE[name])
