@@ -1,14 +1,14 @@
 """Term vectors and corpus statistics.
 
 `doc_terms` is the shared forward index: one row per (document, term) with the
-term frequency and the document length.  The (doc, term) counts are partial
-aggregates; a corpus read back from Parquet is shuffled once by (doc, term).
-Whole texts are tokenised (no prefixes); the tokenizer runs in the JVM.
+term frequency and the document length.  A document's tokens are counted within
+its row, so nothing is shuffled.  Whole texts are tokenised (no prefixes); the
+tokenizer runs in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scoring import bo1, idf
@@ -18,16 +18,27 @@ from tessera.operators.report import global_row_index
 SMALL_K = 1000  # up to which Spark limits the rows of a group before it shuffles them
 
 
+def term_counts(toks) -> Column:
+    """The distinct tokens of an array with their counts, as an array of
+    (term, tf) structs: the array is sorted and cut into runs within its row,
+    so counting a document's terms needs no shuffle.  NULL without tokens."""
+    def runs(s):
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        cut = lambda b: F.transform(b, lambda p, k: F.struct(
+            F.get(s, p).alias("term"), (F.coalesce(F.get(b, k + 1), n) - p).cast("long").alias("tf")))
+        return F.transform(F.array(starts), cut)[0]  # arrays of one: each is worked out once
+    return F.when(F.size(toks) > 0, F.transform(F.array(F.array_sort(toks)), runs)[0])
+
+
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content",
               keep=(), field: str | None = None, lower: bool = True, stop_words=None,
               dictionary: DataFrame | None = None) -> DataFrame:
-    """X6 (+A2 length): (doc_id, term, tf, doc_len, *keep).  Documents without
-    any token have no rows (the reference drops docs without a vector).  With
-    a user `dictionary` (column `word`), Han text is cut by forward maximum
-    matching (`operators.segment`)."""
+    """X6 (+A2 length): (doc_id, term, tf, doc_len, *keep), a document being a
+    row.  Documents without any token have no rows (the reference drops docs
+    without a vector).  With a user `dictionary` (column `word`), Han text is
+    cut by forward maximum matching (`operators.segment`)."""
     keep = list(keep)
-    # No explicit repartition: (doc, term) pairs shuffle after the map-side
-    # partial aggregate.
     if dictionary is None:
         d = docs.select(F.col(id_col).alias("doc_id"), *keep,
                         tokens(F.col(text_col), lower, stop_words).alias("toks"))
@@ -38,10 +49,8 @@ def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content"
         seg = seg.select("doc_id", F.filter("toks", lambda x: ~x.isin(*stops)).alias("toks") if stops
                          else F.col("toks"))
         d = docs.select(F.col(id_col).alias("doc_id"), *keep).join(seg, "doc_id")
-    d = d.withColumn("doc_len", F.size("toks"))
-    out = (d.select("doc_id", "doc_len", *keep, F.explode("toks").alias("term"))
-            .groupBy("doc_id", "doc_len", *keep, "term")
-            .agg(F.count(F.lit(1)).alias("tf")))
+    out = (d.select("doc_id", F.size("toks").alias("doc_len"), *keep, F.explode(term_counts(F.col("toks"))).alias("t"))
+            .select("doc_id", "doc_len", *keep, "t.term", "t.tf"))
     if field is not None:
         out = out.withColumn("field", F.lit(field))
     return out

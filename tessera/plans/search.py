@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import TOKEN_SPLIT, tokens
 from tessera.operators import search as S
+from tessera.operators.index import SegmentedIndex
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
-from tessera.plans.text import FEEDS_SQL, _inputs, content_terms, corpus, terms
-from tessera.sources.store import derived_table
+from tessera.plans.text import FEEDS_SQL, _inputs, corpus
+from tessera.sources.store import derived_folder, derived_table
 
 # Parameters of the bound queries.
 # Analyser stop list (X4) of user relevance: common function words of the corpus
@@ -36,24 +37,53 @@ NAME_STOP_WORDS = ["有限公司", "公司", "有限责任"]
 WINDOW = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
 PRIOR_END = "2024-01-16 00:00:00"
 
+FIELDS = {"content": "content", "title": "title"}
+DAILY_FROM = "2024-01-25 00:00:00"  # days from here on are added to the index
+LOADS = ["2024-01-01 00:00:00", "2024-01-20 00:00:00", "2024-01-26 12:00:00", "2025-01-01 00:00:00"]
+PAGE = 100  # hits of an ad-hoc search
+
 QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("that"), S.Or(S.Term("the"), S.Term("der"))),
                                  S.Term("rewh", field="title")), S.Term("and"))
 QUERY_PREFIX = S.Or(S.Prefix("thatin"), S.Wildcard("th?n*"))
 QUERY_FUZZY = S.Fuzzy("orantion", 2)
+QUERY_FUZZY_NEAR = S.Or(S.Fuzzy("the", 1), S.Fuzzy("und", 1, field="title"))
+QUERY_FUZZY_FAR = S.AndNot(S.Fuzzy("orantion", 3), S.Fuzzy("tion", 1))
+QUERY_WILD = S.Or(S.And(S.Wildcard("*ntion"), S.Wildcard("e*th")), S.Or(S.Wildcard("?ent*le?"), S.Wildcard("*chtsch*")))
 QUERY_RANGE = S.And(S.Range("notice_time", "2024-01-05 00:00:00", "2024-01-20 00:00:00"),
                     S.And(S.Range("sentiment", 1.0, None), S.Term("the")))
 QUERY_BOOST = S.Or(S.Term("the", boost=2.0), S.Term("de", field="title", boost=1.5))
 
 
-def _search(query):
-    def run(spark, sf_dir):
+def index(spark, sf_dir, stop_words=None) -> SegmentedIndex:
+    """The segmented index of the corpus (content and title): one segment of
+    the days before `DAILY_FROM`, one of the later ones added to it."""
+    def build(path):
         docs = corpus(spark, sf_dir)
-        fields = terms(spark, sf_dir).select("doc_id", "field", "term", "tf", "doc_len")
-        hits = S.search(docs.select("doc_id", "notice_time", "sentiment", "platform"), fields, query)
-        return hits.select("doc_id", r6("score").alias("score"))
+        first = F.col("notice_time") < F.lit(DAILY_FROM).cast("timestamp")
+        for some in (docs.where(first), docs.where(~first)):
+            SegmentedIndex(spark, path).add(some, FIELDS, stop_words=stop_words, lookups=stop_words is None)
+    path = derived_folder(spark, "index", _inputs(sf_dir), build, params=",".join(stop_words or []))
+    return SegmentedIndex(spark, path)
+
+
+def _search(query, limit=None, made=index):
+    def run(spark, sf_dir):
+        docs = corpus(spark, sf_dir).select("doc_id", "notice_time", "sentiment", "platform")
+        hits = made(spark, sf_dir).search(docs, query, limit=limit)
+        return hits.select("doc_id", r6("score").alias("score"), *(["rank"] if limit else []))
     return run
 
 
+def merged_index(spark, sf_dir) -> SegmentedIndex:
+    """The index grown day by day (three loads) and merged."""
+    def build(path):
+        docs, grown = corpus(spark, sf_dir), SegmentedIndex(spark, path)
+        for low, high in zip(LOADS, LOADS[1:]):
+            grown.add(docs.where((F.col("notice_time") >= F.lit(low).cast("timestamp")) & (F.col("notice_time") < F.lit(high).cast("timestamp"))), FIELDS)
+        grown.merge()
+    return SegmentedIndex(spark, derived_folder(spark, "merged-index", _inputs(sf_dir), build))
+
+
 def _links(spark, sf_dir):
     t = tables(spark, sf_dir)
     ev = t.events.where(F.col("user_id").isNotNull()).select(
@@ -85,12 +115,15 @@ def _interests(spark, sf_dir):
 
 def _relevance(spark, sf_dir, platform):
     docs = corpus(spark, sf_dir)
-    dt = content_terms(spark, sf_dir, SEARCH_STOP_WORDS)
+    held = index(spark, sf_dir, SEARCH_STOP_WORDS)
+    content = F.col("field") == "content"
+    dt = held.postings().where(content).select("doc_id", "term", "tf", "doc_len").join(
+        held.terms().where(content).select("term", "df"), "term")
     window = docs.where(F.col("notice_time").between(F.lit(WINDOW[0]).cast("timestamp"),
                                                      F.lit(WINDOW[1]).cast("timestamp"))
                         & (F.col("platform") == platform))
     r = S.user_relevance(window.select("doc_id", "notice_time", "platform", "sentiment"), dt,
-                         _interests(spark, sf_dir), corpus_docs=docs)
+                         _interests(spark, sf_dir), n_docs=docs.count(), total_len=held.length("content"))
     return r.select("uid", "notice_time", "doc_id", "source_flag", r6("score").alias("score"),
                     "sentiment", F.array_join("matched_terms", " ").alias("matched_terms"), "rank")
 
@@ -174,6 +207,11 @@ QUERIES = {
     "search_bool": _search(QUERY_BOOL),
     "search_prefix": _search(QUERY_PREFIX),
     "search_fuzzy": _search(QUERY_FUZZY),
+    "search_fuzzy_near": _search(QUERY_FUZZY_NEAR),
+    "search_fuzzy_far": _search(QUERY_FUZZY_FAR),
+    "search_wildcard": _search(QUERY_WILD),
+    "search_page": _search(QUERY_BOOL, limit=PAGE),
+    "search_merged": _search(QUERY_PREFIX, made=merged_index),
     "search_range": _search(QUERY_RANGE),
     "search_boost": _search(QUERY_BOOST),
     "user_relevance": user_relevance,
@@ -223,7 +261,7 @@ def _leaf_cond(leaf):
             f"<= {leaf.distance}")
 
 
-def _search_sql(query):
+def _search_sql(query, exact=False):
     leaves = S._leaves(query, [])
     ctes, joins = [], []
     for i, leaf in enumerate(leaves):
@@ -261,7 +299,7 @@ def _search_sql(query):
 
     m, sc = b(query)
     return ("WITH " + FIELDS_SQL + ",\n" + ",\n".join(ctes) +
-            f"\nSELECT docs.doc_id, round(abs({sc}), 6) + 0.0 AS score FROM docs {' '.join(joins)} WHERE {m}")
+            f"\nSELECT docs.doc_id, {f'round(abs({sc}), 9) AS exact, ' if exact else ''}round(abs({sc}), 6) + 0.0 AS score FROM docs {' '.join(joins)} WHERE {m}")
 
 
 LINKS_SQL = f"""
@@ -370,6 +408,13 @@ ORACLE = {
     "search_bool": _search_sql(QUERY_BOOL),
     "search_prefix": _search_sql(QUERY_PREFIX),
     "search_fuzzy": _search_sql(QUERY_FUZZY),
+    "search_fuzzy_near": _search_sql(QUERY_FUZZY_NEAR),
+    "search_fuzzy_far": _search_sql(QUERY_FUZZY_FAR),
+    "search_wildcard": _search_sql(QUERY_WILD),
+    "search_page": f"""SELECT doc_id, score, rank FROM (
+        SELECT r.doc_id, r.score, row_number() OVER (ORDER BY r.exact DESC, d.sentiment DESC NULLS LAST, d.notice_time DESC NULLS LAST, r.doc_id) AS rank
+        FROM ({_search_sql(QUERY_BOOL, exact=True)}) r JOIN ({'WITH ' + FEEDS_SQL} SELECT * FROM docs_all) d ON d.doc_id = r.doc_id) WHERE rank <= {PAGE}""",
+    "search_merged": _search_sql(QUERY_PREFIX),
     "search_range": _search_sql(QUERY_RANGE),
     "search_boost": _search_sql(QUERY_BOOST),
     "user_relevance": _rel_select(1),

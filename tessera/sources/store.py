@@ -13,6 +13,7 @@ pushdown) and a lost executor only re-reads files.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 
@@ -23,7 +24,7 @@ from tessera.session import checkpoint_dir
 
 # Raised with any change to what a builder writes, so that no table of an
 # earlier version of the code is served.
-VERSION = 2
+VERSION = 3
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,6 +61,12 @@ def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], Dat
                  params: str = "") -> str:
     """Folder of the Parquet files of `build()`, written once per (name,
     params, inputs); one file per partition of the built DataFrame."""
+    return derived_folder(spark, name, inputs, lambda path: build().write.parquet(path), params)
+
+
+def derived_folder(spark: SparkSession, name: str, inputs, build: Callable[[str], object],
+                   params: str = "") -> str:
+    """The folder that `build(path)` fills, made once per (name, params, inputs)."""
     key = hashlib.sha1(f"{VERSION}|{name}|{params}|{fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
     path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{key}"
     if not exists(spark, path + "/_SUCCESS"):
@@ -67,7 +74,9 @@ def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], Dat
         # jobs building the same table never write into each other, and a
         # reader sees either no table or a complete one
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        build().write.parquet(tmp)
+        build(tmp)
+        if not exists(spark, tmp + "/_SUCCESS"):
+            write_text(spark, tmp + "/_SUCCESS", "")
         fs, src = _fs(spark, tmp)
         _, dst = _fs(spark, path)
         if exists(spark, path + "/_SUCCESS") or not fs.rename(src, dst):
@@ -78,3 +87,67 @@ def derived_path(spark: SparkSession, name: str, inputs, build: Callable[[], Dat
             if fs.exists(inside):
                 fs.delete(inside, True)
     return path
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again: the lineage is cut by
+    files that survive a lost executor, and every reader sees the same rows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --------------------------------------------------- manifests of versioned tables
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (a manifest, a marker), written whole or not at all."""
+    fs, p = _fs(spark, path)
+    _, tmp = _fs(spark, f"{path}.tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, sorted; none if it is missing."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+class Manifest:
+    """What a versioned table consists of: `<root>/manifest/<version>.json`.
+
+    Data files are written first, under names of their own; then one new
+    manifest makes them the table.  Readers take the newest manifest, so they
+    see all of a change or nothing of it; a job that dies before its manifest
+    leaves the table as it was.  Two writers that start from one version cannot
+    both win: the second finds its version taken and raises FileExistsError."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def load(self) -> tuple[int, dict]:
+        """(version, content); (0, {}) of a new table."""
+        found = [n for n in names_in(self.spark, f"{self.root}/manifest") if n.endswith(".json")]
+        if not found:
+            return 0, {}
+        return int(found[-1][:-5]), json.loads(read_text(self.spark, f"{self.root}/manifest/{found[-1]}"))
+
+    def swap(self, version: int, content: dict) -> None:
+        """`content` becomes version + 1."""
+        path = f"{self.root}/manifest/{version + 1:012d}.json"
+        if exists(self.spark, path):
+            raise FileExistsError(path)
+        write_text(self.spark, path, json.dumps(content, sort_keys=True))
