@@ -110,7 +110,7 @@ def _interests(spark, sf_dir):
     cf = clicks.join(company, "institutionid").select("uid", F.col("fullname").alias("name"))
     bs = clicks.join(bond, "institutionid").select("uid", F.col("shortname").alias("name"))
     filt = spark.createDataFrame([(w,) for w in SHORT_NAME_FILTER], "word string")
-    return S.user_interests(kw, cs, cf, bs, short_name_filter=filt, stop_words=SEARCH_STOP_WORDS)
+    return S.user_interests(kw, cs, cf, bs, short_name_filter=filt, stop_words=SEARCH_STOP_WORDS, whole=True)
 
 
 def _relevance(spark, sf_dir, platform):

@@ -83,6 +83,8 @@ def corpus(spark, sf_dir) -> DataFrame:
     def build():
         news, articles, micro = feeds(spark, sf_dir)
         docs = C.load_documents(news, articles, micro, "2024-01-01 00:00:00", "2024-12-31 23:59:59")
+        # a stated number of files: cutting texts into terms is far more work than their bytes tell AQE
+        docs = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
         return docs.withColumn("period_end", half_day_period_end(F.col("notice_time")))
     return derived_table(spark, "corpus", _inputs(sf_dir), build)
 
