@@ -64,9 +64,8 @@ def route(changes: DataFrame, organisations: DataFrame, file_types=FILE_TYPES,
     c = c.join(orgs, "user_name", "left")
     if allow_new_users:
         new = c.where(F.col("uid").isNull()).select("user_name").distinct()
-        top = orgs.agg(F.max("uid").alias("_max"))
-        new = new.withColumn("_max", top.select("_max").scalar()).withColumn(
-            "_new", F.col("_max") + F.dense_rank().over(Window.orderBy("user_name")))  # new names: few
+        top = orgs.agg(F.coalesce(F.max("uid"), F.lit(0)).alias("_max")).select("_max").scalar()
+        new = global_row_index(new, ["user_name"]).select("user_name", (top + F.col("row_index") + 1).alias("_new"))
         c = (c.join(new.select("user_name", "_new"), "user_name", "left")
               .withColumn("uid", F.coalesce("uid", "_new")).drop("_new"))
     reason = (F.when(~F.col("file_type").isin(*file_types), F.lit("Error file type"))
@@ -219,9 +218,12 @@ def manager_changes(routed: DataFrame, managers: DataFrame) -> DataFrame:
     return _finish(d, out_line).drop("_p", "_ref", "_ref_id", "_name_of_id", "_id_of_name")
 
 
-def apply_managers(changes: DataFrame) -> DataFrame:
+def apply_managers(changes: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     acc = changes.where(F.col("status") == "accepted").select(
         "uid", F.col("user_name").alias("username"), "managerid", "op", "seq")
+    if existing is not None:
+        acc = existing.select("uid", "username", "managerid",
+                              F.lit(ADD).alias("op"), F.lit(-1).cast("long").alias("seq")).unionByName(acc)
     return survivors(acc, ["uid", "managerid"]).drop("op", "seq")
 
 

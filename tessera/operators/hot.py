@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tessera.functions.scoring import burst_ratio
 from tessera.functions.text import is_number
 from tessera.operators import terms as T
+from tessera.operators.report import global_row_index
+from tessera.sources.store import names_in
 
 # Fixed values of the reference jobs.
 HOT_TERM_LIMIT = 100
@@ -26,6 +28,7 @@ KEY_TERMS = 10_000
 DISTINCTIVE_TERMS = 10_000
 TFPDF_TERMS = 100_000
 LOOKBACK_PERIODS = 30
+TFPDF_DAYS = 10
 WHITELIST_DEFAULT_SCORE = 2.0
 
 
@@ -107,12 +110,41 @@ def tfpdf_weights(dt: DataFrame, channel_sizes: DataFrame, corpus_stats: DataFra
                       .otherwise(F.lit(0.0)).alias("weight"))
 
 
+def tfpdf_daily(dt: DataFrame, doc_days: DataFrame, days: int = TFPDF_DAYS) -> DataFrame:
+    """A5 with its look-back, every day at once: (day, term, weight) with the
+    TF-PDF of the documents of the `days` days that end with `day`.
+
+    dt: (doc_id, day, channel, term, tf); doc_days: (doc_id, day, channel) of
+    all documents.  Daily partial counts per (term, channel) enter the window
+    on their day and leave it `days` days later; running sums over these two
+    events give every window's counts, so no day's documents are read more
+    than once.  A key's events number two a day at most.  Days are those that
+    have documents in their window; a term is shown while it has some."""
+    def sliding(daily: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+        enter = daily.select(*keys, "day", *sums)
+        leave = daily.select(*keys, F.date_add("day", days).alias("day"), *[(-F.col(c)).alias(c) for c in sums])
+        events = enter.unionByName(leave).groupBy(*keys, "day").agg(*[F.sum(c).alias(c) for c in sums])
+        by = Window.partitionBy(*keys).orderBy("day")
+        run = events.select(*keys, "day", *[F.sum(c).over(by).alias(c) for c in sums], F.lead("day").over(by).alias("_next"))
+        # between two events nothing changes: a row for each day of the stretch
+        return run.where(F.col(sums[-1]) > 0).select(
+            *keys, *sums, F.explode(F.sequence("day", F.date_sub("_next", 1))).alias("day"))
+
+    daily = dt.groupBy("term", "channel", "day").agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("n"))
+    sizes = sliding(doc_days.groupBy("channel", "day").agg(F.count(F.lit(1)).alias("n_c")), ["channel"], ["n_c"])
+    last = doc_days.agg(F.max("day").alias("d")).select("d").scalar()
+    per = sliding(daily, ["term", "channel"], ["f", "n"]).join(sizes, ["channel", "day"]).where(F.col("day") <= last)
+    agg = per.groupBy("day", "term").agg(F.sum(F.col("f") * F.col("f")).alias("f2"),
+                                         F.sum(F.col("f") * F.exp(F.col("n") / F.col("n_c"))).alias("fe"))
+    return agg.select("day", "term", F.when(F.col("f2") > 0, F.col("fe") / F.sqrt("f2")).otherwise(F.lit(0.0)).alias("weight"))
+
+
 def doc_scores(dt: DataFrame, weights: DataFrame, docs: DataFrame, by=()) -> DataFrame:
     """Document score = sum of the weights of the distinct terms present;
     documents without any weighted term score 0 (left join from `docs`).
     T4 (docs by score, descending) is left to the reader: a global sort is a
     range shuffle of every row, so it is only added where the output needs it
-    (`sorted_by_score`)."""
+    (`ranked_documents`)."""
     by = list(by)
     present = dt.where(F.col("tf") > 0).select(*by, "doc_id", "term").distinct()
     s = present.join(weights, by + ["term"]).groupBy(*by, "doc_id").agg(F.sum("weight").alias("score"))
@@ -201,9 +233,10 @@ def blacklisted(docs: DataFrame, black: DataFrame, title: str = "title") -> Data
     return docs.join(hits, "doc_id", "left").withColumn("black", F.coalesce("black", F.lit(False)))
 
 
-def sorted_by_score(scored: DataFrame, score: str = "score") -> DataFrame:
-    """T4: documents by score descending, ties by id (a range-partitioned sort)."""
-    return scored.orderBy(F.desc(score), F.asc("doc_id"))
+def ranked_documents(scored: DataFrame, score: str = "score") -> DataFrame:
+    """T4: documents by score descending, ties by id, with their `position`
+    (from 0) in a range-partitioned order."""
+    return global_row_index(scored, [F.desc(score), F.asc("doc_id")]).withColumnRenamed("row_index", "position")
 
 
 def rank_hot_documents(docs: DataFrame, dt: DataFrame, burst: DataFrame, *, white: DataFrame,
@@ -238,6 +271,42 @@ def hot_writeback(source: DataFrame, ranked: DataFrame, prefix: str, id_col: str
                   .withColumn("hot", F.coalesce(F.col("_new_hot"), hot)).drop("_new_hot"))
 
 
+class HistoryLog:
+    """S13 as an append-only log: `<root>/period=<period end>/load=<n>`, one
+    folder a period and load.  The newest period is read from the folder names,
+    not from the rows; a period written again gets a later load, and readers
+    take the latest one (W8)."""
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def periods(self) -> list[str]:
+        return [n.split("=", 1)[1] for n in names_in(self.spark, self.root) if n.startswith("period=")]
+
+    def newest(self) -> str | None:
+        """The newest period, `yyyyMMddHHmm`."""
+        return max(self.periods(), default=None)
+
+    def append(self, rows: DataFrame, again: bool = False) -> None:
+        """The periods of (period_end, term, weight) rows that are newer
+        than the newest recorded one; with `again` all of them, as a new load."""
+        rows = rows.withColumn("period", F.date_format("period_end", "yyyyMMddHHmm"))
+        newest = self.newest()
+        if newest is not None and not again:
+            rows = rows.where(F.col("period") > newest)
+        load = 1 + max((int(n.split("=", 1)[1]) for p in self.periods() for n in names_in(self.spark, f"{self.root}/period={p}") if n.startswith("load=")), default=0)
+        rows.withColumn("load", F.lit(load)).hint("rebalance", "period").write.mode("append").partitionBy("period", "load").parquet(self.root)
+
+    def read(self, newest: int | None = None) -> DataFrame:
+        """The latest load of every period (or of the `newest` last ones)."""
+        folders = []
+        for p in sorted(self.periods())[-newest if newest else None:]:
+            loads = [n for n in names_in(self.spark, f"{self.root}/period={p}") if n.startswith("load=")]
+            folders.append(f"{self.root}/period={p}/" + max(loads, key=lambda n: int(n.split("=", 1)[1])))
+        schema = "period_end timestamp, term string, weight double"
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+
 def append_newer(history: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The rows of periods newer than the last recorded period."""
     last = history.agg(F.max("period_end").alias("_last"))

@@ -236,6 +236,35 @@ def weekly_upsert(existing: DataFrame | None, updates: list[DataFrame], report_d
     return agg.select("institutionid", rd.alias("report_date"), *WEEKLY_COLUMNS)
 
 
+def combined_updates(updates: list[DataFrame], report_date) -> DataFrame:
+    """The update sources of a date as one row per institution: the later
+    source wins, a NULL does not overwrite."""
+    return weekly_upsert(None, updates, report_date)
+
+
+def weekly_merge(old: DataFrame, update: DataFrame) -> DataFrame:
+    """J19 for the touched rows of a stored table: values of `update` replace
+    those of the same (institutionid, report_date) unless NULL, new keys are
+    inserted, all other rows stay."""
+    key = ["institutionid", "report_date"]
+    both = old.select(*key, F.struct(*WEEKLY_COLUMNS).alias("_old")).join(
+        update.select(*key, F.struct(*WEEKLY_COLUMNS).alias("_new")), key, "full")
+    return both.select(*key, *[F.coalesce(F.col(f"_new.{c}"), F.col(f"_old.{c}")).alias(c) for c in WEEKLY_COLUMNS])
+
+
+def conflict_counts(old: DataFrame, update: DataFrame) -> DataFrame:
+    """Per column of the weekly table: keys of `update` that are in the
+    table (`existing`), of these how many bring another value than the stored
+    one (`replaced`), fill a NULL (`filled`) or agree (`same`)."""
+    key = ["institutionid", "report_date"]
+    j = old.select(*key, *[F.col(c).alias(f"o_{c}") for c in WEEKLY_COLUMNS]).join(update, key)
+    rows = j.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"o_{c}").cast("string").alias("o"), F.col(c).cast("string").alias("n")) for c in WEEKLY_COLUMNS])).alias("x")).select("x.*")
+    return rows.groupBy("column").agg(
+        F.count(F.lit(1)).alias("existing"), F.count_if(F.col("o").isNotNull() & F.col("n").isNotNull() & (F.col("o") != F.col("n"))).alias("replaced"),
+        F.count_if(F.col("o").isNull() & F.col("n").isNotNull()).alias("filled"), F.count_if(F.col("o") == F.col("n")).alias("same"))
+
+
 def geo_updates(assigned: DataFrame, negatives: DataFrame, prefixes: DataFrame) -> DataFrame:
     m = assigned.where(F.col("province_code").isNotNull()).join(negatives, "institutionid")
     return (m.join(F.broadcast(province_names(prefixes)), "province_code", "left")

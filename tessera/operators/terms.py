@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scoring import bo1, idf
 from tessera.functions.text import tokens
-from tessera.operators.report import global_row_index
 
 SMALL_K = 1000  # up to which Spark limits the rows of a group before it shuffles them
+SCORE_BINS = 4096  # bins of a score's logarithm per unit
+PREFIX = 4  # characters of a term that tell tied rows apart in the second histogram
 
 
 def term_counts(toks) -> Column:
@@ -72,23 +73,51 @@ def doc_count(docs: DataFrame, by=()) -> DataFrame:
 def top_terms(scored: DataFrame, k: int, score: str = "score", by=()) -> DataFrame:
     """The k best terms (ties: larger term first, as a max-heap of
     (score, term) pairs yields them).  Small k: top-k per task before the
-    shuffle.  Larger k, for which Spark would gather whole groups: the position
-    in a range-partitioned order, so no task sorts a group."""
+    shuffle.  Larger k, for which Spark would gather whole groups: only the
+    rows above a cut-off that histograms give."""
     by = list(by)
-    best = [F.desc(score), F.desc("term")]
     if k > SMALL_K:
-        r = global_row_index(scored, [*by, *best])
-        if not by:
-            return r.where(F.col("row_index") < k).select(*scored.columns)
-        first = r.groupBy(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]).agg(F.min("row_index").alias("_first"))
-        same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]  # null is a group too
-        return r.join(first, same).where(F.col("row_index") - F.col("_first") < k).select(*scored.columns)
+        scored = above_cut(scored, k, score, by)
+    best = [F.desc(score), F.desc("term")]
     if not by:
         return scored.orderBy(*best).limit(k)
     w = Window.partitionBy(*by).orderBy(*best)
     return scored.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
+def above_cut(scored: DataFrame, k: int, score: str, by) -> DataFrame:
+    """The rows of every group from which its k best by (score, term) come: k
+    and the rest of the last bin at most.
+
+    Two histograms find the cut-off: bins of the score, counted from the top
+    until they hold k rows, then, within the bin where that happens, the exact
+    scores and first characters of the terms (many rare terms tie).  Bins are
+    combined in the map tasks, so no task sees a group's rows and nothing is
+    sorted; the rows that stay are ranked exactly."""
+    groups = {f"_g{i}": c for i, c in enumerate(by)}
+    x = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
+    rows = scored.withColumn("_bin", F.signum(x) * F.floor(F.log1p(F.abs(x)) * SCORE_BINS).cast("double"))
+    rows = rows.withColumn("_bin", F.when(F.col("_bin").isNull() | (x == float("-inf")), F.lit(float("-inf"))).otherwise(F.col("_bin")))
+    rows = rows.withColumn("_fine", F.struct(x.alias("s"), F.substring("term", 1, PREFIX).alias("p")))
+    same = lambda cut: [F.col(c).eqNullSafe(F.col(f"{cut}.{g}")) for g, c in groups.items()]  # noqa: E731  null is a group too
+
+    def cut_off(binned: DataFrame, order: str, taken) -> DataFrame:
+        """Per group: the last bin that is needed, and the rows before it."""
+        down = Window.partitionBy(*groups).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum("_n").over(down) - F.col("_n") + taken
+        last = binned.withColumn("_before", before).where(F.col("_before") < k)
+        return last.groupBy(*groups).agg(F.min(order).alias("_cut"), F.max("_before").alias("_taken"))
+
+    named = [F.col(c).alias(g) for g, c in groups.items()]
+    coarse = cut_off(rows.groupBy(*named, "_bin").agg(F.count(F.lit(1)).alias("_n")), "_bin", F.lit(0)).alias("c")
+    rows = rows.join(F.broadcast(coarse) if not by else coarse, same("c") or F.lit(True)).select(
+        *scored.columns, "_bin", "_fine", F.col("_cut").alias("_at"), F.col("_taken").alias("_had")).where("_bin >= _at")
+    tied = rows.where("_bin = _at").groupBy(*named, "_fine").agg(F.count(F.lit(1)).alias("_n"), F.max("_had").alias("_had"))
+    fine = cut_off(tied, "_fine", F.col("_had")).alias("f")
+    rows = rows.join(F.broadcast(fine) if not by else fine, same("f") or F.lit(True))
+    return rows.where((F.col("_bin") > F.col("_at")) | (F.col("_fine") >= F.col("_cut"))).select(*scored.columns)
+
+
 def distinctive_terms(stats: DataFrame, n_docs: DataFrame, k: int) -> DataFrame:
     """T3 corpus-wide: top k by cf * ln(N / df) (N = documents of the corpus)."""
     n = n_docs.select("n_docs").scalar()  # one value, computed once, no join

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import changes as C
 from tessera.plans.common import tables
-from tessera.sources.store import derived_table
+from tessera.sources.snapshot import BucketedTable
+from tessera.sources.store import derived_folder, derived_table, materialised
 
 STAFF_ALIAS = [("u3", "Staff Three")]
 SIGNUP_BEFORE = "2024-01-04 00:00:00"
@@ -105,6 +106,53 @@ def apply_manager_changes(spark, sf_dir):
     return C.apply_managers(C.manager_changes(r, managers(t)))
 
 
+def _existing(t):
+    """Subscription tables that were there before the change files, from the
+    click events: (uid, e-mail), (uid, bond) and (uid, manager) rows."""
+    ev = t.events.where((F.col("event_type") == "click") & F.col("user_id").isNotNull()).select(
+        F.col("user_id").alias("uid"), F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"), _k(t).alias("k"), "value")
+    email = ev.where("k < 99").select(
+        "uid", "username", F.concat(F.lit("c"), F.col("k").cast("string")).alias("recipient"),
+        F.concat(F.lit("u"), F.col("k").cast("string"), F.lit("@"), F.when(F.col("k") < 10, "renren-inc").otherwise("mail"), F.lit(".com")).alias("email"),
+        F.lit("old").alias("type")).distinct()
+    part = t.part.select("p_partkey", "p_name", "p_brand", "p_size")
+    keyword = ev.where("k < 90").join(part, F.col("k") == F.col("p_partkey")).select(
+        "uid", "username", F.col("p_name").alias("keyword"), F.lit(2).alias("type"),
+        F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("symbol"),
+        F.concat(F.lit("S"), F.col("p_partkey").cast("string")).alias("securityid"), F.col("p_size").cast("bigint").alias("institutionid")).distinct()
+    manager = ev.select("uid", "username", (F.col("k") % 25).alias("managerid")).distinct()
+    return {"email": email, "keyword": keyword, "manager": manager}
+
+
+def _applied(spark, t, kind, keys, changes, apply):
+    """The change log merged into the existing table in two batches, split at
+    the middle of its numbers, the second delivered twice."""
+    def build(path):
+        table = BucketedTable(spark, path, keys)
+        table.create(_existing(t)[kind])
+        accepted = materialised(changes.where(F.col("status") == "accepted"), f"accepted-{kind}")
+        middle = (accepted.agg(F.max("seq")).first()[0] or 0) // 2
+        for batch, some in (("1", accepted.where(F.col("seq") <= middle)), ("2", accepted.where(F.col("seq") > middle)), ("2", accepted)):
+            table.merge(some, lambda old, new: apply(new, existing=old), batch)
+    inputs = [f"{t._dir.rstrip('/')}/{name}.parquet" for name in ("events", "part", "customer", "nation")]
+    return BucketedTable(spark, derived_folder(spark, f"subscriptions-{kind}", inputs, build), keys).read()
+
+
+def apply_email_existing(spark, sf_dir):
+    t, r = _routed(spark, sf_dir)
+    return _applied(spark, t, "email", ["uid", "email"], C.email_changes(r), C.apply_email)
+
+
+def apply_keyword_existing(spark, sf_dir):
+    t, r = _routed(spark, sf_dir)
+    return _applied(spark, t, "keyword", ["uid", "keyword", "securityid"], C.keyword_changes(r, bonds(t), institutions(t)), C.apply_keywords)
+
+
+def apply_manager_existing(spark, sf_dir):
+    t, r = _routed(spark, sf_dir)
+    return _applied(spark, t, "manager", ["uid", "managerid"], C.manager_changes(r, managers(t)), C.apply_managers)
+
+
 def change_audit(spark, sf_dir):
     """Every input line, accepted (enriched, date-prefixed) or rejected
     (with reason); lines of rejected files stay visible (Q27)."""
@@ -152,6 +200,9 @@ QUERIES = {
     "apply_email_changes": apply_email_changes,
     "apply_keyword_changes": apply_keyword_changes,
     "apply_manager_changes": apply_manager_changes,
+    "apply_email_existing": apply_email_existing,
+    "apply_keyword_existing": apply_keyword_existing,
+    "apply_manager_existing": apply_manager_existing,
     "change_audit": change_audit,
     "orphan_users": orphan_users,
     "subscription_changes": subscription_changes,
@@ -261,6 +312,32 @@ APPLY_KW_SQL = "WITH " + KW_SQL + _survive(
     "uid, user_name AS username, keyword, CAST(type AS INTEGER) AS type, symbol, securityid, institutionid")
 APPLY_MG_SQL = "WITH " + MG_SQL + _survive("mgf", ["uid", "managerid"], "uid, user_name AS username, managerid")
 
+
+
+def _survive_existing(sql, src, key, cols, named, old):
+    """As `_survive`, with the rows of `old` before all changes."""
+    k = ", ".join(key)
+    return f"""WITH {sql},
+clicks AS (SELECT user_id AS uid, 'user_' || CAST(user_id AS VARCHAR) AS username, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+           FROM events WHERE event_type = 'click' AND user_id IS NOT NULL),
+every AS (SELECT {cols}, 'ADD' AS op, -1 AS seq FROM ({old}) UNION ALL SELECT {named}, op, seq FROM {src} WHERE reason IS NULL)
+SELECT {cols} FROM (SELECT *, max(CASE WHEN op = 'DEL' THEN seq END) OVER (PARTITION BY {k}) AS last_del FROM every) x
+WHERE op = 'ADD' AND (last_del IS NULL OR seq > last_del)"""
+
+
+EMAIL_EXISTING_SQL = _survive_existing(
+    EMAIL_SQL, "emf", ["uid", "email"], "uid, username, recipient, email, type", "uid, user_name, recipient, email, type",
+    """SELECT DISTINCT uid, username, 'c' || CAST(k AS VARCHAR) AS recipient,
+       'u' || CAST(k AS VARCHAR) || '@' || CASE WHEN k < 10 THEN 'renren-inc' ELSE 'mail' END || '.com' AS email, 'old' AS type FROM clicks WHERE k < 99""")
+KW_EXISTING_SQL = _survive_existing(
+    KW_SQL, "kwf", ["uid", "keyword", "securityid"], "uid, username, keyword, type, symbol, securityid, institutionid",
+    "uid, user_name, keyword, CAST(type AS INTEGER), symbol, securityid, institutionid",
+    """SELECT DISTINCT uid, username, p_name AS keyword, 2 AS type, concat_ws('-', p_brand, CAST(p_size AS VARCHAR)) AS symbol,
+       'S' || CAST(p_partkey AS VARCHAR) AS securityid, CAST(p_size AS BIGINT) AS institutionid FROM clicks JOIN part ON k = p_partkey WHERE k < 90""")
+MG_EXISTING_SQL = _survive_existing(
+    MG_SQL, "mgf", ["uid", "managerid"], "uid, username, managerid", "uid, user_name, managerid",
+    "SELECT DISTINCT uid, username, k % 25 AS managerid FROM clicks")
+
 AUDIT_SQL = "WITH " + KW_SQL.replace("WITH ", "") + "," + EMAIL_SQL.split(LOG_SQL + ",", 1)[1] + "," + \
     MG_SQL.split(LOG_SQL + ",", 1)[1] + """
 SELECT user_name, file_type, date, seq, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
@@ -321,6 +398,9 @@ ORACLE = {
     "apply_email_changes": APPLY_EMAIL_SQL,
     "apply_keyword_changes": APPLY_KW_SQL,
     "apply_manager_changes": APPLY_MG_SQL,
+    "apply_email_existing": EMAIL_EXISTING_SQL,
+    "apply_keyword_existing": KW_EXISTING_SQL,
+    "apply_manager_existing": MG_EXISTING_SQL,
     "change_audit": AUDIT_SQL,
     "orphan_users": ORPHAN_SQL,
     "subscription_changes": SUBS_SQL,

@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators import report as R
 from tessera.plans.common import r6, tables
-from tessera.sources.store import derived_table
+from tessera.sources.snapshot import BucketedTable
+from tessera.sources.store import derived_folder, derived_table
 
 REPORT_DATE = "2024-01-29"
+WEEK_BEFORE = "2024-01-22"
 EXCLUDED = R.EXCLUDED_AREA_NAMES + ["NATION_0"]
 INDUSTRY_MAP = [("automobile", "s1"), ("building", "s1"), ("household", "s2"), ("machinery", "s3")]
 INDUSTRY_NAMES = [("s1", "Industrials"), ("s2", "Consumer"), ("s3", "Machines"), ("s4", "Unused")]
@@ -146,23 +148,69 @@ def industry_rollup(spark, sf_dir):
     return out.select("industry", "industry_name", "total_neg", "n_institutions", r6("log_neg").alias("log_neg"))
 
 
-def weekly_upsert(spark, sf_dir):
-    t = tables(spark, sf_dir)
+def _weekly_sources(spark, t):
     a, neg, p = _assigned(t)
-    geo = R.geo_updates(a, neg, p)
-    existing = geo.withColumn("report_date", F.to_date(F.lit(REPORT_DATE)))
-    ups = [geo, R.industry_updates(_industry(spark, t), neg, _names(spark)),
-           R.media_updates(neg), R.lead_news_updates(_lead_news(t))]
-    out = R.weekly_upsert(existing, ups, REPORT_DATE)
+    return [R.geo_updates(a, neg, p), R.industry_updates(_industry(spark, t), neg, _names(spark)),
+            R.media_updates(neg), R.lead_news_updates(_lead_news(t))]
+
+
+def _weekly_shown(out):
     return out.select("institutionid", F.date_format("report_date", "yyyy-MM-dd").alias("report_date"),
-                      "location", "location_name", "industry", "industry_name", "news_count",
-                      # NULL when neither geo nor industry touched the row: a nullable
-                      # integer leaves as double so every client reads one numeric kind
+                      "location", "location_name", "industry", "industry_name",
+                      # NULL when no source touched it: a nullable integer leaves as
+                      # double so every client reads one numeric kind
+                      F.col("news_count").cast("double").alias("news_count"),
                       F.col("news_count_neg").cast("double").alias("news_count_neg"),
                       F.coalesce("neg_top_flag", F.lit(0)).alias("neg_top_flag"),
                       F.col("neg_news_id").cast("string").alias("neg_news_id"), "shortname", "fullname")
 
 
+def weekly_upsert(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    ups = _weekly_sources(spark, t)
+    existing = ups[0].withColumn("report_date", F.to_date(F.lit(REPORT_DATE)))
+    out = R.weekly_upsert(existing, ups, REPORT_DATE)
+    return _weekly_shown(out).withColumn("news_count", F.col("news_count").cast("bigint"))
+
+
+def _weekly_before(t):
+    """A weekly table of its own: customers at the report date (every third,
+    old values), at the week before (every second)."""
+    c = t.customer.select(F.col("c_custkey").alias("institutionid"), "c_name", "c_mktsegment", "c_acctbal")
+    def rows(every, date, flag):
+        return c.where(F.col("institutionid") % every == 0).select(
+            "institutionid", F.to_date(F.lit(date)).alias("report_date"), F.lit(None).cast("string").alias("location"),
+            F.lit("before").alias("location_name"), F.lower("c_mktsegment").alias("industry"), F.lit(None).cast("string").alias("industry_name"),
+            F.lit(7).cast("bigint").alias("news_count"), F.when(F.col("c_acctbal") > 0, 3).cast("bigint").alias("news_count_neg"),
+            F.lit(flag).alias("neg_top_flag"), F.lit(None).cast("bigint").alias("neg_news_id"), F.col("c_name").alias("shortname"), F.lit(None).cast("string").alias("fullname"))
+    return rows(3, REPORT_DATE, 0).unionByName(rows(2, WEEK_BEFORE, 1))
+
+
+def _weekly_table(spark, t):
+    """The stored weekly table after the sources of the report date were merged
+    into it, delivered twice."""
+    keys, wanted = ["institutionid"], _inputs(t, "customer", "nation", "region", "lineitem", "orders")
+
+    def build(path):
+        table = BucketedTable(spark, path, keys, partition="report_date")
+        table.create(_weekly_before(t))
+        update = R.combined_updates(_weekly_sources(spark, t), REPORT_DATE)
+        for _ in range(2):
+            table.merge(update, R.weekly_merge, REPORT_DATE)
+    return BucketedTable(spark, derived_folder(spark, "weekly-table", wanted, build), keys, partition="report_date")
+
+
+def weekly_existing(spark, sf_dir):
+    """J19 into a table with rows of its own, of this and another date."""
+    return _weekly_shown(_weekly_table(spark, tables(spark, sf_dir)).read())
+
+
+def weekly_conflicts(spark, sf_dir):
+    """What the sources of the report date change in that table."""
+    t = tables(spark, sf_dir)
+    return R.conflict_counts(_weekly_before(t), R.combined_updates(_weekly_sources(spark, t), REPORT_DATE))
+
+
 def institution_parts(spark, sf_dir):
     t = tables(spark, sf_dir)
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
@@ -181,6 +229,8 @@ QUERIES = {
     "province_members": province_members,
     "industry_rollup": industry_rollup,
     "weekly_upsert": weekly_upsert,
+    "weekly_existing": weekly_existing,
+    "weekly_conflicts": weekly_conflicts,
     "institution_parts": institution_parts,
 }
 
@@ -299,6 +349,28 @@ SELECT ids.institutionid, '""" + REPORT_DATE + """' AS report_date,
 FROM ids LEFT JOIN geo USING (institutionid) LEFT JOIN indu USING (institutionid)
 LEFT JOIN negs USING (institutionid) LEFT JOIN lead USING (institutionid)"""
 
+BEFORE_SQL = " UNION ALL ".join(f"""
+SELECT c_custkey AS institutionid, '{date}' AS report_date, CAST(NULL AS VARCHAR) AS location, 'before' AS location_name, lower(c_mktsegment) AS industry,
+       CAST(NULL AS VARCHAR) AS industry_name, 7.0::DOUBLE AS news_count, CASE WHEN c_acctbal > 0 THEN 3.0::DOUBLE END AS news_count_neg, {flag} AS neg_top_flag,
+       CAST(NULL AS VARCHAR) AS neg_news_id, c_name AS shortname, CAST(NULL AS VARCHAR) AS fullname FROM customer WHERE c_custkey % {every} = 0"""
+                        for every, date, flag in ((3, REPORT_DATE, 0), (2, WEEK_BEFORE, 1)))
+# a NULL flag does not overwrite, so the sources' flag is NULL without lead news
+UPDATE_SQL = WEEKLY_SQL.replace("ELSE 0 END AS neg_top_flag", "END AS neg_top_flag")
+_WEEKLY = ["location", "location_name", "industry", "industry_name", "news_count", "news_count_neg", "neg_top_flag", "neg_news_id", "shortname", "fullname"]
+WEEKLY_EXISTING_SQL = f"""
+SELECT institutionid, report_date, {", ".join(f"coalesce(u.{c}, b.{c}{', 0' if c == 'neg_top_flag' else ''}) AS {c}" for c in _WEEKLY)}
+FROM ({BEFORE_SQL}) b FULL JOIN ({UPDATE_SQL}) u USING (institutionid, report_date)"""
+
+
+def _number(c, t):
+    return f"CAST({t}.{c} AS BIGINT)" if c in ("news_count", "news_count_neg", "neg_top_flag") else f"{t}.{c}"
+
+
+WEEKLY_CONFLICTS_SQL = f"""WITH j AS (SELECT {", ".join(f"CAST({_number(c, 'b')} AS VARCHAR) AS o_{c}, CAST({_number(c, 'u')} AS VARCHAR) AS n_{c}" for c in _WEEKLY)}
+           FROM ({BEFORE_SQL}) b JOIN ({UPDATE_SQL}) u USING (institutionid, report_date))
+""" + " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS existing, count(*) FILTER (WHERE o_{c} <> n_{c}) AS replaced,
+       count(*) FILTER (WHERE o_{c} IS NULL AND n_{c} IS NOT NULL) AS filled, count(*) FILTER (WHERE o_{c} = n_{c}) AS same FROM j""" for c in _WEEKLY)
+
 INSTITUTION_PARTS_SQL = """
 WITH inst AS (SELECT s.s_suppkey AS institutionid, s.s_name AS shortname, s.s_name || '(' || n.n_name || '）' AS fullname,
                      CASE WHEN s.s_acctbal < 0 THEN 'P0499' ELSE printf('P04%02d', s.s_nationkey + 10) END AS categoryid
@@ -317,5 +389,7 @@ ORACLE = {
     "province_members": PROVINCE_MEMBERS_SQL,
     "industry_rollup": INDUSTRY_ROLLUP_SQL,
     "weekly_upsert": WEEKLY_SQL,
+    "weekly_existing": WEEKLY_EXISTING_SQL,
+    "weekly_conflicts": WEEKLY_CONFLICTS_SQL,
     "institution_parts": INSTITUTION_PARTS_SQL,
 }

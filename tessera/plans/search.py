@@ -22,6 +22,7 @@ from tessera.operators.index import SegmentedIndex
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
 from tessera.plans.text import FEEDS_SQL, _inputs, corpus
+from tessera.sources.snapshot import BucketedTable
 from tessera.sources.store import derived_folder, derived_table
 
 # Parameters of the bound queries.
@@ -40,6 +41,7 @@ PRIOR_END = "2024-01-16 00:00:00"
 FIELDS = {"content": "content", "title": "title"}
 DAILY_FROM = "2024-01-25 00:00:00"  # days from here on are added to the index
 LOADS = ["2024-01-01 00:00:00", "2024-01-20 00:00:00", "2024-01-26 12:00:00", "2025-01-01 00:00:00"]
+VIEWED, VIEWED_AT = 500, "2023-12-31 00:00:00"
 PAGE = 100  # hits of an ad-hoc search
 
 QUERY_BOOL = S.AndMaybe(S.AndNot(S.And(S.Term("that"), S.Or(S.Term("the"), S.Term("der"))),
@@ -147,6 +149,26 @@ def correlation_append(spark, sf_dir):
     return S.insert_if_absent(existing, rows)
 
 
+def correlation_existing(spark, sf_dir):
+    """J18 into a stored table with rows of its own (from the view events),
+    some of whose keys the new rows have too; the batch is delivered twice."""
+    keys = ["uid", "news_id", "source_flag"]
+    paths = sorted({*_inputs(sf_dir), *(f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("events", "benchmark", "part"))})
+
+    def build(path):
+        t = tables(spark, sf_dir)
+        before = t.events.where((F.col("event_type") == "view") & F.col("user_id").isNotNull()).select(
+            F.col("user_id").alias("uid"), (F.col("event_id") % VIEWED).alias("news_id"), F.lit(1).alias("source_flag")).distinct()
+        table = BucketedTable(spark, path, keys)
+        table.create(before.select(F.lit(VIEWED_AT).cast("timestamp").alias("notice_time"), *keys, F.lit(-1.0).alias("score"), F.lit(0.0).alias("neg_sentiment")))
+        new = user_relevance(spark, sf_dir).where(F.col("doc_id").startswith("N")).select(
+            "notice_time", "uid", F.substring("doc_id", 2, 1 << 30).cast("bigint").alias("news_id"), F.col("source_flag").cast("int").alias("source_flag"),
+            "score", F.col("sentiment").alias("neg_sentiment"))
+        for _ in range(2):
+            table.merge(new, lambda old, rows: old.unionByName(S.insert_if_absent(old, rows, keys)), "relevance")
+    return BucketedTable(spark, derived_folder(spark, "correlation-table", paths, build), keys).read().select(*keys, "notice_time", "score", "neg_sentiment")
+
+
 def name_dictionary(spark, sf_dir):
     """Distinct bond short names, then distinct company short names;
     names present in both lists appear twice."""
@@ -217,6 +239,7 @@ QUERIES = {
     "user_relevance": user_relevance,
     "user_relevance_micro": user_relevance_micro,
     "correlation_append": correlation_append,
+    "correlation_existing": correlation_existing,
     "name_dictionary": name_dictionary,
     "user_vocabulary": user_vocabulary,
     "top_tags": top_tags,
@@ -366,6 +389,17 @@ existing AS (SELECT DISTINCT uid, news_id, source_flag FROM rows WHERE notice_ti
 SELECT * FROM rows WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.uid = rows.uid AND e.news_id = rows.news_id
                                      AND e.source_flag = rows.source_flag)"""
 
+CORRELATION_EXISTING_SQL = _relevance_sql(1) + f""",
+rows AS (SELECT uid, notice_time, CAST(substr(doc_id, 2) AS BIGINT) AS news_id, source_flag,
+                round(score, 6) + 0.0 AS score, sentiment AS neg_sentiment
+         FROM ranked WHERE rank <= 1000 AND starts_with(doc_id, 'N')),
+before AS (SELECT DISTINCT user_id AS uid, event_id % {VIEWED} AS news_id, 1 AS source_flag FROM events
+           WHERE event_type = 'view' AND user_id IS NOT NULL)
+SELECT uid, news_id, source_flag, TIMESTAMP '{VIEWED_AT}' AS notice_time, -1.0::DOUBLE AS score, 0.0::DOUBLE AS neg_sentiment FROM before
+UNION ALL
+SELECT uid, news_id, source_flag, notice_time, score, neg_sentiment FROM rows r
+WHERE NOT EXISTS (SELECT 1 FROM before b WHERE b.uid = r.uid AND b.news_id = r.news_id AND b.source_flag = r.source_flag)"""
+
 NAME_DICTIONARY_SQL = "WITH " + LINKS_SQL.lstrip() + """
 SELECT 'bond' AS list, name FROM (SELECT DISTINCT trim(shortname) AS name FROM bond WHERE shortname IS NOT NULL)
 UNION ALL
@@ -420,6 +454,7 @@ ORACLE = {
     "user_relevance": _rel_select(1),
     "user_relevance_micro": _rel_select(3),
     "correlation_append": CORRELATION_SQL,
+    "correlation_existing": CORRELATION_EXISTING_SQL,
     "name_dictionary": NAME_DICTIONARY_SQL,
     "user_vocabulary": USER_VOCABULARY_SQL,
     "top_tags": TOP_TAGS_SQL,

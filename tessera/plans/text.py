@@ -31,13 +31,14 @@ from tessera.operators import hot as H
 from tessera.operators import terms as T
 from tessera.plans.common import r6, tables
 from tessera.session import checkpoint_dir
-from tessera.sources.store import derived_path, derived_table
+from tessera.sources.store import derived_folder, derived_path, derived_table
 from tessera.streaming import feeds as ST
 
 # Parameters of the bound queries (word lists are job inputs, not data).
 HOT_STOP_WORDS = ["the", "and", "of", "de", "der", "la", "die", "und"]
 WHITE_LIST = [("orantion", 2.5), ("und", None)]
 BLACK_LIST = ["rewh"]
+LOG_UNTIL, LOG_AGAIN = "2024-01-15 00:00:00", "2024-01-29 00:00:00"
 LOAD_START, LOAD_END, LOADED_BEFORE = "2024-01-11 00:00:00", "2024-01-31 00:00:00", "2024-01-16 00:00:00"
 
 
@@ -133,7 +134,7 @@ def feed_stream_ingest(spark, sf_dir):
     run = f"{checkpoint_dir(spark).rstrip('/')}/streams/news-{uuid.uuid4().hex}"
     ST.ingest(spark, "news", src, f"{run}/corpus", checkpoint=f"{run}/checkpoint",
               max_files_per_trigger=2).awaitTermination()
-    out = spark.read.parquet(f"{run}/corpus").drop("day")
+    out = spark.read.parquet(f"{run}/corpus").drop("load", "day")
     return out.withColumn("feed_type", F.col("feed_type").cast("double"))
 
 
@@ -154,7 +155,7 @@ def feed_streams_ingest(spark, sf_dir):
         src = derived_path(spark, f"feed_{feed}_rereads", _inputs(sf_dir), build)
         ST.ingest(spark, feed, src, f"{run}/corpus", checkpoint=f"{run}/checkpoint-{feed}",
                   max_files_per_trigger=2).awaitTermination()
-    out = spark.read.parquet(f"{run}/corpus").drop("day")
+    out = spark.read.parquet(f"{run}/corpus").drop("load", "day")
     return out.withColumn("feed_type", F.col("feed_type").cast("double"))
 
 
@@ -190,6 +191,34 @@ def tfpdf_docs(spark, sf_dir):
     return H.doc_scores(dt, w, docs).select("doc_id", r6("score").alias("score"))
 
 
+def tfpdf_ranked(spark, sf_dir):
+    """T4: the documents by TF-PDF score, with their position."""
+    ranked = H.ranked_documents(tfpdf_docs(spark, sf_dir))
+    return ranked.select("doc_id", "score", "position")
+
+
+def tfpdf_daily(spark, sf_dir):
+    """A5 with its look-back: TF-PDF over the ten days that end with each day."""
+    docs = corpus(spark, sf_dir).select("doc_id", F.to_date("notice_time").alias("day"), F.col("source").alias("channel"))
+    dt = content_terms(spark, sf_dir, keep=("source",)).select("doc_id", "term", "tf", F.col("source").alias("channel"))
+    dt = dt.join(docs.select("doc_id", "day"), "doc_id")
+    w = H.tfpdf_daily(dt, docs)
+    return w.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "term", r6("weight").alias("weight"))
+
+
+def hot_history_log(spark, sf_dir):
+    """The history as a log: the periods up to a date, then all
+    (only newer ones are taken), then the last day again as a later load with
+    doubled weights; the ten newest periods as a reader finds them."""
+    def build(path):
+        log, rows = H.HistoryLog(spark, path), history(spark, sf_dir)
+        log.append(rows.where(F.col("period_end") < F.lit(LOG_UNTIL).cast("timestamp")))
+        log.append(rows)
+        log.append(rows.where(F.col("period_end") >= F.lit(LOG_AGAIN).cast("timestamp")).withColumn("weight", 2 * F.col("weight")), again=True)
+    log = H.HistoryLog(spark, derived_folder(spark, "history-log", _inputs(sf_dir), build))
+    return log.read(newest=10).select("period_end", "term", r6("weight").alias("weight"))
+
+
 def key_terms(spark, sf_dir):
     """The 100 best key terms (Bo1) of every source."""
     _, dt, cs, n = _index(spark, sf_dir, keep=("source",))
@@ -289,6 +318,9 @@ QUERIES = {
     "hot_terms_pre": hot_terms_pre,
     "tfpdf_terms": tfpdf_terms,
     "tfpdf_docs": tfpdf_docs,
+    "tfpdf_ranked": tfpdf_ranked,
+    "tfpdf_daily": tfpdf_daily,
+    "hot_history_log": hot_history_log,
     "hot_burst": hot_burst,
     "hot_docs": hot_docs,
     "hot_writeback": hot_writeback,
@@ -392,6 +424,17 @@ TFPDF_DOCS_SQL = "WITH " + TFPDF_SQL + """,
 ds AS (SELECT doc_id, sum(weight) AS score FROM (SELECT DISTINCT doc_id, term FROM dt) x JOIN tw USING (term) GROUP BY 1)
 SELECT docs.doc_id, round(coalesce(ds.score, 0.0), 6) + 0.0 AS score FROM docs LEFT JOIN ds USING (doc_id)"""
 
+TFPDF_RANKED_SQL = f"SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) - 1 AS position FROM ({TFPDF_DOCS_SQL})"
+
+TFPDF_DAILY_SQL = "WITH " + INDEX_SQL + f""",
+dd AS (SELECT doc_id, source, CAST(notice_time AS DATE) AS day FROM docs),
+spans AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS upto FROM dd),
+chan AS (SELECT upto, source, count(*) AS n_c FROM dd JOIN spans ON day BETWEEN upto - {H.TFPDF_DAYS - 1} AND upto GROUP BY 1, 2),
+daily AS (SELECT term, dt.source, day, sum(tf) AS f, count(*) AS n FROM dt JOIN dd USING (doc_id) GROUP BY ALL),
+per AS (SELECT upto, term, source, sum(f) AS f, sum(n) AS n FROM daily JOIN spans ON day BETWEEN upto - {H.TFPDF_DAYS - 1} AND upto GROUP BY 1, 2, 3)
+SELECT strftime(upto, '%Y-%m-%d') AS day, term, round(sum(f * exp(n / n_c)) / sqrt(sum(f * f)), 6) + 0.0 AS weight
+FROM per JOIN chan USING (upto, source) GROUP BY 1, 2"""
+
 PERIOD = """CASE WHEN CAST({t} AS TIME) <= TIME '09:00:00' THEN CAST({t} AS DATE) + INTERVAL 9 HOUR
             WHEN CAST({t} AS TIME) <= TIME '17:30:00' THEN CAST({t} AS DATE) + INTERVAL 17 HOUR + INTERVAL 30 MINUTE
             ELSE CAST({t} AS DATE) + INTERVAL 1 DAY + INTERVAL 9 HOUR END"""
@@ -437,6 +480,10 @@ burst AS (SELECT * FROM rk WHERE rank <= 100)"""
 HOT_BURST_SQL = "WITH " + BURST_SQL + """
 SELECT period_end, term, round(weight, 6) + 0.0 AS weight, round(ratio, 6) + 0.0 AS ratio, rank FROM burst"""
 
+HISTORY_LOG_SQL = "WITH " + BURST_SQL + f"""
+SELECT period_end, term, round(weight * CASE WHEN period_end >= TIMESTAMP '{LOG_AGAIN}' THEN 2 ELSE 1 END, 6) + 0.0 AS weight
+FROM hist_f WHERE period_end IN (SELECT DISTINCT period_end FROM hist_f ORDER BY period_end DESC LIMIT 10)"""
+
 HOT_DOCS_BODY = BURST_SQL + f""",
 hd AS (SELECT * FROM docs WHERE NOT (coalesce(platform = 3, false) OR coalesce(feed_type = 2, false))),
 hs AS (SELECT doc_id, period_end, sum(ratio) AS hs
@@ -490,6 +537,9 @@ ORACLE = {
     "hot_terms_pre": HOT_TERMS_PRE_SQL,
     "tfpdf_terms": TFPDF_TERMS_SQL,
     "tfpdf_docs": TFPDF_DOCS_SQL,
+    "tfpdf_ranked": TFPDF_RANKED_SQL,
+    "tfpdf_daily": TFPDF_DAILY_SQL,
+    "hot_history_log": HISTORY_LOG_SQL,
     "hot_burst": HOT_BURST_SQL,
     "hot_docs": HOT_DOCS_SQL,
     "hot_writeback": HOT_WRITEBACK_SQL,

@@ -5,17 +5,19 @@ and skips ids it already holds.  Here one feed folder is a file stream:
 
     readStream.parquet(feed folder)        new files only, tracked by the source
     -> S6 normalisation to the document schema
-    -> foreachBatch: de-duplicate the batch on doc_id, anti join (J7) against
-       the stored corpus, append
+    -> dropDuplicates(doc_id): the ids of all batches are the stream's state
+    -> foreachBatch: anti join (J7) against other loads, write the batch's folder
 
 No event-time watermark: feeds re-deliver old records in any order (the
 overlapping re-reads), and a watermarked de-duplication would drop every row
-behind the watermark.  The stored corpus is the only state across batches, so
-nothing is dropped and nothing is stored twice.  It is partitioned by
-publication day and the anti join matches on (day, doc_id), so dynamic
-partition pruning reads only the days a batch touches.  A batch replayed after
-a lost executor or driver (the checkpoint replays it) finds its own rows
-already committed and appends nothing.
+behind the watermark.  The ids a stream has stored are its state, in RocksDB
+state stores that write a batch's changes only: a batch looks up and adds its
+own ids, so its cost does not grow with the corpus.  Ids that were stored by
+other loads are read from those loads, whose size the stream does not change.
+
+Every batch writes a folder of its own, `load=stream-<feed>-<query>-<batch>`,
+partitioned by day.  A batch replayed after a lost executor or driver finds the
+state of before and overwrites its own folder with the same rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import corpus as C
 from tessera.session import checkpoint_dir
+from tessera.sources.store import names_in
 
 # Input schema of each feed (the columns the normaliser reads).
 FEED_SCHEMAS = {
@@ -45,13 +48,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def new_documents(batch: DataFrame, corpus_path: str) -> DataFrame:
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def new_documents(batch: DataFrame, corpus_path: str, feed: str | None = None, own: str | None = None) -> DataFrame:
     """J7 for one batch: rows whose doc_id the stored corpus lacks, whatever
-    day either carries.  Only the id column of the corpus is read."""
+    day either carries.  Only ids are read; of a corpus in loads, neither the
+    loads of the stream `own`, whose ids are its state, nor those of other
+    feeds' streams, whose ids differ."""
     spark = batch.sparkSession
     if not _exists(spark, corpus_path):
         return batch
-    stored = spark.read.schema("doc_id string").parquet(corpus_path)
+    loads = [n.split("=", 1)[1] for n in names_in(spark, corpus_path) if n.startswith("load=")]
+    if not loads:
+        return batch.join(spark.read.schema("doc_id string").parquet(corpus_path), "doc_id", "left_anti")
+    others = [f for f in FEED_SCHEMAS if f != feed]
+    wanted = [x for x in loads if not (own and x.startswith(own)) and not any(x.startswith(f"stream-{f}-") for f in others)]
+    if not wanted:
+        return batch
+    stored = spark.read.schema("doc_id string").parquet(*[f"{corpus_path.rstrip('/')}/load={x}" for x in wanted])
     return batch.join(stored, "doc_id", "left_anti")
 
 
@@ -69,17 +85,22 @@ def ingest(spark: SparkSession, feed: str, src_dir: str, corpus_path: str,
            checkpoint: str | None = None, available_now: bool = True,
            processing_time: str | None = None, max_files_per_trigger: int | None = None):
     """Start the ingest of `feed` files arriving in `src_dir` into the corpus
-    table at `corpus_path` (Parquet partitioned by day).  With `available_now`
+    table at `corpus_path` (Parquet partitioned by load and day).  With `available_now`
     (default) every file present is processed and the query stops; otherwise
     it runs on `processing_time` triggers.  Returns the StreamingQuery."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/ingest-{feed}"
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        new = new_documents(C.one_per_id(batch), corpus_path)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = f"stream-{feed}-{query}-"
         # few files a day, and a large day in several tasks
-        new.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(corpus_path)
-
-    w = (feed_stream(spark, feed, src_dir, max_files_per_trigger).writeStream
-         .foreachBatch(append).option("checkpointLocation", ckpt))
+        (new_documents(batch, corpus_path, feed, own).hint("rebalance", "day")
+         .write.mode("overwrite").partitionBy("day").parquet(f"{corpus_path.rstrip('/')}/load={own}{batch_id}"))
+
+    for key, value in STATE.items():
+        if not spark.conf.get(key, "").endswith(value):
+            spark.conf.set(key, value)
+    w = (feed_stream(spark, feed, src_dir, max_files_per_trigger).dropDuplicates(["doc_id"]).writeStream
+         .foreachBatch(store).option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
