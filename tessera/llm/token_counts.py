@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tessera.llm.common import WHITE, WHITE_RUN, join_to_groups, text_or_empty, written
+from tessera.llm.common import (WHITE, WHITE_RUN, bit_words, filter_width, join_to_groups, text_or_empty, top_bits, with_bit,
+                                written)
 
-REMEMBERED = 300_000  # words whose counts a worker keeps
+REMEMBERED = 400_000  # words in each of the two generations whose counts a worker keeps
 LONGEST_REMEMBERED = 64
 ENCODED_AT_ONCE = 2_000
 
@@ -50,15 +51,11 @@ class WordCounter:
                         and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["content"].split() != [a["content"]] for a in added)
                         and self._count([" ", *[f"a{w}b" for w in WHITE]]) == [0] + [2] * len(WHITE))
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def _count(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, fresh: list[str]) -> None:
-        for at in range(0, len(fresh), ENCODED_AT_ONCE):
-            some = fresh[at:at + ENCODED_AT_ONCE]
-            self.known.update(zip(some, self._count(some)))
-
     def count(self, text: str) -> int:
         if not self.by_word:
             return self._count([text])[0]
@@ -69,15 +66,17 @@ class WordCounter:
         except KeyError:
             pass
         fresh = {w for w in split if w not in known}
-        long = {w for w in fresh if len(w) > LONGEST_REMEMBERED}
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            fresh = set(split) - long
-        self._learn(list(fresh - long))
-        extra = dict(zip(long, self._count(list(long)))) if long else {}
-        total = sum(known[w] if w in known else extra[w] for w in split)
-        if len(known) > REMEMBERED:  # one text with more words than that
-            known.clear()
+        found = {w: self.older[w] for w in fresh if w in self.older}
+        new = [w for w in fresh if w not in found]
+        for at in range(0, len(new), ENCODED_AT_ONCE):
+            some = new[at:at + ENCODED_AT_ONCE]
+            found.update(zip(some, self._count(some)))
+        total = sum(known[w] if w in known else found[w] for w in split)
+        kept = {w: n for w, n in found.items() if len(w) <= LONGEST_REMEMBERED}
+        if len(known) + len(kept) > REMEMBERED:  # the younger generation grows old, the old one goes
+            self.older, self.known = known, {}
+        if len(kept) <= REMEMBERED:
+            self.known.update(kept)
         return total
 
 
@@ -129,14 +128,20 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     sizes = written(sizes, "distinct-digests")
     before = stored(spark, cache)
     misses = sizes if before is None else sizes.join(before.select("digest").distinct(), "digest", "left_anti")
-    # one row of each missing digest is encoded; rows with a null id have none to join on and are looked for by digest
-    named = misses.where("one_id is not null").select("one_id", F.col("digest").alias("wanted"))
-    texts = docs.select(F.col(id_col).alias("one_id"), text.alias("text"))
-    chosen = texts.join(named, "one_id").select(digest(normalised(F.col("text")), version).alias("digest"), normalised(F.col("text")).alias("text"), "wanted")
-    chosen = chosen.where("digest = wanted").select("digest", "text")
-    unnamed = misses.where("one_id is null").select("digest")
-    lost = texts.where("one_id is null").select(digest(normalised(F.col("text")), version).alias("digest"), normalised(F.col("text")).alias("text"))
-    fresh = chosen.unionByName(lost.join(unnamed, "digest", "left_semi"))
+    # A text whose digest is neither repeated nor stored is encoded where it is
+    # read.  A filter finds the rows that may be either; only those are shuffled,
+    # to the row of each missing digest that is encoded.
+    other = sizes.where("size > 1").select("digest")
+    if before is not None:
+        other = other.unionByName(sizes.select("digest").join(before.select("digest"), "digest", "left_semi")).distinct()
+    bits = filter_width(other.count())
+    filled = written(bit_words(other.select(top_bits(bits, "digest").alias("at")).distinct()), "repeat-filter")
+    texts = docs.select(F.col(id_col).alias("doc_id"), normalised(text).alias("text"))
+    texts = with_bit(texts.withColumn("digest", digest(F.col("text"), version)), top_bits(bits, "digest"), filled, "maybe")
+    alone = texts.where("not maybe").select("digest", "text")
+    wanted = misses.select(F.col("digest").alias("wanted"), "one_id")
+    chosen = texts.where("maybe").join(wanted, (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("one_id")))
+    fresh = alone.unionByName(chosen.select("digest", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(tokenizer_json).count
