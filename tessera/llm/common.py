@@ -14,16 +14,35 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
 
+_scratch: list[str] = []  # folders that `written` made and nobody has deleted
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def delete_scratch(spark: SparkSession, *in_use: DataFrame) -> None:
+    """Deletes what `written` has left in the shared folder, but for the files
+    that the given tables read.  For callers that have written all results they
+    still need, such as the pipeline between two stages."""
+    files = [f for df in in_use for f in df.inputFiles()]
+    kept = []
+    for path in _scratch:
+        if any(path.split("://")[-1] in f for f in files):
+            kept.append(path)
+            continue
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _scratch[:] = kept
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again: cuts the
     lineage with files that survive a lost executor, and fixes the values of
     row ids."""
     path = scratch_path(df.sparkSession, name)
+    _scratch.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -196,10 +196,10 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     return written(table.select(*table.columns, bounded(pulled(weights_of)).alias("rate")), "rates")
 
 
-def _copies(key: Column) -> Column:
+def _copies(key: Column, row: Column) -> Column:
     """Whole copies of a rate: its floor, and one more with the probability of
-    the fraction."""
-    u = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
+    the fraction; drawn by the id, and for rows without one by `row`."""
+    u = F.pmod(F.xxhash64(key, row, F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     return (F.floor("rate") + F.when(u < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
 
 
@@ -220,7 +220,9 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     fitted = fit(rows.withColumnRenamed("doc_id", "id"), labels, id_col)
     scored = written(with_scores(rows, F.col("text"), fitted).drop("text"), "scores")
     table = with_rates(written(_measured(scored, F.col("doc_id"), labels, id_col), "posteriors"), **how)
-    return table.select("doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "rate", _copies(F.col("doc_id")).alias("copies"))
+    # a null id says nothing of the row: its draw is by the row's place in the written table
+    row = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return table.select("doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "rate", _copies(F.col("doc_id"), row).alias("copies"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -232,7 +234,7 @@ def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     scored = written(scored, "scores")
     narrow = scored.select("rid", F.col("row")[id_col].alias("id"), "n_tokens", *[f"s_{d}" for d in DOMAINS])
     rated = with_rates(written(_measured(narrow, F.col("id"), labels, id_col), "posteriors"), **how)
-    copies = written(rated.select("rid", _copies(F.col("id")).alias("copies")).where("copies != 1"), "copies")
+    copies = written(rated.select("rid", _copies(F.col("id"), F.when(F.col("id").isNull(), F.col("rid"))).alias("copies")).where("copies != 1"), "copies")
     rows = scored.select("row", "rid")
     once = rows_with(rows, "rid", copies.select("rid"), copies.count(), "left_anti")
     more = rows.join(copies.where("copies > 1"), "rid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))

@@ -10,11 +10,14 @@ without emitting the pairs of a group:
    of more than `SMALL` sets split again on the next sampled token.
 3. Small buckets are compared by brute force on `TOKENS` minimum hashes with a
    margin of about four standard deviations below the threshold; what passes
-   is linked as a candidate.  A bucket that is still large after `LEVELS`
-   splits is linked whole: that can only add candidates.
+   is linked as a candidate.  A large bucket most of whose sets agree with one
+   of them, or one that is still large after `LEVELS` splits, is linked whole:
+   that can only add candidates, and a large group of near copies is done with
+   at the first level instead of going through all of them.
 4. Runs come in rounds.  A set that ended at depth d in a run kept a partner at
-   the threshold t with probability t^d; rounds go on for the sets for which
-   the product of (1 - t^d) over the runs is above 1 - `RECALL`.
+   the threshold t with probability t^d; rounds, each with hashes of its own,
+   go on until no set is left for which the product of (1 - t^d) over the runs
+   is above 1 - `RECALL`.
 5. Candidates' components are verified exactly, all pairs of a component, on
    the whole shingle sets.  A component of more than `BLOCK` sets or
    `BLOCK_SHINGLES` shingles is cut into blocks, and each pair of blocks is a
@@ -40,13 +43,15 @@ SIMILARITY = 0.8
 RECALL = 0.999
 TOKENS = 96  # minimum hashes a set
 RUNS, LEVELS = 12, 8  # a round uses RUNS * LEVELS sampled tokens
-ROUNDS = 6
 SMALL = 256
+AGREEING = 0.5  # share of a large bucket that agrees with one of its sets when it is linked whole
+COMPARED = 48  # minimum hashes on which that is seen
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 
 
-def _sets(table: DataFrame, size: int) -> DataFrame:
-    """(rid, n, digest, tokens) of the rows (rid, text) that have a shingle."""
+def _sets(table: DataFrame, size: int, draw: int = 0) -> DataFrame:
+    """(rid, n, digest, tokens) of the rows (rid, text) that have a shingle;
+    the tokens of a later `draw` are independent of the first ones."""
     schema = StructType([StructField("rid", LongType()), StructField("n", LongType()),
                          StructField("digest", BinaryType()), StructField("tokens", BinaryType())])
 
@@ -56,7 +61,7 @@ def _sets(table: DataFrame, size: int) -> DataFrame:
             for rid, text in zip(b.column("rid").to_pylist(), b.column("text")):
                 hashes = sh.shingles(text.as_py(), size)
                 if len(hashes):
-                    for column, value in zip(out, (rid, len(hashes), sh.set_digest(hashes), sh.minhashes(hashes, TOKENS).tobytes())):
+                    for column, value in zip(out, (rid, len(hashes), sh.set_digest(hashes), sh.minhashes(hashes, TOKENS, draw).tobytes())):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
                                              schema.fieldNames())
@@ -64,42 +69,63 @@ def _sets(table: DataFrame, size: int) -> DataFrame:
     return table.mapInArrow(run, schema)
 
 
-def _token(round_: int, level: int):
-    """The token on which a run splits at a level: other ones in every run,
-    level and round up to `LEVELS` rounds."""
-    number = F.pmod(F.col("run") + round_ * level, F.lit(RUNS)) * LEVELS + (level + round_) % LEVELS
-    return F.substring(F.col("tokens"), number * 4 + 1, F.lit(4))
+def _token(level: int):
+    """The token on which a run splits at a level: another one in every run
+    and level."""
+    return F.substring(F.col("tokens"), (F.col("run") * LEVELS + level) * 4 + 1, F.lit(4))
 
 
-def _round(sets: DataFrame, round_: int, n: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _cohesive(large: DataFrame, level: int, similarity: float, rows: int) -> DataFrame:
+    """The paths of the large buckets (path, rep, size, tokens) most of whose
+    sets agree with one set of the bucket, drawn anew at every level."""
+    drawn = F.xxhash64("rep", F.lit(level))
+    leader = large.groupBy("path", "size").agg(F.min_by("tokens", drawn).alias("first"))
+    both = join_to_groups(large.select("path", "tokens"), leader, "path", "size", rows)
+    same = sum(((F.substring("tokens", 4 * k + 1, 4) == F.substring("first", 4 * k + 1, 4)).cast("int") for k in range(COMPARED)), F.lit(0))
+    need = COMPARED * similarity - 4.5 * math.sqrt(COMPARED * similarity * (1 - similarity))
+    agree = both.groupBy("path", "size").agg(F.count_if(same >= need).alias("agree"))
+    return agree.where(F.col("agree") >= F.col("size") * AGREEING).select("path", "size")
+
+
+def _round(sets: DataFrame, round_: int, n: int, similarity: float) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """One round of runs over `n` sets (rep, tokens): buckets (path, rep) to
     compare, buckets (path, rep, size) to link whole, and (rep, deeper): how
     much splitting again cost the set in log(probability of a miss).
 
-    Paths are shuffled without the tokens; the sets in buckets that split
-    again, few, fetch theirs."""
+    Paths are shuffled without the tokens; the sets in large buckets, few,
+    fetch theirs."""
     runs = F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1)))
     now = sets.select("rep", "tokens", F.lit(round_).cast("long").alias("path"), runs.alias("run"))
-    rows, compare, whole, deeper = n * RUNS, [], None, []
+    rows, compare, whole, deeper = n * RUNS, [], [], []
     for level in range(LEVELS):
-        now = now.select("rep", "run", F.xxhash64("path", "run", _token(round_, level)).alias("path"))
+        now = now.select("rep", "run", F.xxhash64("path", "run", _token(level)).alias("path"))
         sizes = now.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         now = written(join_to_groups(now, sizes, "path", "size", rows), "paths")
         small, large = now.where(F.col("size") <= SMALL), now.where(F.col("size") > SMALL)
         compare.append(small.select("path", "rep"))
         rows = large.count()
+        if rows == 0:
+            break
         if level == LEVELS - 1:
-            whole = large.select("path", "rep", "size")
-        elif rows == 0:
+            whole.append(large.select("path", "rep", "size"))
             break
-        else:
-            cost = math.log1p(-similarity ** (level + 2)) - math.log1p(-similarity ** (level + 1))
-            deeper.append(large.select("rep", F.lit(cost).alias("deeper")))
-            if level == 0:
-                wanted = written(large.select("rep").distinct(), "splitting")
-                tokens = written(rows_with(sets, "rep", wanted, wanted.count(), "left_semi"), "splitting-sets")
-            now = large.drop("size").join(tokens, "rep")
-    return _union(compare), whole, _union(deeper).groupBy("rep").agg(F.sum("deeper").alias("deeper")) if deeper else None
+        if level == 0:
+            wanted = written(large.select("rep").distinct(), "splitting")
+            tokens = written(rows_with(sets, "rep", wanted, wanted.count(), "left_semi"), "splitting-sets")
+        large = written(large.join(tokens, "rep"), "large-buckets")
+        alike = written(_cohesive(large, level, similarity, rows), "alike-buckets")
+        if alike.count():
+            marked = large.join(F.broadcast(alike.select("path", F.lit(True).alias("alike"))), "path", "left")  # one row a large bucket
+            whole.append(marked.where("alike").select("path", "rep", "size"))
+            large = marked.where("alike is null").drop("alike")
+            rows = large.count()
+            if rows == 0:
+                break
+        cost = math.log1p(-similarity ** (level + 2)) - math.log1p(-similarity ** (level + 1))
+        deeper.append(large.select("rep", F.lit(cost).alias("deeper")))
+        now = large.drop("size")
+    return (_union(compare), _union(whole) if whole else None,
+            _union(deeper).groupBy("rep").agg(F.sum("deeper").alias("deeper")) if deeper else None)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -158,30 +184,34 @@ def _compared(buckets: DataFrame, sketches: DataFrame, similarity: float) -> Dat
     return rows.mapInArrow(run, _EDGES).distinct()
 
 
-def candidate_links(sets: DataFrame, similarity: float, recall: float) -> DataFrame:
+def candidate_links(sets: DataFrame, similarity: float, recall: float, drawn) -> DataFrame:
     """Links (a, b) of the sets (rep, tokens) that the chosen paths bring
-    together and whose sketches agree."""
+    together and whose sketches agree.  `drawn(reps, n, round)` gives (rep,
+    tokens) of the n sets `reps` with the tokens of a later round."""
     # the low byte of each minimum hash
     sketch = F.concat(*[F.substring("tokens", 4 * k + 1, 1) for k in range(TOKENS)])
     now, n, links = sets, sets.count(), []
     missed = None  # (rep, missed): log(probability of a miss) so far
-    for round_ in range(ROUNDS):
+    first = RUNS * math.log1p(-similarity)
+    round_ = 0
+    while True:
         compare, whole, deeper = _round(now, round_, n, similarity)
         links.append(written(_compared(compare, now.select("rep", sketch.alias("sketch")), similarity), "links"))
         if whole is not None:
             least = whole.groupBy("path").agg(F.min("rep").alias("b"), F.count("*").alias("n"))
-            links.append(join_to_groups(whole.select("path", F.col("rep").alias("a")), least, "path", "n", n * RUNS).where("a != b").select("a", "b"))
-        if deeper is None:
-            break
-        deeper = deeper.withColumn("missed", F.col("deeper") + RUNS * math.log1p(-similarity)).drop("deeper")
-        if missed is not None:
-            deeper = now.select("rep").join(deeper, "rep", "left").na.fill(RUNS * math.log1p(-similarity), ["missed"]).alias("d").join(
-                missed.alias("m"), "rep").select("rep", (F.col("d.missed") + F.col("m.missed")).alias("missed"))
-        missed = written(deeper.where(F.col("missed") > math.log(1 - recall)), "unfinished")
-        n = missed.count()
+            links.append(join_to_groups(whole.select("path", F.col("rep").alias("a")), least, "path", "n", n * RUNS).where("a != b").select("a", "b").distinct())
+        # a round always lowers a set's probability of a miss, so this ends
+        deeper = deeper if deeper is not None else now.select("rep", F.lit(0.0).alias("deeper")).limit(0)
+        if missed is None:
+            left = deeper.select("rep", (F.col("deeper") + first).alias("missed"))
+        else:
+            left = missed.join(deeper, "rep", "left").select("rep", (F.col("missed") + F.coalesce("deeper", F.lit(0.0)) + first).alias("missed"))
+        missed = written(left.where(F.col("missed") > math.log(1 - recall)), "unfinished")
+        n, round_ = missed.count(), round_ + 1
         if n == 0:
             break
-        now = written(rows_with(sets, "rep", missed, n, "left_semi"), "again")
+        # a pair of which one set is finished is found with the recall already
+        now = written(drawn(missed.select("rep"), n, round_), "again")
     return _union(links)
 
 
@@ -251,7 +281,12 @@ def _classes(table: DataFrame, similarity: float, size: int, recall: float) -> D
     dropped = join_to_groups(sets.select("rid", "digest"), copies, "digest", "m", n).where("rid != rep").select("rid")
     dropped = written(dropped, "equal-sets")
     ones = written(rows_with(sets, "rid", dropped, dropped.count(), "left_anti").select(F.col("rid").alias("rep"), "n", "tokens"), "representatives")
-    found = written(components(candidate_links(ones.select("rep", "tokens"), similarity, recall)).withColumnRenamed("node", "rep"), "candidates")
+
+    def drawn(reps: DataFrame, n_reps: int, round_: int) -> DataFrame:
+        some = rows_with(table.select("rid", "text"), "rid", reps.withColumnRenamed("rep", "rid"), n_reps, "left_semi")
+        return _sets(some, size, round_).select(F.col("rid").alias("rep"), "tokens")
+
+    found = written(components(candidate_links(ones.select("rep", "tokens"), similarity, recall, drawn)).withColumnRenamed("node", "rep"), "candidates")
     n_found = found.count()
     texts = rows_with(table.select("rid", "text"), "rid", found.select(F.col("rep").alias("rid")), n_found, "left_semi")
 

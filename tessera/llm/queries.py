@@ -63,9 +63,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best language also where the operator rejects it for a narrow
-    margin: the score is then under 0.5."""
+    margin: the score is then under 0.5 and `rejected` is set."""
     docs = table(spark, sf_dir, "documents")
-    return language.identify(docs, language.train(docs)).drop("rejected")
+    return language.identify(docs, language.train(docs))
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,9 +58,12 @@ def set_digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def minhashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """`n` minimum hashes (32 bits) of a set that is not empty."""
+def minhashes(hashes: np.ndarray, n: int, draw: int = 0) -> np.ndarray:
+    """`n` minimum hashes (32 bits) of a set that is not empty; other ones for
+    every `draw`."""
     factors = _MINHASH[:n, None]
+    if draw:
+        factors = np.random.default_rng(20160501 + draw).integers(0, 2**63, (n, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), _COLUMNS):
         np.minimum(least, (factors * hashes[None, at:at + _COLUMNS]).min(axis=1), out=least)

@@ -19,7 +19,7 @@ COLUMNS = {
     "op7_mixing": "doc_id n_tokens p_clean p_low p_toxic rate copies",
     "op8_exact_dedup": "doc_id keep_id group_size kept text_sha256",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality",
-    "op10_language_id": "doc_id held_out lang_pred score",
+    "op10_language_id": "doc_id held_out lang_pred score rejected",
     "op11_whitening": "vec_id component n deviation whitened explained identity_error",
     "op12_html_extraction": "page_id url text n_chars",
     "op13_lexical_search": "item_id rank doc_id score",
