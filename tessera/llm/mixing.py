@@ -4,14 +4,14 @@
    over domains: naive Bayes scores on hashed words, fitted on at most `SAMPLE`
    labelled documents a domain (taken by hash of the id), then sharpness and
    priors calibrated on all labelled documents.
-2. Each document gets a nonnegative rate: of the rates whose expected token
-   totals of the domains (rate x tokens x posterior, summed) match their
-   targets, those nearest to 1 (token-weighted squares).  Such a rate is 1 plus
-   a weight a domain times the posterior, cut at the bounds, so only the domain
-   weights are sought: Newton steps, each one aggregate with a few sums a
-   domain.  A ridge keeps the steps finite; it shrinks from `RIDGE` until the
-   totals are within `MET` of the targets, or where the bounds do not allow
-   them, to the last of its values, which leaves the least-squares rates.
+2. Each document gets a nonnegative rate, by projected-gradient least squares:
+   the residuals are expected token totals of the domains (rate x tokens x
+   posterior, summed) less their targets, each over the root of the domain's sum
+   of squares.  Rates start at 1; a step moves each against the gradient by the
+   inverse of its Lipschitz constant, with momentum that starts again when the
+   squares rise, and cuts it at the bounds.  A step is one aggregate with a sum
+   a domain.  Steps go on until all totals are within `MET` of the targets or,
+   where the bounds do not allow them, a step moves no more than `SETTLED`.
    Rates are a column, never collected.
 3. A rate is carried out as whole copies plus one more with the probability of
    its fraction, decided by a hash of the row.
@@ -37,10 +37,9 @@ SAMPLE = 1024  # labelled documents a domain
 SMOOTHING = 0.5
 SURE = 3.0  # standard errors
 SHARPNESS = [0.125, 0.25, 0.5, 1.0, 2.0]
-RIDGE = 0.01
-RIDGES = [RIDGE, RIDGE * 1e-2, RIDGE * 1e-4, RIDGE * 1e-6]
 MET = 1e-4  # |total - target| as a share of the target
-LEAST_STEP = 1e-6  # of a Newton step
+SETTLED = 1e-5  # root of the mean square by which a step moves the rates, by tokens
+STEPS_KEPT = 16  # steps between two written states of the rates
 
 
 def domain_of_labels() -> Column:
@@ -138,7 +137,7 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     `targets` are expected token totals by domain; without them they are
     `weights` times the domain's expected tokens in the table.  `max_rate`
     bounds rates from above; targets beyond the bound are met as far as least
-    squares allows."""
+    squares allows.  Of the rates that do so, the ones reached from 1."""
     now = _totals(table, F.lit(1.0))
     want = [targets[d] if targets else (weights or WEIGHTS)[d] * x for d, x in zip(DOMAINS, now)]
     total = sum(now)
@@ -147,53 +146,45 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     # a domain without tokens reaches no total but 0
     want = np.array([w / total if x > 0 else 0.0 for w, x in zip(want, now)])
     near = MET * np.array([w or x / total for w, x in zip(want, now)])
-    table_of = table.select((F.col("n_tokens") / total).alias("w"), *[f"p_{d}" for d in DOMAINS])
-    pairs = [(i, j) for i in range(len(DOMAINS)) for j in range(i, len(DOMAINS))]
-
-    def pulled(weights) -> Column:
-        return sum((F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, weights)), F.lit(1.0))
-
-    def bounded(z: Column) -> Column:
-        r = F.greatest(F.lit(0.0), z)
-        return r if max_rate is None else F.least(F.lit(float(max_rate)), r)
-
-    def measured(weights):
-        """At these domain weights: the dual objective without target and
-        ridge, the totals, and the totals' derivatives."""
-        z, r = F.col("z"), bounded(F.col("z"))
-        free = (z > 0) if max_rate is None else (z > 0) & (z <= float(max_rate))
-        at = table_of.withColumn("z", pulled(weights)).select("*", (F.col("w") * r).alias("wr"), F.when(free, F.col("w")).otherwise(0.0).alias("wf"), r.alias("r"))
-        p = [F.col(f"p_{d}") for d in DOMAINS]
-        row = list(at.agg(F.sum(F.col("wr") * (z - F.col("r") / 2)), *[F.sum(F.col("wr") * x) for x in p], *[F.sum(F.col("wf") * p[i] * p[j]) for i, j in pairs]).first())
-        slope = np.zeros((len(p), len(p)))
-        for (i, j), x in zip(pairs, row[1 + len(p):]):
-            slope[i, j] = slope[j, i] = x
-        return row[0], np.array(row[1:1 + len(p)]), slope
-
-    weights_of = np.zeros(len(DOMAINS))
-    value, totals, slope = measured(weights_of)
-    gram = table_of.agg(*[F.sum(F.col("w") * F.col(f"p_{d}") * F.col(f"p_{d}")) for d in DOMAINS]).first()
-    scale = np.maximum(np.array(gram), 1e-12)
-    for ridge in RIDGES:
-        goal = lambda v, x: v - x @ want + ridge / 2 * (scale * x) @ x  # noqa: B023, E731
-        while True:
-            off = totals - want + ridge * scale * weights_of
-            if (np.abs(off) <= near / 10).all():
-                break
-            step, size, found = np.linalg.solve(slope + ridge * np.diag(scale), -off), 1.0, None
-            while found is None and size >= LEAST_STEP:
-                x = weights_of + size * step
-                there = measured(x)
-                # a point counts when it lowers the convex objective by a share of what its slope promises
-                if goal(there[0], x) <= goal(value, weights_of) + 1e-4 * size * (off @ step):
-                    found = x, there
-                size /= 4
-            if found is None:  # lower only below a double's precision
-                break
-            weights_of, (value, totals, slope) = found
-        if (np.abs(totals - want) <= near).all():
+    p, w, n = [F.col(f"p_{d}") for d in DOMAINS], F.col("n_tokens") / total, len(DOMAINS)
+    gram = np.array(table.agg(*[F.sum(w * a * b) for a in p for b in p]).first()).reshape(n, n)
+    scale = np.maximum(np.diag(gram), 1e-12)
+    size = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
+
+    def stepped(steps) -> Column:
+        """rate, last (the rate before) and start (the rate with momentum) after
+        the steps: the momentum and the pull of each domain."""
+        def one(state, step):
+            start = state["rate"] + step[0] * (state["rate"] - state["last"])
+            rate = F.greatest(F.lit(0.0), start - sum((step[i + 1] * x for i, x in enumerate(p)), F.lit(0.0)))
+            rate = rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
+            return F.struct(rate.alias("rate"), state["rate"].alias("last"), start.alias("start"))
+
+        zero = F.struct("rate", "last", F.col("rate").alias("start"))
+        return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps]), zero, one)
+
+    rated = table.withColumns({"rate": F.lit(1.0), "last": F.lit(1.0)})
+    steps, speed, momentum = [], 1.0, 0.0
+    totals = last = np.array(now) / total
+    while (np.abs(totals - want) > near).any():
+        start = totals + momentum * (totals - last)  # totals are linear in the rates
+        steps.append([momentum, *(size * (start - want) / scale)])
+        at = rated.select(w.alias("w"), *p, stepped(steps).alias("s")).select("*", "s.rate", "s.start")
+        row = at.agg(F.sum(F.col("w") * F.pow(F.col("rate") - F.col("start"), 2)), *[F.sum(F.col("w") * F.col("rate") * x) for x in p]).first()
+        last, totals = totals, np.array(row[1:])
+        if row[0] <= SETTLED**2:
             break
-    return written(table.select(*table.columns, bounded(pulled(weights_of)).alias("rate")), "rates")
+        if ((totals - want) ** 2 / scale).sum() > ((last - want) ** 2 / scale).sum():
+            speed, momentum = 1.0, 0.0
+        else:
+            faster = (1 + math.sqrt(1 + 4 * speed**2)) / 2
+            speed, momentum = faster, (speed - 1) / faster
+        if len(steps) == STEPS_KEPT:
+            rated = written(rated.withColumn("s", stepped(steps)).select(*table.columns, "s.rate", "s.last"), "rates")
+            steps = []
+    if steps:
+        rated = rated.withColumn("s", stepped(steps)).select(*table.columns, "s.rate")
+    return written(rated.select(*table.columns, "rate"), "rates")
 
 
 def _copies(key: Column, row: Column) -> Column:

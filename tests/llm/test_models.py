@@ -224,12 +224,12 @@ def test_rates_meet_the_targets(spark):
     rate = np.array([r.rate for r in mixing.with_rates(table, targets=dict(zip(mixing.DOMAINS, want))).orderBy("id").collect()])
     assert (rate >= 0).all()
     assert np.allclose((rate[:, None] * tokens[:, None] * p).sum(0), want, rtol=0.05)
-    # brute force: long projected gradient in numpy reaches the same rates
+    # brute force: long projected gradient in numpy, drawn to 1 a little, reaches the same rates
     total, gram = tokens.sum(), (tokens / tokens.sum()) @ p ** 2
     r = np.ones(800)
     for _ in range(3000):
         off = ((r[:, None] * tokens[:, None] * p).sum(0) - want) / total / gram
-        r = np.maximum(0, r - 0.3 * (p @ off + mixing.RIDGE * (r - 1)))
+        r = np.maximum(0, r - 0.3 * (p @ off + 0.01 * (r - 1)))
     assert np.abs(rate - r).mean() < 0.08
     bounded = mixing.with_rates(table, targets=dict(zip(mixing.DOMAINS, want)), max_rate=1.0).agg({"rate": "max"}).first()[0]
     assert bounded <= 1
