@@ -77,6 +77,12 @@ def words(c: Column) -> Column:
     return F.array_remove(F.split(c, WHITE_RUN), "")
 
 
+def bound(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often and in
+    whatever lambda `body` reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def join_to_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int,
                    hot_share: int = 1000) -> DataFrame:
     """`rows` inner-joined to `groups` (one row per key, with the number of

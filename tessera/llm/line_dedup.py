@@ -7,23 +7,25 @@ stands earlier: in a document of a smaller id or further up.
 
 Every line within the edit bound of another has a variant in common with it:
 the line less one word.  Variants are hashed with the place of the word left
-out.  Lines with an equal variant and place differ in that word alone; a line
-whose hash equals another line's variant lacks one word: that verifies the edit
-distance, up to a 64-bit hash.
+out kept beside them.  Lines whose variants of one place are equal differ in
+that word alone; a line equal to another line's variant lacks one word.  That is
+verified on the words: what is left of them must have the same SHA-256.
 
 What keeps it small: equal lines are one line throughout; only lines that share
 their first or second half with another line can be near copies, so only those
-emit variants (nothing is lost: one edit leaves one half as it was); texts are
-never shuffled for the join, hashes are.  A variant's hash is an exclusive or
-over (word, place), so all variants of a line take one running pass.
+emit variants (nothing is lost: one edit leaves one half as it was).  Bloom
+filters of bits set twice stand before each shuffle: of lines, halves and
+variants only those go on that may meet another.  A variant's hash is an
+exclusive or over (word, place), so all variants of a line come from prefixes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WHITE, join_to_groups, packed, rows_with, text_or_empty, words, written
+from tessera.llm.common import (WHITE, bit_words, bound, filter_width, join_to_groups, packed, rows_with, text_or_empty, top_bits,
+                                with_bit, words, written)
 
 MIN_WORDS = 8
 
@@ -55,69 +57,99 @@ def _order() -> Column:
     return F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2", "place")
 
 
-def _variants(lines: DataFrame) -> DataFrame:
-    """(line, at, variant, whole): for each word `at` left out the hash of the
-    rest, and the hash of the whole line."""
-    w = lines.select("line", F.posexplode("words").alias("at", "word")).select(
-        "line", "at", F.xxhash64("word", "at").alias("here"), F.xxhash64("word", F.col("at") - 1).alias("moved"))
-    by = Window.partitionBy("line").orderBy("at")
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    after = by.rowsBetween(1, Window.unboundedFollowing)
-    nothing = F.lit(0).cast("long")
-    ahead, behind = F.coalesce(F.bit_xor("here").over(before), nothing), F.coalesce(F.bit_xor("moved").over(after), nothing)
-    return w.select("line", "at", ahead.bitwiseXOR(behind).alias("variant"), ahead.bitwiseXOR(F.col("here")).alias("so_far"))
+def _xor(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+
+
+def _variants(w: Column) -> Column:
+    """Of an array of words: for each word left out the hash of the rest, then
+    the hash of the whole.  Prefixes are taken from blocks of about the root of
+    the length, so a long line costs its length to the power 1.5."""
+    def of(s):
+        block = lambda k: F.slice(s["turned"], k * s["b"] + 1, s["b"])
+        blocks = F.transform(F.sequence(F.lit(0), s["b"]), lambda k: _xor(block(k)))
+        starts = bound(blocks, lambda xs: F.transform(xs, lambda _, k: _xor(F.slice(xs, F.lit(1), k))))
+
+        def all_of(ahead):
+            def less(x, i):
+                k = F.floor(i / s["b"]).cast("int")
+                before = F.get(ahead, k).bitwiseXOR(_xor(F.slice(s["turned"], k * s["b"] + 1, i - k * s["b"])))
+                return s["moved"].bitwiseXOR(before).bitwiseXOR(F.xxhash64(x, i - 1))
+            return F.transform(s["w"], less)
+        return F.concat(bound(starts, all_of), F.array(_xor(F.transform(s["w"], lambda x, i: F.xxhash64(x, i)))))
+
+    turned = F.transform(w, lambda x, i: F.xxhash64(x, i).bitwiseXOR(F.xxhash64(x, i - 1)))
+    moved = _xor(F.transform(w, lambda x, i: F.xxhash64(x, i - 1)))
+    return bound(F.struct(w.alias("w"), turned.alias("turned"), moved.alias("moved"),
+                          F.ceil(F.sqrt(F.size(w))).cast("int").alias("b")), of)
+
+
+def _twice(keys: DataFrame, n_keys: int) -> tuple[int, DataFrame]:
+    """(bits, words) of a filter of the bits that two or more of `keys` (one
+    column) set."""
+    bits = filter_width(n_keys)
+    at = keys.select(top_bits(bits, keys.columns[0]).alias("at"))
+    return bits, written(bit_words(at.groupBy("at").agg(F.count("*").alias("n")).where("n > 1")), "filter")
+
+
+def _met(rows: DataFrame, key: str, twice: tuple[int, DataFrame]) -> DataFrame:
+    """`rows` whose key may repeat."""
+    return with_bit(rows, top_bits(twice[0], key), twice[1], "_met").where("_met").drop("_met")
 
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(k1, k2, place, near) of the lines of docs (id, text) to drop; `near`
     marks those that are no equal copies."""
-    hashes = [h.alias(f"half{k}") for k, h in enumerate(_halves())]
-    lines = written(_line_table(docs).select(
-        "k1", "k2", "id", "place", F.xxhash64("words").alias("line"), F.xxhash64(F.lit(2), "words").alias("line2"),
-        F.size("words").alias("n"), *hashes), "lines")
-    n_lines = lines.count()
+    names = ["line", "line2"]
+    line = [F.xxhash64("words").alias("line"), F.xxhash64(F.lit(2), "words").alias("line2")]
     halves = [f"half{k}" for k in range(4)]
-    distinct = written(lines.groupBy("line", "line2").agg(
-        F.min(_order()).alias("first"), F.count("*").alias("times"), F.min("n").alias("n"), *[F.min(h).alias(h) for h in halves]), "distinct-lines")
-
-    long = distinct.where(F.col("n") >= min_words)
-    keyed = written(long.select("line", F.explode(F.array_distinct(F.array(*halves))).alias("half")), "halves")
-    shared = keyed.groupBy("half").agg(F.count("*").alias("size")).where("size > 1")
-    near = written(join_to_groups(keyed, shared, "half", "size", 4 * n_lines).select("line").distinct(), "near-lines")
-    n_near = near.count()
-
-    # the words of those lines, read again at their first place
-    again = _line_table(docs).select("k1", "k2", "place", F.xxhash64("words").alias("line"), "words")
-    again = rows_with(again, "line", near, n_near, "left_semi")
-    firsts = distinct.join(near, "line", "left_semi").select("line", "first.k1", "first.k2", "first.place")
-    texts = again.join(firsts, ["line", "k1", "k2", "place"]).dropDuplicates(["line"]).select("line", "words")
-    parts = written(_variants(texts), "variants")
-    order = written(distinct.join(near, "line", "left_semi").groupBy("line").agg(F.min("first").alias("first")), "order")
-
-    # one word replaced: equal variant at the same place; later lines than the first of them go
-    n_parts = parts.count()
-    same = parts.groupBy("variant", "at").agg(F.count("*").alias("size")).where("size > 1").select(F.struct("variant", "at").alias("key"), "size")
-    met = written(join_to_groups(parts.select(F.struct("variant", "at").alias("key"), "line"), same, "key", "size", n_parts)
-                  .join(order, "line").select("key", "size", "line", "first"), "met")
-    least = met.groupBy("key").agg(F.min("first").alias("earliest"), F.count("*").alias("size"))
-    replaced = join_to_groups(met.drop("size"), least, "key", "size", n_parts).where(F.col("first") > F.col("earliest")).select("line")
-
-    # one word inserted: a line equal to another's variant; the later of the two goes
-    last = parts.groupBy("line").agg(F.max("at").alias("at"))
-    whole = parts.join(last, ["line", "at"]).select(F.col("so_far").alias("variant"), F.col("line").alias("shorter"))
-    times = parts.groupBy("variant").agg(F.count("*").alias("size"))
-    whole = whole.join(times, "variant")
-    pairs = join_to_groups(parts.select("variant", F.col("line").alias("longer")), whole, "variant", "size", n_parts)
-    pairs = pairs.join(order.select(F.col("line").alias("longer"), F.col("first").alias("of_longer")), "longer").join(
-        order.select(F.col("line").alias("shorter"), F.col("first").alias("of_shorter")), "shorter")
-    inserted = pairs.select(F.when(F.col("of_longer") > F.col("of_shorter"), F.col("longer")).otherwise(F.col("shorter")).alias("line"))
-    gone = written(replaced.unionByName(inserted).distinct(), "near-copies").withColumn("near", F.lit(True))
-
-    judged = distinct.join(gone, "line", "left").select("line", "line2", "first", "times", F.coalesce("near", F.lit(False)).alias("near"))
-    judged = written(judged.where("near OR times > 1"), "judged-lines")
+    lines = written(_line_table(docs).select("k1", "k2", "id", "place", *line, F.size("words").alias("n"),
+                                             *[h.alias(c) for h, c in zip(_halves(), halves)]), "lines")
+    n_lines = lines.count()
+
+    # equal lines are one; lines whose bit no other sets are not shuffled
+    bits, bloom = _twice(lines.select("line"), n_lines)
+    marked = with_bit(lines, top_bits(bits, "line"), bloom, "_met")
+    repeated = written(marked.where("_met").groupBy(*names).agg(
+        F.min(_order()).alias("first"), F.count("*").alias("times"), F.min("n").alias("n"), *[F.min(h).alias(h) for h in halves]), "repeated-lines")
+    distinct = marked.where("NOT _met").select(*names, _order().alias("first"), F.lit(1).cast("long").alias("times"), "n", *halves).unionByName(repeated)
+
+    # lines that share a half, each with its words, read again at its first place
+    keyed = distinct.where(F.col("n") >= min_words).select(*names, "first", F.explode(F.array_distinct(F.array(*halves))).alias("half"))
+    shared = _met(keyed, "half", _twice(keyed.select("half"), 4 * n_lines))
+    at_first = F.xxhash64(*names, "first.k1", "first.k2", "first.place").alias("at_first")
+    near = written(shared.select(at_first).distinct(), "near-lines")
+    again = _line_table(docs).select(*line, _order().alias("first"), "words").select("*", at_first)
+    texts = rows_with(again, "at_first", near, near.count(), "left_semi").dropDuplicates(["at_first", *names]).drop("at_first")
+    texts = written(texts.select("*", _variants(F.col("words")).alias("variants")), "variants")
+
+    # what is left of the words of variants (`at` the word left out) and whole lines (`at` -1) that may meet
+    n_variants = texts.agg(F.coalesce(F.sum(F.size("variants")), F.lit(0))).first()[0]
+    twice = _twice(texts.select(F.explode(F.array_distinct("variants")).alias("variant")), n_variants)
+    parts = _met(texts.select(*names, F.posexplode("variants").alias("at", "variant")), "variant", twice).select(*names, "at")
+    n = F.size("words")
+    rest = F.when(F.col("at") == n, F.col("words")).otherwise(F.concat(F.slice("words", F.lit(1), F.col("at")), F.slice("words", F.col("at") + 2, n)))
+    marks = written(parts.join(texts.drop("variants"), names).select(
+        *names, "first", F.when(F.col("at") == n, -1).otherwise(F.col("at")).alias("at"), F.unhex(F.sha2(F.array_join(rest, " "), 256)).alias("rest")), "marks")
+    n_marks = marks.count()
+
+    # one word replaced: later lines than the first of the same place and rest go
+    place = F.struct("rest", "at").alias("key")
+    cut = marks.where("at >= 0").select(place, *names, "first")
+    groups = cut.groupBy("key").agg(F.min("first").alias("earliest"), F.count("*").alias("size")).where("size > 1")
+    replaced = join_to_groups(cut, groups, "key", "size", n_marks).where(F.col("first") > F.col("earliest"))
+    # one word inserted: of a line and another's equal rest, the later goes
+    groups = marks.groupBy("rest").agg(F.min(F.when(F.col("at") < 0, F.col("first"))).alias("whole"),
+                                       F.min(F.when(F.col("at") >= 0, F.col("first"))).alias("part"), F.count("*").alias("size"))
+    inserted = join_to_groups(marks, groups.where("whole IS NOT NULL AND part IS NOT NULL"), "rest", "size", n_marks).where(
+        F.col("first") > F.when(F.col("at") < 0, F.col("part")).otherwise(F.col("whole")))
+    gone = replaced.select(*names).unionByName(inserted.select(*names)).distinct().withColumn("near", F.lit(True))
+
+    judged = repeated.where("times > 1").select(*names, "first", "times").join(gone, names, "full")
+    judged = written(judged.select(*names, "first", F.coalesce("times", F.lit(1)).alias("times"), F.coalesce("near", F.lit(False)).alias("near")), "judged-lines")
     # lines without a copy or near copy are not shuffled again
-    key = F.struct("line", "line2").alias("key")
-    rows = rows_with(lines.select("line", "line2", "k1", "k2", "id", "place"), "line", judged.select("line").distinct(), judged.count(), "left_semi")
+    key = F.struct(*names).alias("key")
+    rows = rows_with(lines.select(*names, "k1", "k2", "id", "place"), "line", judged.select("line").distinct(), judged.count(), "left_semi")
     rows = join_to_groups(rows.select(key, "k1", "k2", "place", _order().alias("order")), judged.select(key, "first", "near", "times"), "key", "times", n_lines)
     return rows.where(F.col("near") | (F.col("order") > F.col("first"))).select("k1", "k2", "place", "near")
 
@@ -130,18 +162,20 @@ def _cleaned(docs: DataFrame, id_: Column, text: Column, min_words: int) -> Data
         F.collect_set("place").alias("places"), F.sum(F.col("near").cast("long")).alias("near")), "dropped-lines")
     keyed = docs.select(*docs.columns, *_document_key(id_, text))
     touched = lists.select("k1").distinct()
-    n = touched.count()
+    bits = filter_width(touched.count())
+    bloom = written(bit_words(touched.select(top_bits(bits, "k1").alias("at")).distinct()), "filter")
+    keyed = with_bit(keyed, top_bits(bits, "k1"), bloom, "_maybe")
     all_lines = F.split(text, "\n")
     n_lines = F.size(F.filter(all_lines, lambda x: F.trim(x, F.lit(WHITE)) != "")).cast("long").alias("n_lines")
     none = F.lit(0).cast("long")
-    whole = rows_with(keyed, "k1", touched, n, "left_anti").select(
-        *docs.columns, text.alias("cleaned"), n_lines, none.alias("n_dropped"), none.alias("n_near"))
-    cut = rows_with(keyed, "k1", touched, n, "left_semi").join(lists, ["k1", "k2"], "left")
+    whole = keyed.where("NOT _maybe").select(*docs.columns, text.alias("cleaned"), n_lines, none.alias("n_dropped"), none.alias("n_near"))
+    cut = keyed.where("_maybe").join(lists, ["k1", "k2"], "left")
     places = F.coalesce("places", F.array().cast("array<int>"))
-    cut = cut.select(*docs.columns, all_lines.alias("_lines"), F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), places).alias("_stay"),
-                     n_lines, F.size(places).cast("long").alias("n_dropped"), F.coalesce("near", none).alias("n_near"))
-    joined = F.array_join(F.transform("_stay", lambda k: F.get(F.col("_lines"), k)), "\n")
-    return whole.unionByName(cut.select(*docs.columns, joined.alias("cleaned"), "n_lines", "n_dropped", "n_near"))
+    stay = bound(all_lines, lambda xs: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(xs) - 1), places), lambda k: F.get(xs, k)))
+    cut = cut.select(*docs.columns, F.array_join(stay, "\n").alias("cleaned"), n_lines,
+                     F.size(places).cast("long").alias("n_dropped"), F.coalesce("near", none).alias("n_near"))
+    return whole.unionByName(cut)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
