@@ -93,8 +93,11 @@ def _twice(keys: DataFrame, n_keys: int) -> tuple[int, DataFrame]:
 
 
 def _met(rows: DataFrame, key: str, twice: tuple[int, DataFrame]) -> DataFrame:
-    """`rows` whose key may repeat."""
-    return with_bit(rows, top_bits(twice[0], key), twice[1], "_met").where("_met").drop("_met")
+    """`rows` whose key repeats: the filter lets few others pass, which are
+    counted."""
+    maybe = written(with_bit(rows, top_bits(twice[0], key), twice[1], "_met").where("_met").drop("_met"), "met")
+    groups = maybe.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
+    return join_to_groups(maybe, groups, key, "size", maybe.count()).drop("size")
 
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -115,10 +118,10 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     distinct = marked.where("NOT _met").select(*names, _order().alias("first"), F.lit(1).cast("long").alias("times"), "n", *halves).unionByName(repeated)
 
     # lines that share a half, each with its words, read again at its first place
-    keyed = distinct.where(F.col("n") >= min_words).select(*names, "first", F.explode(F.array_distinct(F.array(*halves))).alias("half"))
-    shared = _met(keyed, "half", _twice(keyed.select("half"), 4 * n_lines))
     at_first = F.xxhash64(*names, "first.k1", "first.k2", "first.place").alias("at_first")
-    near = written(shared.select(at_first).distinct(), "near-lines")
+    keyed = distinct.where(F.col("n") >= min_words).select(at_first, F.explode(F.array_distinct(F.array(*halves))).alias("half"))
+    shared = _met(keyed, "half", _twice(keyed.select("half"), 4 * n_lines))
+    near = written(shared.select("at_first").distinct(), "near-lines")
     again = _line_table(docs).select(*line, _order().alias("first"), "words").select("*", at_first)
     texts = rows_with(again, "at_first", near, near.count(), "left_semi").dropDuplicates(["at_first", *names]).drop("at_first")
     texts = written(texts.select("*", _variants(F.col("words")).alias("variants")), "variants")
