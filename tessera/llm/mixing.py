@@ -7,11 +7,12 @@
 2. Each document gets a nonnegative rate, by projected-gradient least squares:
    the residuals are expected token totals of the domains (rate x tokens x
    posterior, summed) less their targets, each over the root of the domain's sum
-   of squares.  Rates start at 1; a step moves each against the gradient by the
-   inverse of its Lipschitz constant, with momentum that starts again when the
-   squares rise, and cuts it at the bounds.  A step is one aggregate with a sum
-   a domain.  Steps go on until all totals are within `MET` of the targets or,
-   where the bounds do not allow them, a step moves no more than `SETTLED`.
+   of squares.  Rates start at 1; a step moves each against the gradient and cuts
+   it at the bounds.  Its length is a Barzilai-Borwein one, long and short by
+   turns, or the inverse of the gradient's Lipschitz constant when the squares
+   are above those of the last `MEMORY` steps.  A step is one aggregate with a
+   sum a domain.  Steps go on until all totals are within `MET` of the targets
+   or, where the bounds do not allow them, a step moves no more than `SETTLED`.
    Rates are a column, never collected.
 3. A rate is carried out as whole copies plus one more with the probability of
    its fraction, decided by a hash of the row.
@@ -38,7 +39,9 @@ SMOOTHING = 0.5
 SURE = 3.0  # standard errors
 SHARPNESS = [0.125, 0.25, 0.5, 1.0, 2.0]
 MET = 1e-4  # |total - target| as a share of the target
-SETTLED = 1e-5  # root of the mean square by which a step moves the rates, by tokens
+SETTLED = 5e-5  # root of the mean square by which a step moves the rates, by tokens, with an upper bound
+SETTLED_FREE = 1e-6  # without one, where targets are seldom out of reach
+MEMORY = 8
 STEPS_KEPT = 16  # steps between two written states of the rates
 
 
@@ -152,35 +155,34 @@ def with_rates(table: DataFrame, targets: dict[str, float] | None = None, weight
     size = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
 
     def stepped(steps) -> Column:
-        """rate, last (the rate before) and start (the rate with momentum) after
-        the steps: the momentum and the pull of each domain."""
-        def one(state, step):
-            start = state["rate"] + step[0] * (state["rate"] - state["last"])
-            rate = F.greatest(F.lit(0.0), start - sum((step[i + 1] * x for i, x in enumerate(p)), F.lit(0.0)))
+        """rate and last (the rate before) after the steps: each the pulls of
+        the domains."""
+        def one(state, pull):
+            rate = F.greatest(F.lit(0.0), state["rate"] - sum((pull[i] * x for i, x in enumerate(p)), F.lit(0.0)))
             rate = rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
-            return F.struct(rate.alias("rate"), state["rate"].alias("last"), start.alias("start"))
+            return F.struct(rate.alias("rate"), state["rate"].alias("last"))
 
-        zero = F.struct("rate", "last", F.col("rate").alias("start"))
-        return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps]), zero, one)
+        pulls = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
+        return F.aggregate(pulls, F.struct("rate", F.col("rate").alias("last")), one)
 
-    rated = table.withColumns({"rate": F.lit(1.0), "last": F.lit(1.0)})
-    steps, speed, momentum = [], 1.0, 0.0
-    totals = last = np.array(now) / total
+    rated = table.withColumn("rate", F.lit(1.0))
+    settled = SETTLED_FREE if max_rate is None else SETTLED
+    totals, length, steps, squares = np.array(now) / total, size, [], []
     while (np.abs(totals - want) > near).any():
-        start = totals + momentum * (totals - last)  # totals are linear in the rates
-        steps.append([momentum, *(size * (start - want) / scale)])
-        at = rated.select(w.alias("w"), *p, stepped(steps).alias("s")).select("*", "s.rate", "s.start")
-        row = at.agg(F.sum(F.col("w") * F.pow(F.col("rate") - F.col("start"), 2)), *[F.sum(F.col("w") * F.col("rate") * x) for x in p]).first()
-        last, totals = totals, np.array(row[1:])
-        if row[0] <= SETTLED**2:
+        squares.append(((totals - want) ** 2 / scale).sum())
+        steps.append(length * (totals - want) / scale)
+        at = rated.select(w.alias("w"), *p, stepped(steps).alias("s")).select("*", "s.rate", "s.last")
+        row = at.agg(F.sum(F.col("w") * F.pow(F.col("rate") - F.col("last"), 2)), *[F.sum(F.col("w") * F.col("rate") * x) for x in p]).first()
+        moved, last, totals = row[0], totals, np.array(row[1:])
+        if moved <= settled**2:
             break
-        if ((totals - want) ** 2 / scale).sum() > ((last - want) ** 2 / scale).sum():
-            speed, momentum = 1.0, 0.0
-        else:
-            faster = (1 + math.sqrt(1 + 4 * speed**2)) / 2
-            speed, momentum = faster, (speed - 1) / faster
+        pull = (totals - last) / scale  # the change of the gradient, by domain
+        length = size
+        if ((totals - want) ** 2 / scale).sum() <= max(squares[-MEMORY:]) and pull.any():
+            across = (totals - last) @ pull
+            length = moved / across if len(squares) % 2 else across / (pull @ gram @ pull)
         if len(steps) == STEPS_KEPT:
-            rated = written(rated.withColumn("s", stepped(steps)).select(*table.columns, "s.rate", "s.last"), "rates")
+            rated = written(rated.withColumn("s", stepped(steps)).select(*table.columns, "s.rate"), "rates")
             steps = []
     if steps:
         rated = rated.withColumn("s", stepped(steps)).select(*table.columns, "s.rate")
