@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (WHITE, bit_words, bound, filter_width, join_to_groups, packed, rows_with, text_or_empty, top_bits,
-                                with_bit, words, written)
+                                with_bit, written)
 
 MIN_WORDS = 8
 
@@ -35,10 +35,22 @@ def _document_key(id_: Column, text: Column) -> list[Column]:
     return [F.xxhash64(id_.cast("string"), text).alias("k1"), F.xxhash64(text, id_.cast("string"), F.lit(1)).alias("k2")]
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """(k1, k2, id, place, text_line) of every line of docs (id, text)."""
+    return docs.select(*_document_key(F.col("id"), F.col("text")), "id", F.posexplode(F.split("text", "\n")).alias("place", "text_line"))
+
+
+def _words(line: Column) -> Column:
+    """The words of a line; a split at one plain space needs no regular expression."""
+    for white in WHITE[1:]:
+        line = F.replace(line, F.lit(white), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
+
+
 def _line_table(docs: DataFrame) -> DataFrame:
     """(k1, k2, id, place, words) of every line of docs (id, text) that has a word."""
-    rows = docs.select(*_document_key(F.col("id"), F.col("text")), "id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return rows.where(F.trim(F.col("line"), F.lit(WHITE)) != "").select("k1", "k2", "id", "place", words(F.col("line")).alias("words"))
+    rows = _lines(docs).where(F.trim(F.col("text_line"), F.lit(WHITE)) != "")
+    return rows.select("k1", "k2", "id", "place", _words(F.col("text_line")).alias("words"))
 
 
 def _halves() -> list[Column]:
