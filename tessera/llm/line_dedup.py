@@ -130,12 +130,14 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     distinct = marked.where("NOT _met").select(*names, _order().alias("first"), F.lit(1).cast("long").alias("times"), "n", *halves).unionByName(repeated)
 
     # lines that share a half, each with its words, read again at its first place
-    at_first = F.xxhash64(*names, "first.k1", "first.k2", "first.place").alias("at_first")
+    at_first = F.xxhash64("first.k1", "first.k2", "first.place").alias("at_first")
     keyed = distinct.where(F.col("n") >= min_words).select(at_first, F.explode(F.array_distinct(F.array(*halves))).alias("half"))
     shared = _met(keyed, "half", _twice(keyed.select("half"), 4 * n_lines))
     near = written(shared.select("at_first").distinct(), "near-lines")
-    again = _line_table(docs).select(*line, _order().alias("first"), "words").select("*", at_first)
-    texts = rows_with(again, "at_first", near, near.count(), "left_semi").dropDuplicates(["at_first", *names]).drop("at_first")
+    again = _lines(docs).select("*", F.xxhash64("k1", "k2", "place").alias("at_first"))
+    # only these are cut into words; of rows that repeat, or whose hash collides, the first stays
+    texts = rows_with(again, "at_first", near, near.count(), "left_semi").select(_order().alias("first"), _words(F.col("text_line")).alias("words"))
+    texts = texts.select(*line, "first", "words").groupBy(*names).agg(F.min(F.struct("first", "words")).alias("at")).select(*names, "at.first", "at.words")
     texts = written(texts.select("*", _variants(F.col("words")).alias("variants")), "variants")
 
     # what is left of the words of variants (`at` the word left out) and whole lines (`at` -1) that may meet
