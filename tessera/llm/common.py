@@ -37,13 +37,13 @@ def delete_scratch(spark: SparkSession, *in_use: DataFrame) -> None:
     _scratch[:] = kept
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again: cuts the
     lineage with files that survive a lost executor, and fixes the values of
-    row ids."""
+    row ids.  `codec`: of the files, the session's where none is given."""
     path = scratch_path(df.sparkSession, name)
     _scratch.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -324,7 +324,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     `size` words is one shingle.  A null or empty text has none: it is a class
     of its own without links.  Rows that repeat are links of one another, of
     which one is kept; a null id comes last.  Only id and text are read."""
-    table = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "texts")
+    table = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "texts", "zstd")
     classes = written(_classes(table, similarity, size, recall), "joined")
     one = F.lit(1).cast("long")
     return table.select("rid", "id").join(classes, "rid", "left").select(
@@ -336,7 +336,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                      size: int = sh.SIZE, recall: float = RECALL) -> DataFrame:
     """The rows of `docs` that `jaccard_join` keeps, with all their columns."""
-    table = written(packed(docs, rid=F.monotonically_increasing_id()), "texts")
+    table = written(packed(docs, rid=F.monotonically_increasing_id()), "texts", "zstd")
     narrow = table.select("rid", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"))
     dropped = written(_classes(narrow, similarity, size, recall).where("rid != keep_rid").select("rid"), "dropped")
     return rows_with(table, "rid", dropped, dropped.count(), "left_anti").select("row.*")
