@@ -7,7 +7,7 @@ A change log is a DataFrame of lines with an explicit order:
 read from `user_type_date.csv` files by `read_change_files`.  Every step is a
 join or a window over a bounded key:
   * routing (C1) joins the user table (J8) and checks the file type (P15);
-  * enrichment joins bonds on symbol (J9, bounded by bonds per symbol) or
+  * enrichment joins bonds counted by symbol and by name (J9) or
     institutions on full / short name (J10), managers on id or name (J11);
   * application (W6) keeps an ADD when no later DEL of the same key exists:
     `max(seq of DEL)` over the key - the window holds one key's changes.
@@ -150,16 +150,16 @@ def keyword_changes(routed: DataFrame, bonds: DataFrame, institutions: DataFrame
                  F.when(sym.isNull() | (sym == ""), F.lit(None).cast("string")).otherwise(sym).alias("symbol"))
     d = d.withColumn("reject_reason", F.coalesce(
         F.col("reject_reason"), F.when(F.size("_p") < 3, F.lit("Malformed line"))))
-    # Bonds by symbol; per line: count of candidates and the tie-break pick
-    b = bonds.select(F.col("symbol").alias("b_symbol"), F.col("securityid").alias("b_sec"),
-                     F.col("shortname").alias("b_short"), F.col("institutionid").alias("b_inst"))
+    # One row per symbol (count of its bonds, the first) and one per symbol
+    # and short name, so that a line meets two rows, however many bonds share
+    # its symbol; lines of one `seq` count together
+    b = bonds.select("symbol", F.col("shortname").alias("keyword"), F.struct(F.col("securityid").alias("b_sec"), F.col("institutionid").alias("b_inst")).alias("bond"))
+    first = lambda bond: F.min_by(bond, F.col(f"{bond}.b_sec"))
+    named = b.groupBy("symbol", "keyword").agg(F.count(F.lit(1)).alias("_count"), first("bond").alias("_named"))
+    every = named.groupBy("symbol").agg(F.sum("_count").alias("_count"), first("_named").alias("_only"))
     cand = (d.where(F.col("type") == "2").select("seq", "symbol", "keyword")
-             .join(b, F.col("symbol") == F.col("b_symbol")))
-    bond_pick = cand.groupBy("seq").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(F.struct("b_sec", "b_inst"), F.col("b_sec")).alias("_only"),
-        F.min_by(F.struct("b_sec", "b_inst"), F.when(F.col("b_short") == F.col("keyword"), F.col("b_sec")))
-         .alias("_named"))
+             .join(every, "symbol").join(named.drop("_count"), ["symbol", "keyword"], "left"))
+    bond_pick = cand.groupBy("seq").agg(F.sum("_count").alias("_n"), first("_only").alias("_only"), first("_named").alias("_named"))
     bond_pick = bond_pick.select("seq", F.when(F.col("_n") == 1, F.col("_only"))
                                  .otherwise(F.col("_named")).alias("_bond"))
     # One row per name (first = smallest id, NULL ids last)
