@@ -11,7 +11,7 @@ Word lists (stop, black, white) are small job parameters and are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scoring import burst_ratio
@@ -146,8 +146,10 @@ def doc_scores(dt: DataFrame, weights: DataFrame, docs: DataFrame, by=()) -> Dat
     range shuffle of every row, so it is only added where the output needs it
     (`ranked_documents`)."""
     by = list(by)
-    present = dt.where(F.col("tf") > 0).select(*by, "doc_id", "term").distinct()
-    s = present.join(weights, by + ["term"]).groupBy(*by, "doc_id").agg(F.sum("weight").alias("score"))
+    # the weights first: where few terms have one, the others are neither told apart nor shuffled
+    weights = weights.groupBy(*by, "term").agg(F.sum("weight").alias("weight"))
+    present = dt.where(F.col("tf") > 0).select(*by, "doc_id", "term").join(weights, by + ["term"]).distinct()
+    s = present.groupBy(*by, "doc_id").agg(F.sum("weight").alias("score"))
     return (docs.select(*by, "doc_id").join(s, by + ["doc_id"], "left")
                 .withColumn("score", F.coalesce("score", F.lit(0.0))))
 
@@ -205,32 +207,29 @@ def burst_terms(history: DataFrame, periods: DataFrame, *, stop_words: DataFrame
 
 # -------------------------------------------------------------- P9 / P10 / X16
 
-def _title_pieces(docs: DataFrame, words: DataFrame, title: str) -> DataFrame:
-    """(doc_id, _piece): the substrings of the titles that have the length of
-    a listed word, so that "word inside title" is an equi join."""
-    lengths = words.where(F.col("word") != "").agg(F.collect_set(F.length("word")).alias("l"))  # a few numbers
-    sized = docs.select("doc_id", F.col(title).alias("_title"), F.explode(lengths.select("l").scalar()).alias("_n"))
-    starts = F.sequence(F.lit(1), F.length("_title") - F.col("_n") + 1)
-    return sized.where(F.length("_title") >= F.col("_n")).select(
-        "doc_id", F.explode(F.transform(starts, lambda at: F.substring(F.col("_title"), at, F.col("_n")))).alias("_piece"))
+def _with_list(docs: DataFrame, words: DataFrame, *cols) -> DataFrame:
+    """`docs` with `_list`: the words of a list (a job parameter) that are not
+    blank, as one array of (word, *cols), so that "word inside title" is looked
+    at where the title lies: a title is read once a word, in time linear in its
+    length, and neither exploded nor shuffled."""
+    entries = words.where(F.col("word") != "").select(F.struct("word", *cols).alias("e")).distinct()
+    return docs.withColumn("_list", entries.agg(F.collect_list("e").alias("l")).select("l").scalar())
 
 
 def whitelist_score(docs: DataFrame, white: DataFrame, title: str = "title") -> DataFrame:
     """P10: `white_score` = max score of the whitelisted words inside the title
     (Q11: max instead of dict order), 0 when none."""
-    wl = white.where(F.col("word") != "").groupBy(F.col("word").alias("_piece")).agg(
-        F.max(F.coalesce(F.col("score"), F.lit(WHITELIST_DEFAULT_SCORE))).alias("_ws"))
-    hits = _title_pieces(docs, white, title).join(wl, "_piece").groupBy("doc_id").agg(F.max("_ws").alias("white_score"))
-    return docs.join(hits, "doc_id", "left").withColumn("white_score", F.coalesce("white_score", F.lit(0.0)))
+    listed = _with_list(docs, white, F.coalesce(F.col("score"), F.lit(WHITELIST_DEFAULT_SCORE)).alias("score"))
+    inside = F.filter("_list", lambda w: F.contains(F.col(title), w["word"]))
+    best = F.array_max(F.transform(inside, lambda w: w["score"]))
+    return listed.withColumn("white_score", F.coalesce(best, F.lit(0.0))).drop("_list")
 
 
 def blacklisted(docs: DataFrame, black: DataFrame, title: str = "title") -> DataFrame:
     """`black` flag when any blacklisted word is inside the title (blank
     words dropped, Q12)."""
-    bl = black.where(F.col("word") != "").select(F.col("word").alias("_piece")).distinct()
-    hits = _title_pieces(docs, black, title).join(bl, "_piece", "left_semi").select("doc_id").distinct() \
-        .withColumn("black", F.lit(True))
-    return docs.join(hits, "doc_id", "left").withColumn("black", F.coalesce("black", F.lit(False)))
+    inside = F.exists("_list", lambda w: F.contains(F.col(title), w["word"]))
+    return _with_list(docs, black).withColumn("black", F.coalesce(inside, F.lit(False))).drop("_list")
 
 
 def ranked_documents(scored: DataFrame, score: str = "score") -> DataFrame:
@@ -247,8 +246,8 @@ def rank_hot_documents(docs: DataFrame, dt: DataFrame, burst: DataFrame, *, whit
     by = list(by)
     hot = doc_scores(dt, burst.select(*by, "term", F.col("ratio").alias("weight")), docs, by)
     hot = max_normalise(hot.withColumnRenamed("score", "hotscore"), "hotscore", by)
-    d = docs.join(hot, by + ["doc_id"])
-    d = blacklisted(whitelist_score(d, white), black)
+    d = blacklisted(whitelist_score(docs, white), black).select(*by, "doc_id", "sentiment", "white_score", "black")
+    d = d.join(hot, by + ["doc_id"])  # without the titles
     score = (F.when(F.col("black"), F.lit(-1.0))
               .when(F.col("white_score") != 0, F.col("white_score"))
               .otherwise(F.col("hotscore_norm") + F.coalesce(F.col("sentiment"), F.lit(0.0))))

@@ -289,8 +289,9 @@ def hot_burst(spark, sf_dir):
 def _hot_docs(spark, sf_dir):
     docs, dt, burst = _burst(spark, sf_dir)
     docs = C.exclude_micro_and_type2(docs)
-    dt = dt.join(docs.select("doc_id"), "doc_id", "left_semi")
-    return H.rank_hot_documents(docs.select("period_end", "doc_id", "title", "sentiment"), dt, burst,
+    # scores of other documents than `docs` are not looked up: their terms need no filter.  Hot terms
+    # are bounded (HOT_TERM_LIMIT a half-day period): the index stays where it is
+    return H.rank_hot_documents(docs.select("period_end", "doc_id", "title", "sentiment"), dt, F.broadcast(burst),
                                 white=_words(spark, WHITE_LIST, True), black=_words(spark, BLACK_LIST))
 
 
