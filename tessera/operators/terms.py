@@ -110,12 +110,14 @@ def above_cut(scored: DataFrame, k: int, score: str, by) -> DataFrame:
 
     named = [F.col(c).alias(g) for g, c in groups.items()]
     coarse = cut_off(rows.groupBy(*named, "_bin").agg(F.count(F.lit(1)).alias("_n")), "_bin", F.lit(0)).alias("c")
-    rows = rows.join(F.broadcast(coarse) if not by else coarse, same("c") or F.lit(True)).select(
-        *scored.columns, "_bin", "_fine", F.col("_cut").alias("_at"), F.col("_taken").alias("_had")).where("_bin >= _at")
-    tied = rows.where("_bin = _at").groupBy(*named, "_fine").agg(F.count(F.lit(1)).alias("_n"), F.max("_had").alias("_had"))
+    # a row a group: the scored rows are not shuffled for it.  No bin is null; said with coalesce and <=>, as Spark
+    # would else check the whole score again inside the joins below, in a method too long to be compiled
+    rows = rows.join(F.broadcast(coarse), same("c") or F.lit(True)).select(
+        *scored.columns, "_bin", "_fine", F.col("_cut").alias("_at"), F.col("_taken").alias("_had")).where("coalesce(_bin >= _at, false)")
+    tied = rows.where("_bin <=> _at").groupBy(*named, "_fine").agg(F.count(F.lit(1)).alias("_n"), F.max("_had").alias("_had"))
     fine = cut_off(tied, "_fine", F.col("_had")).alias("f")
-    rows = rows.join(F.broadcast(fine) if not by else fine, same("f") or F.lit(True))
-    return rows.where((F.col("_bin") > F.col("_at")) | (F.col("_fine") >= F.col("_cut"))).select(*scored.columns)
+    rows = rows.join(F.broadcast(fine), same("f") or F.lit(True))
+    return rows.where(F.coalesce((F.col("_bin") > F.col("_at")) | (F.col("_fine") >= F.col("_cut")), F.lit(False))).select(*scored.columns)
 
 
 def distinctive_terms(stats: DataFrame, n_docs: DataFrame, k: int) -> DataFrame:
