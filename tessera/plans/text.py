@@ -143,18 +143,19 @@ def feed_streams_ingest(spark, sf_dir):
     `feed_stream_ingest`) and streamed into the one day-partitioned corpus.
     Every document of every feed is stored exactly once."""
     run = f"{checkpoint_dir(spark).rstrip('/')}/streams/feeds-{uuid.uuid4().hex}"
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)  # a re-read; four batches a feed
     for (feed, schema), rows in zip(ST.FEED_SCHEMAS.items(), feeds(spark, sf_dir)):
         fields = [f.split(" ") for f in schema.split(", ")]
         time = "publish_time" if feed == "micro" else "notice_time"
 
         def build():
             all_ = rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in fields])  # noqa: B023
-            early = all_.where(F.col(time) < F.lit("2024-01-20").cast("timestamp")).repartition(4)  # noqa: B023
-            late = all_.where(F.col(time) >= F.lit("2024-01-15").cast("timestamp")).repartition(4)  # noqa: B023
+            early = all_.where(F.col(time) < F.lit("2024-01-20").cast("timestamp")).repartition(files, fields[0][0])  # noqa: B023
+            late = all_.where(F.col(time) >= F.lit("2024-01-15").cast("timestamp")).repartition(files, fields[0][0])  # noqa: B023
             return early.unionByName(late)  # one file per partition, each file one re-read
-        src = derived_path(spark, f"feed_{feed}_rereads", _inputs(sf_dir), build)
+        src = derived_path(spark, f"feed_{feed}_rereads", _inputs(sf_dir), build, params=f"{files} files")
         ST.ingest(spark, feed, src, f"{run}/corpus", checkpoint=f"{run}/checkpoint-{feed}",
-                  max_files_per_trigger=2).awaitTermination()
+                  max_files_per_trigger=files // 2).awaitTermination()
     out = spark.read.parquet(f"{run}/corpus").drop("load", "day")
     return out.withColumn("feed_type", F.col("feed_type").cast("double"))
 

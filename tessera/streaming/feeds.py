@@ -48,6 +48,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
 STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
@@ -93,9 +94,16 @@ def ingest(spark: SparkSession, feed: str, src_dir: str, corpus_path: str,
     def store(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = f"stream-{feed}-{query}-"
-        # few files a day, and a large day in several tasks
-        (new_documents(batch, corpus_path, feed, own).hint("rebalance", "day")
-         .write.mode("overwrite").partitionBy("day").parquet(f"{corpus_path.rstrip('/')}/load={own}{batch_id}"))
+        # few files a day, and a large day in several tasks: the hint holds under AQE only, which a
+        # stream's session switches off for the plans of its state
+        conf = batch.sparkSession.conf
+        before = conf.get(ADAPTIVE)
+        conf.set(ADAPTIVE, "true")
+        try:
+            (new_documents(batch, corpus_path, feed, own).hint("rebalance", "day")
+             .write.mode("overwrite").partitionBy("day").parquet(f"{corpus_path.rstrip('/')}/load={own}{batch_id}"))
+        finally:
+            conf.set(ADAPTIVE, before)
 
     for key, value in STATE.items():
         if not spark.conf.get(key, "").endswith(value):
