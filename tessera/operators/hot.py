@@ -56,7 +56,7 @@ def term_filters(df: DataFrame, stop_words: DataFrame | None) -> DataFrame:
 
 # ------------------------------------------------------------- A3 / A4 / A5
 
-def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame, *,
+def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame | None, n_corpus: DataFrame, *,
                      by=(), stop_words: DataFrame | None = None,
                      key_limit: int | None = None) -> DataFrame:
     """A3: weight = mean over the window's documents of sqrt(tf/len) * idf * df/N,
@@ -64,13 +64,15 @@ def hot_term_weights(dt: DataFrame, corpus_stats: DataFrame, n_corpus: DataFrame
     P7 and P8.  `by` computes every window (e.g. every period) in one job.
 
     dt: doc_terms of the window documents (with the `by` columns);
-    corpus_stats / n_corpus: corpus-wide term_stats and document count."""
+    corpus_stats / n_corpus: corpus-wide term_stats and document count; without
+    the former the windows are the whole corpus, a document being in one."""
     by = list(by)
     ws = T.term_stats(dt, by)
     n_win = dt.select(*by, "doc_id").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_win"))
     if key_limit is not None:
+        corpus_stats = T.term_stats(dt) if corpus_stats is None else corpus_stats
         ws = ws.join(T.key_terms(ws, corpus_stats, n_corpus, key_limit, by), by + ["term"], "left_semi")
-    s = T.with_idf(ws, corpus_stats, n_corpus)
+    s = T.with_idf(ws, corpus_stats, n_corpus, by)
     s = s.join(n_win, by) if by else s.withColumn("n_win", n_win.select("n_win").scalar())
     s = s.withColumn("weight", F.col("s_sqrt_tf") * F.col("idf") * (F.col("df") / F.col("n_win"))
                      / F.col("n_win"))

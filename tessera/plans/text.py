@@ -167,8 +167,8 @@ def _index(spark, sf_dir, keep=()):
 
 
 def hot_terms(spark, sf_dir):
-    docs, dt, cs, n = _index(spark, sf_dir)
-    w = H.hot_term_weights(dt, cs, n, stop_words=_words(spark, HOT_STOP_WORDS))
+    docs, dt, _, n = _index(spark, sf_dir)
+    w = H.hot_term_weights(dt, None, n, stop_words=_words(spark, HOT_STOP_WORDS))
     return w.select("term", r6("weight").alias("weight"))
 
 
@@ -268,8 +268,7 @@ def history(spark, sf_dir) -> DataFrame:
     def build():
         docs = corpus(spark, sf_dir)
         dt = content_terms(spark, sf_dir, keep=("period_end",))
-        cs, n = T.term_stats(dt), T.doc_count(docs)
-        return H.hot_term_weights(dt, cs, n, by=("period_end",), stop_words=_words(spark, HOT_STOP_WORDS))
+        return H.hot_term_weights(dt, None, T.doc_count(docs), by=("period_end",), stop_words=_words(spark, HOT_STOP_WORDS))
     params = "all terms|" + ",".join(HOT_STOP_WORDS)
     return derived_table(spark, "hot_history", _inputs(sf_dir), build, params=params)
 
